@@ -150,24 +150,24 @@ def ordered_lists(
     array and no task grows without bound; every item is kept. Ordinary keys have
     the single part 0.
     """
-    slim = df.select(key, order, item)
+    slim = df.select(key, F.col(order).alias("_o"), F.col(item).alias("_i"))
     heavy = slim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_items)
     part = f"{name}_part"
 
     def gather(rows: DataFrame, *keys: str) -> DataFrame:
-        packed = F.sort_array(F.collect_list(F.struct(order, item)))
-        return rows.groupBy(*keys).agg(F.transform(packed, lambda s: s[item]).alias(name))
+        packed = F.sort_array(F.collect_list(F.struct("_o", "_i")))
+        return rows.groupBy(*keys).agg(F.transform(packed, lambda s: s["_i"]).alias(name))
 
     if heavy.isEmpty():
         return gather(slim, key).select(key, F.lit(0).cast("bigint").alias(part), name)
     light = gather(slim.join(heavy.select(key), key, "left_anti"), key)
     counted = (
         slim.join(heavy.select(key), key, "left_semi")
-        .groupBy(key, order, item)
+        .groupBy(key, "_o", "_i")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # Position of every copy: copies of one item are generated in chunks of max_items.
-    spots = running_totals(counted, [key], [order, item], ["n"]).withColumn("_first", F.col("cum_n") - F.col("n"))
+    spots = running_totals(counted, [key], ["_o", "_i"], ["n"]).withColumn("_first", F.col("cum_n") - F.col("n"))
     chunks = spots.withColumn(
         part,
         F.explode(
@@ -179,8 +179,8 @@ def ordered_lists(
     low = F.greatest(F.col("_first"), F.col(part) * max_items)
     high = F.least(F.col("cum_n"), (F.col(part) + 1) * max_items)
     copies = chunks.withColumn("_copies", (high - low).cast("int"))
-    packed = F.sort_array(F.collect_list(F.struct(order, item, "_copies")))
-    repeated = F.flatten(F.transform(packed, lambda s: F.array_repeat(s[item], s["_copies"])))
+    packed = F.sort_array(F.collect_list(F.struct("_o", "_i", "_copies")))
+    repeated = F.flatten(F.transform(packed, lambda s: F.array_repeat(s["_i"], s["_copies"])))
     split = copies.groupBy(key, part).agg(repeated.alias(name))
     return light.select(key, F.lit(0).cast("bigint").alias(part), name).unionByName(
         split.select(key, F.col(part).cast("bigint").alias(part), name)

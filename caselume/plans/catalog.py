@@ -44,7 +44,10 @@ def signals_all_pairs(spark, sf):
 
 @query
 def signals_by_case(spark, sf):
-    return _round(signals.safety_signals(inputs.reports(spark, sf), case="primaryid", min_prr=1.2))
+    rows = inputs.reports(spark, sf)
+    drugs = rows.select("primaryid", F.col("p_brand").alias("drugname")).distinct()
+    pairs = drugs.join(rows.select("primaryid", "pt").distinct(), "primaryid")
+    return _round(signals.safety_signals(pairs, case="primaryid", min_prr=1.2))
 
 
 @query
@@ -586,3 +589,139 @@ def roc_auc(spark, sf):
 def mean_roc_curve(spark, sf):
     long = metrics.one_vs_rest(inputs.scored(spark, sf), "severity", "scores", _CLASSES)
     return _round(metrics.mean_roc_curve(long))
+
+
+# --- models ----------------------------------------------------------------------
+
+
+def _quick(**over):
+    from .training import classifiers
+
+    return classifiers(**{"trees": 20, "depth": 6, "rounds": 3, **over})
+
+
+@query
+def model_scores(spark, sf):
+    from . import training
+
+    parts = split.stratified_holdout(labelled(spark, sf), "quality", "doc_id")
+    model = training.fit_balanced(
+        _quick()["random_forest"], parts.filter(~F.col("is_test")), "doc_id", FEATURES, "quality"
+    )
+    out = model.predict(parts.filter("is_test"))
+    return out.select("doc_id", "quality", "prediction", F.round("confidence", 4).alias("confidence"))
+
+
+@query
+def model_compare(spark, sf):
+    from . import training
+
+    return training.compare(_quick(), labelled(spark, sf), "doc_id", FEATURES, "quality", folds=2).table
+
+
+def _severity_rows(spark, sf):
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    people = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("primaryid"),
+        F.floor(F.col("c_acctbal") / 50).cast("string").alias("age"),
+        F.substring("c_mktsegment", 1, 1).alias("sex"),
+        (6 - F.substring("o_orderpriority", 1, 1).cast("int")).alias("severity_level"),
+    )
+    pairs = inputs.reports(spark, sf).select("primaryid", "drugname", "pt")
+    return people.join(pairs, "primaryid")
+
+
+def _severity_model(spark, sf):
+    from . import training
+
+    rows = _severity_rows(spark, sf)
+    split_at = split.stratified_holdout(rows.select("primaryid", "severity_level").distinct(), "severity_level", "primaryid")
+    train = rows.join(split_at.filter(~F.col("is_test")).select("primaryid"), "primaryid", "left_semi")
+    encoder = training.CaseEncoder.fit(train, "severity_level")
+    model = training.fit(
+        _quick(trees=10)["random_forest"], encoder.transform(train), training.CASE_FEATURES, "severity_level"
+    )
+    return rows, encoder, model
+
+
+@query
+def risk_alerts(spark, sf):
+    from . import training
+
+    rows, encoder, model = _severity_model(spark, sf)
+    return training.risk_alerts(rows, encoder, model).drop("timestamp")
+
+
+# --- streams ---------------------------------------------------------------------
+
+
+def _event_stream(spark, sf):
+    # A glob, because the stream source takes folders and not a single file.
+    stream = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    return inputs.event_cases(stream)
+
+
+def _event_signals(spark, sf):
+    cases = inputs.event_cases(table(spark, sf, "events"))
+    pairs = assemble.case_pairs(cases)
+    return signals.score_pairs(signals.contingency(pairs, "drugname", "pt"), "drugname", "pt")
+
+
+def _folder(spark):
+    import uuid
+
+    from ..functions.scale import staging_dir
+
+    return f"{staging_dir(spark)}/caselume/{uuid.uuid4().hex}"
+
+
+@query
+def stream_batch_alerts(spark, sf):
+    """Signal alerts with the micro-batch as the scope."""
+    from ..functions.scale import stage
+    from ..streaming import alerts
+
+    out = _folder(spark)
+    known = stage(_event_signals(spark, sf))
+    run = alerts.start_signal_alerts(_event_stream(spark, sf), known, f"{out}/alerts", f"{out}/state", prr=1.05, p_value=0.5)
+    run.awaitTermination()
+    schema = "drugname string, pt string, prr double, p_value double, n_cases_in_batch bigint, batch int"
+    return _round(spark.read.schema(schema).json(f"{out}/alerts").drop("batch"))
+
+
+@query
+def stream_window_alerts(spark, sf):
+    """Signal alerts per closed day of event time."""
+    from ..functions.scale import stage
+    from ..streaming import alerts
+
+    out = _folder(spark)
+    known = stage(_event_signals(spark, sf))
+    found = alerts.windowed_signal_alerts(_event_stream(spark, sf), known, "1 day", "10 minutes", prr=1.05, p_value=0.5)
+    run = (
+        found.writeStream.format("parquet")
+        .option("path", f"{out}/alerts")
+        .option("checkpointLocation", f"{out}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    written = spark.read.schema(found.schema).parquet(f"{out}/alerts")
+    return _round(written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
+@query
+def stream_alert_counts(spark, sf):
+    """Running counters kept in streaming state."""
+    from ..streaming import alerts
+
+    out = _folder(spark)
+    cases = _event_stream(spark, sf).select(
+        F.get("drugs", F.lit(0)).alias("level"), (F.col("value") >= 10).alias("is_alert")
+    )
+    counts = alerts.running_counters(cases, "is_alert", "level")
+    run = alerts.write_per_batch(counts, f"{out}/counts", f"{out}/state", mode="complete")
+    run.trigger(availableNow=True).start().awaitTermination()
+    every = spark.read.schema("level string, consumed bigint, alerts bigint, batch int").json(f"{out}/counts")
+    last = every.agg(F.max("batch").alias("b")).scalar()
+    return every.filter(F.col("batch") == last).drop("batch")

@@ -121,9 +121,9 @@ def event_cases(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     return events.select(
         F.col("event_id").alias("primaryid"),
-        "ts",
-        F.col("user_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        "user_id",
         F.array(F.upper("event_type")).alias("drugs"),
         F.array(F.concat(F.lit("K"), (k.cast("int") % 20).cast("string"))).alias("reactions"),
-        F.col("value"),
+        "value",
     )

@@ -112,9 +112,9 @@ _add("signals_all_pairs", f"with {REPORTS}, {_CELLS_ROWS}, {_measures(True)} {_O
 _add(
     "signals_by_case",
     f"""with {REPORTS},
- triples as (select distinct primaryid, drugname, pt from reports),
+ triples as (select distinct a.primaryid, a.p_brand as drugname, b.pt from reports a join reports b on a.primaryid = b.primaryid),
  pairs as (select drugname, pt, count(*) as k from triples group by all),
- by_drug as (select drugname, count(distinct primaryid) as kd from reports group by all),
+ by_drug as (select p_brand as drugname, count(distinct primaryid) as kd from reports group by all),
  by_term as (select pt, count(distinct primaryid) as kt from reports group by all),
  cells as (select drugname, pt, cast(k as double) as a, cast(kd - k as double) as b, cast(kt - k as double) as c,
                   cast((select count(distinct primaryid) from reports) - kd - kt + k as double) as d,
@@ -688,3 +688,29 @@ _add(
   left join top b on b.class = lo.class and b.x = x1)
 select round(fpr, 6) as fpr, round(avg(tpr), 6) as tpr from v group by fpr""",
 )
+
+# --- streams ---------------------------------------------------------------------------
+
+_EVENTS = """ev as (select event_id, ts, value, upper(event_type) as drugname,
+  'K' || cast(cast(json_extract_string(props, '$.k') as int) % 20 as varchar) as pt from events)"""
+_EVENT_CELLS = _CELLS_ROWS.replace("from reports", "from ev")
+_STRONG = f"strong as (select drugname, pt, prr, {p_value('chi2')} as p_value from measures where prr > 1.05)"
+_add(
+    "stream_batch_alerts",
+    f"""with {_EVENTS}, {_EVENT_CELLS}, {_measures(False)}, {_STRONG}
+select s.drugname, s.pt, round(prr, 6) as prr, round(p_value, 6) as p_value, count(distinct event_id) as n_cases_in_batch
+from strong s join ev on ev.drugname = s.drugname and ev.pt = s.pt where p_value < 0.5
+group by s.drugname, s.pt, prr, p_value having count(distinct event_id) >= 3""",
+)
+_add(
+    "stream_window_alerts",
+    f"""with {_EVENTS}, {_EVENT_CELLS}, {_measures(False)}, {_STRONG},
+ days as (select date_trunc('day', ts) as window_start, drugname, pt, count(distinct event_id) as n from ev group by all)
+select window_start, s.drugname, s.pt, round(prr, 6) as prr, round(p_value, 6) as p_value, n as n_cases_in_batch
+from days d join strong s on d.drugname = s.drugname and d.pt = s.pt
+where p_value < 0.5 and n >= 3 and window_start + interval 1 day <= (select max(ts) from ev) - interval 10 minute""",
+)
+_add(
+    "stream_alert_counts",
+    f"with {_EVENTS} select drugname as level, count(*) as consumed, count(*) filter (where value >= 10) as alerts from ev group by all",
+)

@@ -10,9 +10,16 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters of Unicode white space.
+_WHITE_SPACE = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
+
 def strip(c: Column | str) -> Column:
-    """Drop leading and trailing white space of any kind (``trim`` drops spaces only)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Drop leading and trailing white space of any kind (plain ``trim`` drops spaces only)."""
+    return F.btrim(_c(c), F.lit(_WHITE_SPACE))
 
 
 def upper_strip(c: Column | str) -> Column:

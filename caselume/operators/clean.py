@@ -80,11 +80,17 @@ def null_shares(df: DataFrame, blank_is_null: bool = False) -> dict[str, float]:
 
 
 def drop_sparse_columns(
-    df: DataFrame, share: float, blank_is_null: bool = False, protect: tuple[str, ...] = ()
+    df: DataFrame, share: float, blank_is_null: bool = False, filled: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Drop columns whose null share is above the limit. Runs one aggregate job."""
-    shares = null_shares(df, blank_is_null)
-    return df.drop(*[c for c, s in shares.items() if s > share and c not in protect])
+    """Drop columns whose null share is above the limit. Runs one aggregate job.
+
+    Columns named in ``filled`` are known to hold no nulls and are not looked at.
+    """
+    open_cols = [c for c in df.columns if c not in filled]
+    if not open_cols:
+        return df
+    shares = null_shares(df.select(*open_cols), blank_is_null)
+    return df.drop(*[c for c, s in shares.items() if s > share])
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
@@ -199,11 +205,11 @@ class Cleaned:
         )
 
 
-def _finish(table: str, raw: DataFrame, df: DataFrame, measures: dict, share=None, blank=False):
+def _finish(table: str, raw: DataFrame, df: DataFrame, measures: dict, share=None, blank=False, filled=()):
     """Sparse columns out, then exact duplicates out."""
     before = df.columns
     if share is not None:
-        df = drop_sparse_columns(df, share, blank)
+        df = drop_sparse_columns(df, share, blank, filled)
     gone = tuple(c for c in before if c not in df.columns)
     return Cleaned(table, raw, df.dropDuplicates(), measures, gone)
 
@@ -223,7 +229,7 @@ def clean_demo(df: DataFrame, key: str = rules.KEY) -> Cleaned:
         measures["country_not_two_letters"] = (
             F.length(upper_strip("reporter_country")) != rules.COUNTRY_CODE_LENGTH
         )
-    return _finish("demo", df, out, measures, rules.SPARSE_SHARE["demo"], blank=True)
+    return _finish("demo", df, out, measures, rules.SPARSE_SHARE["demo"], True, (key, "sex", "age"))
 
 
 def clean_drug(df: DataFrame, key: str = rules.KEY, drug: str = "drugname") -> Cleaned:
@@ -247,7 +253,8 @@ def clean_drug(df: DataFrame, key: str = rules.KEY, drug: str = "drugname") -> C
             code = valid_code(c, rules.CHALLENGE_CODES, rules.CHALLENGE_DEFAULT, trim=False)
             out = out.withColumn(c, code)
             measures[f"{c}_defaulted"] = code == rules.CHALLENGE_DEFAULT
-    return _finish("drug", df, out, measures, rules.SPARSE_SHARE["drug"])
+    filled = (key, drug, "role_cod", "route", "dose_amt", "dechal", "rechal")
+    return _finish("drug", df, out, measures, rules.SPARSE_SHARE["drug"], filled=filled)
 
 
 def clean_reac(df: DataFrame, key: str = rules.KEY, term: str = "pt") -> Cleaned:
@@ -270,7 +277,7 @@ def clean_indi(df: DataFrame, key: str = rules.KEY, term: str = "indi_pt") -> Cl
         out = long_enough(out.withColumn(term, filled), term, keep_null=False)
         measures["indication_missing"] = F.col(term).isNull()
         measures["short_term"] = F.length(filled) < rules.MIN_TERM_LENGTH
-    return _finish("indi", df, out, measures, rules.SPARSE_SHARE["indi"])
+    return _finish("indi", df, out, measures, rules.SPARSE_SHARE["indi"], filled=(key, term))
 
 
 def clean_outc(df: DataFrame, key: str = rules.KEY, code: str = "outc_cod") -> Cleaned:
@@ -302,7 +309,7 @@ def clean_rpsr(df: DataFrame, key: str = rules.KEY, code: str = "rpsr_cod") -> C
     if code in df.columns:
         out = out.withColumn(code, upper_strip(F.coalesce(code, F.lit(rules.REPORT_DEFAULT))))
         measures["report_missing"] = F.col(code).isNull()
-    return _finish("rpsr", df, out, measures, rules.SPARSE_SHARE["rpsr"])
+    return _finish("rpsr", df, out, measures, rules.SPARSE_SHARE["rpsr"], filled=(key, code))
 
 
 RECIPES = {

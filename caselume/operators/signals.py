@@ -66,15 +66,19 @@ def contingency(
     rows are shuffled once (the exchange is reused). By cases, each margin counts
     its own distinct cases, because one case may hold several pairs.
     """
-    pairs = pair_counts(df, drug, term, case, weight)
     if case is None:
+        pairs = pair_counts(df, drug, term, None, weight)
         by_drug = pairs.groupBy(drug).agg(F.sum("count_a").alias("_drug"))
         by_term = pairs.groupBy(term).agg(F.sum("count_a").alias("_term"))
         total = pairs.agg(F.sum("count_a").alias("_n")).scalar()
     else:
-        by_drug = df.select(drug, case).distinct().groupBy(drug).agg(F.count(F.lit(1)).alias("_drug"))
-        by_term = df.select(term, case).distinct().groupBy(term).agg(F.count(F.lit(1)).alias("_term"))
-        total = df.select(case).distinct().agg(F.count(F.lit(1)).alias("_n")).scalar()
+        # Everything starts from the same distinct triples, so their exchange is reused.
+        triples = df.select(drug, term, case).distinct()
+        rows = F.count(F.lit(1))
+        pairs = triples.groupBy(drug, term).agg(rows.alias("count_a"))
+        by_drug = triples.select(drug, case).distinct().groupBy(drug).agg(rows.alias("_drug"))
+        by_term = triples.select(term, case).distinct().groupBy(term).agg(rows.alias("_term"))
+        total = triples.select(case).distinct().agg(rows.alias("_n")).scalar()
     a = F.col("count_a").cast("double")
     d = F.col("_drug").cast("double")
     t = F.col("_term").cast("double")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import text as tx
+from ..functions.scale import stage, staging_dir
 from ..operators import assemble, balance, clean, encode, knn, leakage, metrics, profile, quality, signals, split
 from . import inputs
 from .inputs import FEATURES, labelled, table
@@ -634,13 +637,12 @@ def _severity_rows(spark, sf):
 def _severity_model(spark, sf):
     from . import training
 
-    rows = _severity_rows(spark, sf)
+    rows = stage(_severity_rows(spark, sf))
     split_at = split.stratified_holdout(rows.select("primaryid", "severity_level").distinct(), "severity_level", "primaryid")
     train = rows.join(split_at.filter(~F.col("is_test")).select("primaryid"), "primaryid", "left_semi")
     encoder = training.CaseEncoder.fit(train, "severity_level")
-    model = training.fit(
-        _quick(trees=10)["random_forest"], encoder.transform(train), training.CASE_FEATURES, "severity_level"
-    )
+    coded = stage(encoder.transform(train).select(*training.CASE_FEATURES, "severity_level"))
+    model = training.fit(_quick(trees=10)["random_forest"], coded, training.CASE_FEATURES, "severity_level")
     return rows, encoder, model
 
 
@@ -668,17 +670,12 @@ def _event_signals(spark, sf):
 
 
 def _folder(spark):
-    import uuid
-
-    from ..functions.scale import staging_dir
-
     return f"{staging_dir(spark)}/caselume/{uuid.uuid4().hex}"
 
 
 @query
 def stream_batch_alerts(spark, sf):
     """Signal alerts with the micro-batch as the scope."""
-    from ..functions.scale import stage
     from ..streaming import alerts
 
     out = _folder(spark)
@@ -692,7 +689,6 @@ def stream_batch_alerts(spark, sf):
 @query
 def stream_window_alerts(spark, sf):
     """Signal alerts per closed day of event time."""
-    from ..functions.scale import stage
     from ..streaming import alerts
 
     out = _folder(spark)

@@ -34,24 +34,16 @@ def read_delimited(
     nulls either way. ``limit`` with ``order_by`` takes the first rows in key order.
     """
     names = header_of(spark, path, sep, encoding)
-    fields = [T.StructField(n, T.StringType()) for n in names]
+    reader = spark.read.option("header", True).option("encoding", encoding).option("quote", "")
     if tolerant:
-        fields.append(T.StructField(_BAD, T.StringType()))
-    reader = (
-        spark.read.schema(T.StructType(fields))
-        .option("header", True)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("quote", "")
-        .option("nullValue", "")
-        .option("enforceSchema", True)
-    )
-    if tolerant:
-        df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path)
-        too_long = F.size(F.split(F.col(_BAD), f"[{sep}]")) > len(names)
-        df = df.filter(F.col(_BAD).isNull() | ~too_long).drop(_BAD)
+        # Whole lines first (the separator is a character that text does not hold),
+        # so that a line can be judged by its number of fields.
+        lines = reader.schema("line string").option("sep", "\u0001").csv(path)
+        fields = lines.select(F.split("line", f"[{sep}]").alias("f")).filter(F.size("f") <= len(names))
+        df = fields.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
     else:
-        df = reader.csv(path)
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = reader.schema(schema).option("sep", sep).option("nullValue", "").option("enforceSchema", True).csv(path)
     if columns:
         df = df.select(*[c for c in names if c in set(columns)])
     if limit is not None:
@@ -88,19 +80,13 @@ def write_json_lines(df: DataFrame, path: str, source: str | None = None) -> Non
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """JSON lines of a file or folder; lines that do not parse are dropped.
 
-    Files whose name starts with ``_`` or ``.`` are skipped by Spark itself. The
-    corrupt-record column is read along, so that column pruning cannot let a bad
-    line through.
+    Files whose name starts with ``_`` or ``.`` are skipped by Spark itself.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = T.StructType([*wanted.fields, T.StructField(_BAD, T.StringType())])
-    df = (
-        spark.read.schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .json(path)
-    )
-    return df.filter(F.col(_BAD).isNull()).drop(_BAD)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    parsed = spark.read.text(path).select(F.from_json("value", full, options).alias("r")).select("r.*")
+    return parsed.filter(F.col(_BAD).isNull()).drop(_BAD)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

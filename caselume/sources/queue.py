@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-CASE_SCHEMA = T.StructType.fromDDL(
+CASE_SCHEMA = (
     "primaryid bigint, sex string, age double, reporter_country string, "
     "drugs array<string>, reactions array<string>, outcomes array<string>, stream_timestamp string"
 )

@@ -136,9 +136,15 @@ def limited_join_count(left: DataFrame, right: DataFrame, key: str = rules.KEY,
     return first.join(right.select(key), key).agg(F.count(F.lit(1)).alias("joined_rows"))
 
 
-def suspect_pairs(drugs: DataFrame, terms: DataFrame, key: str, role: str, wanted: str) -> DataFrame:
-    """Suspect drugs by reactions of the same case; the filter runs before the join."""
-    return drugs.filter(F.col(role) == wanted).join(terms, key)
+def suspect_pair_counts(
+    drugs: DataFrame, terms: DataFrame, drug: str, term: str, role: str = "role_cod", wanted: str = "PS", key: str = rules.KEY
+) -> DataFrame:
+    """How often suspect drugs meet reactions of the same case.
+
+    The role filter and the counting per case both run before the join, so a case
+    with very many rows joins its distinct drugs with its distinct reactions only.
+    """
+    return joined_pair_counts(drugs.filter(F.col(role) == wanted), terms, [], drug, term, key)
 
 
 def ordered_lists(

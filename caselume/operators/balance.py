@@ -104,9 +104,9 @@ def remove_tomek(df: DataFrame, ident: str, features: list[str], label: str, **k
     return df.join(gone, ident, "left_anti")
 
 
-def _vote(neighbors: Column) -> Column:
-    """Most frequent class among the neighbours, the smallest on ties (as text order)."""
-    ys = F.transform(neighbors, lambda n: n["y"])
+def _vote(neighbors: Column, kind) -> Column:
+    """Most frequent class among the neighbours, the smallest on ties."""
+    ys = F.transform(neighbors, lambda n: n["y"].cast(kind))
     tally = F.transform(
         F.array_distinct(ys),
         lambda y: F.struct((-F.size(F.filter(ys, lambda v: v == y))).alias("n"), y.alias("y")),
@@ -129,7 +129,7 @@ def edited_neighbors(
     """
     near = nearest_neighbors(_complete(df, features), ident, features, k, label, **knn)
     kind = df.schema[label].dataType
-    votes = near.select(ident, _vote(F.col("neighbors")).cast(kind).alias("_vote"))
+    votes = near.select(ident, _vote(F.col("neighbors"), kind).alias("_vote"))
     keep = F.col("_vote").isNull() | (F.col("_vote") == F.col(label))
     if classes == "not_minority":
         keep = keep | (F.col(label) == F.lit(_minority(class_sizes(df, label))))

@@ -5,7 +5,8 @@ Ties are broken by neighbour id, so the answer is unique. The plan:
 1. Equal feature vectors are folded into one *spot* that keeps its k+1 smallest
    ids. Ties go to the smallest ids, so no other copy can ever be an answer, and a
    vector that a third of all rows share costs no more than any other.
-2. Few spots (a counted, fixed limit): they are broadcast and every task scans them.
+2. Few spots (rows and values are counted against fixed limits): they are broadcast
+   and every task scans them.
 3. Many spots: each spot goes to the cell of its nearest pivot. A cell is cut into
    rings of at most ``block_rows`` spots by distance to the pivot. A spot is first
    compared with its own ring, which bounds its k-th distance; after that it visits
@@ -28,9 +29,11 @@ from ..functions.random import seeded_uniform
 from ..functions.scale import running_totals, stage
 
 BROADCAST_SPOTS = 8192
+BROADCAST_VALUES = 1_000_000
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 1024
 MAX_BLOCKS = 200_000
+MAX_GROUPS = 1000
 _CHUNK = 512
 
 _CANDIDATE = "sid bigint, d2 double, id bigint, y string, x array<double>, c array<string>"
@@ -176,7 +179,7 @@ class _Layout:
 # --- the operator ------------------------------------------------------------------
 
 
-def _spots(base: DataFrame, m: int) -> DataFrame:
+def _spots(base: DataFrame, m: int, everyone: bool) -> DataFrame:
     """One row per distinct vector with its m smallest ids.
 
     ``row_number() <= m`` is pruned before the shuffle as well as after it, so a
@@ -189,6 +192,8 @@ def _spots(base: DataFrame, m: int) -> DataFrame:
     spots = spots.select(
         "g", "x", "c", F.col("p.id").alias("ids"), F.col("p.y").alias("ys"), F.element_at("p.id", 1).alias("sid")
     )
+    if everyone:
+        return spots.withColumn("asked", F.lit(True))
     asked = base.groupBy("g", "x", "c").agg(F.max("asked").alias("asked"))
     return spots.join(asked, ["g", "x", "c"])
 
@@ -215,8 +220,15 @@ def _scan_partitioned(
     spots: DataFrame, sizes: dict, m: int, weight: float, block_rows: int, max_pivots: int
 ) -> DataFrame:
     spark = spots.sparkSession
+    # Ring bounds travel to the driver and to every task: at most MAX_BLOCKS rings
+    # (and one per cell), whatever the number of spots.
     block_rows = max(block_rows, sum(sizes.values()) // MAX_BLOCKS)
-    pivots_of = {g: int(min(max_pivots, max(1, np.ceil(np.sqrt(n) / 4)))) for g, n in sizes.items()}
+    # The pivots of all groups together stay below 4 * max_pivots + groups.
+    total = sum(sizes.values())
+    pivots_of = {
+        g: int(max(1, min(max_pivots, np.ceil(np.sqrt(n) / 4), 4 * max_pivots * n // total)))
+        for g, n in sizes.items()
+    }
     wanted = F.lit(0)
     for g, p in pivots_of.items():
         wanted = F.when(F.col("g") == g, p).otherwise(wanted)
@@ -383,9 +395,18 @@ def nearest_neighbors(
         F.array(*[F.col(n).cast("string") for n in nominal]).cast("array<string>").alias("c"),
         (queries if queries is not None else F.lit(True)).alias("asked"),
     )
-    spots = stage(_spots(base, m))
-    sizes = {r["g"]: r["n"] for r in spots.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if sum(sizes.values()) <= broadcast_spots:
+    spots = stage(_spots(base, m, queries is None))
+    groups = (
+        spots.groupBy("g")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x") + F.size("c") + m).alias("width"))
+        .limit(MAX_GROUPS + 1)
+        .collect()
+    )
+    if len(groups) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups: within_label needs a class column")
+    sizes = {r["g"]: r["n"] for r in groups}
+    values = sum(r["n"] * r["width"] for r in groups)
+    if sum(sizes.values()) <= broadcast_spots and values <= BROADCAST_VALUES:
         found = _scan_broadcast(spots, m, nominal_weight)
     else:
         found = _scan_partitioned(spots, sizes, m, nominal_weight, block_rows, max_pivots)

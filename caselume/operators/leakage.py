@@ -33,7 +33,7 @@ def dominant_label(df: DataFrame, term: str, label: str) -> DataFrame:
     """Most frequent label of a term (smallest on ties) and its share."""
     counts = term_label_counts(df, term, label)
     return counts.groupBy(term).agg(
-        F.max_by(label, F.struct(F.col("n"), -F.col(label))).alias("dominant"),
+        F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("dominant"),
         (F.max("n") / F.max("term_rows")).alias("share"),
         F.max("term_rows").alias("rows"),
     )

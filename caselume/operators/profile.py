@@ -99,7 +99,7 @@ def value_share(
     counts = df.groupBy(F.coalesce(F.col(col).cast("string"), F.lit(null_label)).alias("value")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
+    total = counts.agg(F.sum("n").alias("t")).scalar()
     out = counts.withColumn("pct", _share(F.col("n"), total))
     if labels:
         out = out.withColumn("label", from_table("value", labels, default))
@@ -267,11 +267,10 @@ def class_counts(df: DataFrame, label: str, valid: list | None = None) -> DataFr
 def class_balance(df: DataFrame, label: str, valid: list | None = None) -> DataFrame:
     """One row: classes, largest and smallest class, imbalance ratio, minority share."""
     counts = class_counts(df, label, valid)
-    up = F.struct(F.col("n"), (-F.col(label)).alias("k"))
     return counts.agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("classes"),
-        F.max_by(label, up).alias("majority_class"),
+        F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("majority_class"),
         F.max("n").alias("majority_rows"),
         F.min_by(label, F.struct(F.col("n"), F.col(label))).alias("minority_class"),
         F.min("n").alias("minority_rows"),

@@ -155,9 +155,10 @@ def safety_signals(
     return keep_signals(scored, min_count, min_prr, min_chi2).orderBy(F.desc("chi2"), drug, term)
 
 
-def top_pairs(df: DataFrame, drug: str, term: str, n: int = 20) -> DataFrame:
-    counts = known_pairs(df, drug, term).groupBy(drug, term).agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), drug, term).limit(n)
+def top_pairs(counts: DataFrame, drug: str, term: str, n: int = 20) -> DataFrame:
+    """The n most frequent pairs of a table of pair counts, ties by name."""
+    known = known_pairs(counts, drug, term).select(drug, term, F.col("count_a").alias("n"))
+    return known.orderBy(F.desc("n"), drug, term).limit(n)
 
 
 def attach_signals(cases: DataFrame, signals: DataFrame, drug: str, term: str) -> DataFrame:

@@ -61,9 +61,8 @@ def pair_counts_grouping_sets(spark, sf):
 @query
 def top_pairs(spark, sf):
     rows = inputs.reports(spark, sf)
-    drugs = rows.select("primaryid", "p_brand", "l_returnflag")
-    pairs = assemble.suspect_pairs(drugs, rows.select("primaryid", "pt"), "primaryid", "l_returnflag", "R")
-    return signals.top_pairs(pairs, "p_brand", "pt", 20)
+    counts = assemble.suspect_pair_counts(rows, rows, "p_brand", "pt", "l_returnflag", "R")
+    return signals.top_pairs(counts, "p_brand", "pt", 20)
 
 
 @query

@@ -131,4 +131,14 @@ def test_limited_join_counts_the_first_keys(spark):
 
 def test_top_pairs_break_ties_by_name(spark):
     df = spark.createDataFrame([("B", "X"), ("A", "X"), ("A", "")], "drugname string, pt string")
-    assert [tuple(r) for r in signals.top_pairs(df, "drugname", "pt", 5).collect()] == [("A", "X", 1), ("B", "X", 1)]
+    counts = signals.pair_counts(df, "drugname", "pt")
+    assert [tuple(r) for r in signals.top_pairs(counts, "drugname", "pt", 5).collect()] == [("A", "X", 1), ("B", "X", 1)]
+
+
+def test_suspect_pairs_filter_by_role(spark):
+    drug = spark.createDataFrame(
+        [(1, "A", "PS"), (1, "A", "PS"), (1, "B", "C"), (2, "A", "PS")], "primaryid int, drugname string, role_cod string"
+    )
+    reac = spark.createDataFrame([(1, "X"), (1, "Y"), (2, "X")], "primaryid int, pt string")
+    got = assemble.suspect_pair_counts(drug, reac, "drugname", "pt").collect()
+    assert sorted(tuple(r) for r in got) == [("A", "X", 3), ("A", "Y", 2)]

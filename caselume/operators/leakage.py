@@ -123,6 +123,18 @@ def mutual_information(
     ).orderBy(F.desc("mutual_info"), "feature")
 
 
+def masking_summary(rows: DataFrame, leaking: DataFrame, term: str) -> DataFrame:
+    """How many terms are masked, and how many of the rows they cover."""
+    counts = rows.groupBy(term).agg(F.count(F.lit(1)).alias("n"))
+    marked = counts.join(leaking.select(F.col(term).alias("_leak")), F.col(term) == F.col("_leak"), "left")
+    hit = F.col("_leak").isNotNull()
+    return marked.agg(
+        F.count(F.when(hit, 1)).alias("terms_masked"),
+        F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("rows_masked"),
+        F.sum("n").alias("rows"),
+    )
+
+
 def leakage_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Mutual information before and after masking, with the reduction in percent."""
     b = before.select("feature", F.col("mutual_info").alias("before"))

@@ -186,6 +186,16 @@ def cross_validate(
     return scores
 
 
+def with_row_number(rows: DataFrame, name: str = "row_id") -> DataFrame:
+    """A unique whole number per row, fixed by writing the rows once."""
+    return stage(rows.withColumn(name, F.monotonically_increasing_id()))
+
+
+def held_out(rows: DataFrame, ident: str, label: str, share: float = 0.2, seed: int = rules.SEED) -> DataFrame:
+    """Rows with ``is_test``, written once so that every later step sees the same split."""
+    return stage(split.stratified_holdout(rows, label, ident, share, seed))
+
+
 @dataclass
 class Comparison:
     table: DataFrame
@@ -197,10 +207,23 @@ class Comparison:
 
 
 def compare(
-    estimators: dict, rows: DataFrame, ident: str, features: list[str], label: str, folds: int = 5, seed: int = rules.SEED
+    estimators: dict,
+    rows: DataFrame,
+    ident: str,
+    features: list[str],
+    label: str,
+    folds: int = 5,
+    seed: int = rules.SEED,
+    split_column: str | None = None,
 ) -> Comparison:
-    """Hold out a fifth, cross-validate and fit on the rest, test on the untouched part."""
-    parts = stage(split.stratified_holdout(rows.select(ident, *features, label), label, ident, seed=seed))
+    """Hold out a fifth, cross-validate and fit on the rest, test on the untouched part.
+
+    ``split_column`` names an existing split instead.
+    """
+    if split_column:
+        parts = rows.select(ident, *features, label, F.col(split_column).alias("is_test"))
+    else:
+        parts = held_out(rows.select(ident, *features, label), ident, label, seed=seed)
     train, test = parts.filter(~F.col("is_test")).drop("is_test"), parts.filter("is_test").drop("is_test")
     classes = list(balance.class_sizes(rows, label))
     models, lines = {}, []

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,7 @@ def test_windows_do_not_depend_on_how_files_arrive(spark, known, tmp_path):
             part = rows[n * len(rows) // cut : (n + 1) * len(rows) // cut]
             lines = [json.dumps({"primaryid": i, "drugs": ["WARFARIN"], "reactions": ["HAEMORRHAGE"], "stream_timestamp": t}) for i, t in part]
             (src / f"{n}.json").write_text("\n".join(lines))
+            os.utime(src / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))  # arrival order
         found_windows = alerts.windowed_signal_alerts(queue.read_file_cases(spark, str(src)), known)
         out = str(tmp_path / f"out{cut}")
         found_windows.writeStream.format("parquet").option("path", out).option(

@@ -19,14 +19,14 @@ from .random import seeded_uniform
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is absent, as on a laptop.
+    Where the setting is absent, the folder given to ``setCheckpointDir``; and a
+    temporary folder only where there is neither, as on a laptop.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="caselume-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="caselume-"))
+        named = context.getCheckpointDir()
     return named
 
 

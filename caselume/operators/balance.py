@@ -40,8 +40,13 @@ def needed_rows(sizes: dict) -> dict:
     return {c: most - n for c, n in sizes.items() if n < most}
 
 
-def _complete(df: DataFrame, features: list[str]) -> DataFrame:
-    """Median for missing feature values; tables without nulls are left alone."""
+def _complete(df: DataFrame, ident: str, features: list[str], label: str, extra: tuple = ()) -> DataFrame:
+    """The needed columns, written once, with the median for missing feature values.
+
+    The steps of a technique read them several times; what they were computed from
+    (joins, texts) is read once.
+    """
+    df = stage(df.select(ident, *features, *extra, label))
     row = df.agg(*[F.count(F.when(F.col(f).isNull(), 1)).alias(f) for f in features]).first()
     missing = [f for f in features if row[f]]
     return impute_median(df, missing) if missing else df
@@ -75,7 +80,7 @@ def tomek_links(
     df: DataFrame, ident: str, features: list[str], label: str, **knn
 ) -> DataFrame:
     """Pairs of different class that are each other's nearest row: ``(a, b, label_a, label_b)``, a < b."""
-    filled = _complete(df, features)
+    filled = _complete(df, ident, features, label)
     near = nearest_neighbors(filled, ident, features, 1, label, **knn)
     one = near.select(F.col(ident).alias("a"), F.element_at("neighbors", 1).alias("n"))
     one = one.select("a", F.col("n.id").alias("b"), F.col("n.y").alias("label_b"))
@@ -127,7 +132,7 @@ def edited_neighbors(
 
     ``classes="not_minority"`` never drops rows of the smallest class.
     """
-    near = nearest_neighbors(_complete(df, features), ident, features, k, label, **knn)
+    near = nearest_neighbors(_complete(df, ident, features, label), ident, features, k, label, **knn)
     kind = df.schema[label].dataType
     votes = near.select(ident, _vote(F.col("neighbors"), kind).alias("_vote"))
     keep = F.col("_vote").isNull() | (F.col("_vote") == F.col(label))
@@ -224,7 +229,7 @@ def smote(
     Returns ``ident, features, label, is_synthetic``. The label is never a distance
     feature. A class with at most k rows uses all its other rows as neighbours.
     """
-    df = _complete(df, features)
+    df = _complete(df, ident, features, label)
     need = needed_rows(class_sizes(df, label))
     small = df.filter(F.col(label).isin(*need)) if need else df.limit(0)
     near = nearest_neighbors(small, ident, features, k, label, within_label=True, **knn)
@@ -258,7 +263,7 @@ def borderline_smote(
     **knn,
 ) -> DataFrame:
     """SMOTE that starts only from rows near the class border."""
-    df = _complete(df, features)
+    df = _complete(df, ident, features, label)
     need = needed_rows(class_sizes(df, label))
     if not need:
         return _with_originals(df, smote_none(df, features, label), ident, features, label)
@@ -294,7 +299,7 @@ def adasyn(
     A row's quota is its share of difficulty times the class need, rounded half to
     even, so the total can differ from the need by rounding.
     """
-    df = _complete(df, features)
+    df = _complete(df, ident, features, label)
     need = needed_rows(class_sizes(df, label))
     if not need:
         return _with_originals(df, smote_none(df, features, label), ident, features, label)
@@ -342,7 +347,7 @@ def smote_nc(
     among the neighbours. Columns with more than ``limit`` values take no part:
     originals keep theirs, synthetic rows get the overall most frequent value.
     """
-    df = _complete(df, features)
+    df = _complete(df, ident, features, label, tuple(nominal))
     df = df.withColumns({n: F.coalesce(F.col(n).cast("string"), F.lit("nan")) for n in nominal})
     values = df.agg(*[F.count_distinct(n).alias(n) for n in nominal]).first() if nominal else {}
     used = [n for n in nominal if values[n] <= limit]

@@ -42,11 +42,11 @@ def positive_integer(df: DataFrame, col: str) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: list[str], fallback: float = 0.0) -> DataFrame:
     """Null becomes the exact column median; an all-null column gets the fallback."""
-    found = exact_quantiles(df, cols, [0.5])
-    for c in cols:
-        median = found.filter(F.col("column") == c).agg(F.max(F.element_at("q", 1)).alias("m")).scalar()
-        df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), median, F.lit(float(fallback))))
-    return df
+    # One number per column comes back; the column itself stays distributed.
+    found = {r["column"]: r["q"][0] for r in exact_quantiles(df, cols, [0.5]).collect()}
+    return df.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(float(found.get(c, fallback)))) for c in cols}
+    )
 
 
 def impute_value(df: DataFrame, col: str, value: float) -> DataFrame:

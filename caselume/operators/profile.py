@@ -140,9 +140,8 @@ def describe(df: DataFrame, value: str, by: list[str] | None = None) -> DataFram
     names = [*by, "n", "mean", "std", "min", "q25", "median", "q75", "max"]
     if by:
         return basic.join(quart, by).select(*names)
-    return basic.select(
-        "*", *[quart.select(c).scalar().alias(c) for c in ("q25", "median", "q75")]
-    ).select(*names)
+    three = quart.select(F.struct("q25", "median", "q75")).scalar()
+    return basic.withColumn("_q", three).select("*", "_q.*").select(*names)
 
 
 def per_case_describe(df: DataFrame, case: str) -> DataFrame:
@@ -157,8 +156,9 @@ def histogram(df: DataFrame, value: str, bins: int, low=None, high=None, clip_hi
     if clip_high is not None:
         v = F.least(v, F.lit(float(clip_high)))
     clean = df.select(v.alias("_v")).filter(F.col("_v").isNotNull())
-    least = F.lit(float(low)) if low is not None else clean.agg(F.min("_v").alias("m")).scalar()
-    most = F.lit(float(high)) if high is not None else clean.agg(F.max("_v").alias("m")).scalar()
+    ends = clean.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
+    least = F.lit(float(low)) if low is not None else ends.getField("lo")
+    most = F.lit(float(high)) if high is not None else ends.getField("hi")
     edges = df.sparkSession.range(bins).select(
         F.col("id").cast("int").alias("bin"), least.alias("_lo"), most.alias("_hi")
     ).select(

@@ -653,6 +653,19 @@ def risk_alerts(spark, sf):
     return training.risk_alerts(rows, encoder, model).drop("timestamp")
 
 
+@query
+def case_scores(spark, sf):
+    """Every case row with its predicted severity and the history of its pair."""
+    from . import training
+
+    rows, encoder, model = _severity_model(spark, sf)
+    found = signals.safety_signals(rows)
+    scored = training.score_cases(rows, encoder, model, found)
+    return scored.groupBy("prediction", "known_signal").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max("prr"), 6).alias("max_prr")
+    )
+
+
 # --- streams ---------------------------------------------------------------------
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -161,6 +164,12 @@ def fit_balanced(estimator, train: DataFrame, ident: str, features: list[str], l
     return fit(estimator, balanced_rows(train, ident, features, label, seed), features, label)
 
 
+def _side_by_side(work: Callable, names: list[str], spark: SparkSession, parallelism: int) -> dict:
+    """Submit the jobs of several models at once, so that small stages fill the cluster."""
+    with ThreadPool(min(parallelism, len(names))) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(work), names)))
+
+
 def cross_validate(
     estimators: dict,
     train: DataFrame,
@@ -169,6 +178,7 @@ def cross_validate(
     label: str,
     folds: int = 5,
     seed: int = rules.SEED,
+    parallelism: int = 4,
 ) -> dict[str, list[float]]:
     """Macro F1 per model and fold, with SMOTE inside the training part of the fold.
 
@@ -180,9 +190,13 @@ def cross_validate(
     for f in range(folds):
         grown = balanced_rows(parts.filter(F.col("fold") != f), ident, features, label, seed)
         held = parts.filter(F.col("fold") == f)
-        for name, est in estimators.items():
-            guess = fit(est, grown, features, label).predict(held)
-            scores[name].append(metrics.macro_f1(guess, label, "prediction", classes).first()["macro_f1"])
+
+        def score(name: str) -> float:
+            guess = fit(estimators[name], grown, features, label).predict(held)
+            return metrics.macro_f1(guess, label, "prediction", classes).first()["macro_f1"]
+
+        for name, value in _side_by_side(score, list(estimators), train.sparkSession, parallelism).items():
+            scores[name].append(value)
     return scores
 
 
@@ -215,6 +229,7 @@ def compare(
     folds: int = 5,
     seed: int = rules.SEED,
     split_column: str | None = None,
+    parallelism: int = 4,
 ) -> Comparison:
     """Hold out a fifth, cross-validate and fit on the rest, test on the untouched part.
 
@@ -226,15 +241,19 @@ def compare(
         parts = held_out(rows.select(ident, *features, label), ident, label, seed=seed)
     train, test = parts.filter(~F.col("is_test")).drop("is_test"), parts.filter("is_test").drop("is_test")
     classes = list(balance.class_sizes(rows, label))
-    models, lines = {}, []
-    cv_scores = cross_validate(estimators, train, ident, features, label, folds, seed)
+    cv_scores = cross_validate(estimators, train, ident, features, label, folds, seed, parallelism)
     grown = balanced_rows(train, ident, features, label, seed)
-    for name, est in estimators.items():
+
+    def final(name: str):
+        model = fit(estimators[name], grown, features, label)
+        return model, metrics.macro_f1(model.predict(test), label, "prediction", classes).first()
+
+    done = _side_by_side(final, list(estimators), rows.sparkSession, parallelism)
+    models, lines = {n: m for n, (m, _) in done.items()}, []
+    for name, (_, tested) in done.items():
         cv = cv_scores[name]
         mean = sum(cv) / len(cv)
         spread = (sum((s - mean) ** 2 for s in cv) / len(cv)) ** 0.5
-        models[name] = fit(est, grown, features, label)
-        tested = metrics.macro_f1(models[name].predict(test), label, "prediction", classes).first()
         lines.append((name, mean, spread, tested["macro_f1"], tested["accuracy"]))
     table = rows.sparkSession.createDataFrame(
         lines, "model string, cv_macro_f1 double, cv_std double, test_macro_f1 double, test_accuracy double"

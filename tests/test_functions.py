@@ -108,3 +108,11 @@ def test_exact_quantiles_match_numpy_with_a_hot_value(spark):
     for g in ("a", "b"):
         vals = [v for k, v in data if k == g and v is not None]
         assert got[g] == pytest.approx(np.quantile(vals, probs).tolist())
+
+
+def test_staging_folder_is_the_one_the_session_names(spark):
+    folder = scale.staging_dir(spark)
+    assert folder == scale.staging_dir(spark)
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert folder == (named or spark.sparkContext.getCheckpointDir())
+    assert sorted(r["id"] for r in scale.stage(spark.range(3)).collect()) == [0, 1, 2]

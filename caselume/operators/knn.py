@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.random import seeded_uniform
 from ..functions.scale import running_totals, stage
+from ..session import ship_package
 
 BROADCAST_SPOTS = 8192
 BROADCAST_VALUES = 1_000_000
@@ -380,6 +381,7 @@ def nearest_neighbors(
     same label are compared. Features are used unscaled and must not be null; the
     identifier must be a unique whole number.
     """
+    ship_package(df.sparkSession)
     nominal = nominal or []
     m = k + 1
     if len(features) == 1 and df.schema[features[0]].dataType.typeName() == "array":

@@ -7,6 +7,10 @@ and alert windows independent of where the job runs.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +26,21 @@ def local_session(cores: int | str = 8, app: str = "caselume") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Operators with Python tasks call it, so they run from any working folder. A
+    package that was itself submitted as a zip is already on the workers.
+    """
+    context = spark.sparkContext
+    folder = os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId in _shipped or not os.path.isdir(folder):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="caselume-"), "caselume")
+    context.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(folder), os.path.basename(folder)))
+    _shipped.add(context.applicationId)

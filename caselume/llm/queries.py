@@ -16,6 +16,12 @@ def op1_token_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(write_sequences(docs, new_folder(spark), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, budget=2)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -28,6 +34,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_sequences": op1_token_sequences,
+    "op2_simhash": op2_simhash,
     "op6_byte_bpe": op6_byte_bpe,
 }
 

@@ -22,6 +22,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, budget=2)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), least=200)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -35,6 +41,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_sequences": op1_token_sequences,
     "op2_simhash": op2_simhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
 

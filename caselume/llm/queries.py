@@ -22,6 +22,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, budget=2)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import remove_repeats
 
@@ -38,11 +44,19 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.drop("text")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_token_sequences": op1_token_sequences,
     "op2_simhash": op2_simhash,
+    "op3_license_scan": op3_license_scan,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE: dict[str, str] = {}

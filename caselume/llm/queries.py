@@ -34,6 +34,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), least=200)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -44,6 +51,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.drop("text")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score
+
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import judge
 
@@ -55,7 +68,9 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_license_scan": op3_license_scan,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }
 

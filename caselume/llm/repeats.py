@@ -32,7 +32,7 @@ LEAST, GRAM = 200, 24
 LARGE = 20_000
 #: Offsets that share a core string, where windows are counted.
 STEP = 25
-_SEGMENT = 1 << 20
+_SEGMENT = (1 << 20) - 1024
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -61,16 +61,19 @@ def _sliding(f, x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Places in joined texts, and their hashes, such that every ``least`` bytes of one text have one."""
+    """Places in joined texts, and their hashes, such that every ``least`` bytes of one text have one.
+
+    It is the first of the smallest hashes; a hash is compared by its upper 44 bits, then by its place.
+    """
     width = least - GRAM + 1
     places, hashes = [], []
     n = len(data)
     ends = np.asarray(offsets[1:])
     for start in range(0, max(0, n - least + 1), _SEGMENT):
         stop = min(n - least + 1, start + _SEGMENT)  # windows that begin in [start, stop)
-        part = data[start : stop + least - 1]
-        h = _gram_hashes(part)
-        low = _sliding(np.minimum, h, width)
+        h = _gram_hashes(data[start : stop + least - 1])
+        ranked = (h >> np.uint64(20) << np.uint64(20)) | np.arange(1, len(h) + 1, dtype=np.uint64)
+        low = _sliding(np.minimum, ranked, width)
         # A window that reaches over a text's end counts for nothing.
         over = np.zeros(len(low) + 1, np.int32)
         for e in ends[np.searchsorted(ends, start, "right") : np.searchsorted(ends, stop + least, "left") + 1].tolist():
@@ -78,17 +81,37 @@ def anchors(data: np.ndarray, offsets: np.ndarray, least: int = LEAST) -> tuple[
             if b > a:
                 over[a] += 1
                 over[b] -= 1
-        low[np.cumsum(over[:-1]) > 0] = 0
-        pad = np.zeros(width - 1, np.uint64)
-        high = _sliding(np.maximum, np.concatenate([pad, low, pad]), width)
-        at = np.flatnonzero(high == h)
-        places.append(at + start)
-        hashes.append(h[at])
+        low = low[np.cumsum(over[:-1]) == 0]
+        if len(low):
+            first = np.ones(len(low), bool)
+            first[1:] = low[1:] != low[:-1]  # a place is smallest for neighbouring windows
+            at = (low[first] & np.uint64((1 << 20) - 1)).astype(np.int64) - 1
+            places.append(at + start)
+            hashes.append(h[at])
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     places, hashes = np.concatenate(places), np.concatenate(hashes)
-    keep = np.unique(places, return_index=True)[1]  # segments overlap
-    return places[keep], hashes[keep]
+    places, keep = np.unique(places, return_index=True)  # segments overlap
+    return places, hashes[keep]
+
+
+def periodic(data: np.ndarray, at: np.ndarray, h: np.ndarray, least: int = LEAST) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Runs of one text that repeat themselves, and which of its anchors are still needed.
+
+    In a run [a, z) with a short period p and ``least`` + p bytes or more, every string of ``least`` bytes
+    comes again p bytes on or back, so the run is a span. The strings that start in its first period are all it has, so
+    anchors for these, and for strings that reach over its ends, are enough.
+    """
+    needed = np.ones(len(at), bool)
+    gap = np.diff(at)
+    runs = []
+    for p in np.unique(gap[(h[1:] == h[:-1]) & (gap < least)]).tolist():
+        edge = np.diff(np.concatenate(([0], (data[p:] == data[:-p]).view(np.int8), [0])))
+        for a, z in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            if z - a >= least:
+                runs.append((a, z + p))
+                needed[(at >= a + 2 * p) & (at < z + p - least + 1)] = False
+    return runs, needed
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -186,22 +209,33 @@ def _scan(batches, least: int):
         at, h = anchors(data, offsets, least)
         of = np.searchsorted(offsets, at, "right") - 1
         starts = np.searchsorted(of, np.arange(len(text) + 1))
-        order = np.lexsort((h, of))
         again = np.zeros(len(h), bool)
-        same = (h[order[1:]] == h[order[:-1]]) & (of[order[1:]] == of[order[:-1]])
-        again[order[1:]] |= same
-        again[order[:-1]] |= same
+        needed = np.ones(len(h), bool)
+        runs: list[list[dict]] = []
+        for i in range(len(text)):
+            a, z = starts[i], starts[i + 1]
+            own = h[a:z]
+            order = np.argsort(own, kind="stable")
+            same = own[order[1:]] == own[order[:-1]]
+            runs.append([])
+            if same.any():
+                again[a + order[1:]] |= same
+                again[a + order[:-1]] |= same
+                found, needed[a:z] = periodic(data[offsets[i] : offsets[i + 1]], at[a:z] - offsets[i], own, least)
+                runs[-1] = [{"begin": x, "end": y} for x, y in found]
+        kept = np.flatnonzero(needed)
+        starts = np.searchsorted(of[kept], np.arange(len(text) + 1))
         listed = pa.StructArray.from_arrays(
-            [pa.array(h.view("<i8")), pa.array((at - offsets[of]).astype(np.int32)), pa.array(again)], names=["h", "pos", "twice"]
+            [pa.array(h[kept].view("<i8")), pa.array((at - offsets[of])[kept].astype(np.int32)), pa.array(again[kept])], names=["h", "pos", "twice"]
         )
         raw = memoryview(data)
         sums = [hashlib.sha256(raw[a:z]) for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         yield pa.RecordBatch.from_arrays(
             [
                 names, pa.array([s.digest() for s in sums], pa.binary()), pa.array(np.diff(offsets)), pa.array([s.hexdigest() for s in sums], pa.string()),
-                pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), listed),
+                pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), listed), pa.array(runs, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
             ],
-            names=["doc_id", "digest", "n_bytes", "sha", "anchors"],
+            names=["doc_id", "digest", "n_bytes", "sha", "anchors", "runs"],
         )
 
 
@@ -313,7 +347,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, keep_text: bool = False,
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = "doc_id long, digest binary, n_bytes long, sha string, anchors array<struct<h:long,pos:int,twice:boolean>>"
+    kind = "doc_id long, digest binary, n_bytes long, sha string, anchors array<struct<h:long,pos:int,twice:boolean>>, runs array<struct<begin:int,end:int>>"
     with small_batches(spark, 512, 2 << 20):
         scanned = stage(rows.mapInArrow(lambda batches: _scan(batches, least), kind))
 
@@ -327,6 +361,8 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, keep_text: bool = False,
         .select("h", (F.col("n") > large).alias("large"))
     )
     wanted = places.select("h", "d", "pos").join(repeated, "h").groupBy("d").agg(F.collect_set(F.struct("pos", "large")).alias("places"))
+    own = scanned.filter(F.size("runs") > 0).select(F.expr("xxhash64(digest)").alias("d"), "digest", "runs").dropDuplicates(["digest"])
+    wanted = wanted.join(own.select("d").distinct(), "d", "full").withColumn("places", F.coalesce("places", F.expr("cast(array() as array<struct<pos:int,large:boolean>>)")))
     texts = rows.select(F.unhex(F.sha2(F.encode("text", "utf-8"), 256)).alias("digest"), F.encode("text", "utf-8").alias("text")).withColumn(
         "d", F.expr("xxhash64(digest)")
     )
@@ -340,7 +376,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, keep_text: bool = False,
         often = found.filter(F.exists("places", lambda x: x["large"])).mapInArrow(
             _contexts(least), "h long, left binary, right binary, digest binary, pos int, large boolean"
         ).filter("large")
-        spans = stage(near.union(_counted_spans(stage(often), least)))
+        spans = stage(near.union(_counted_spans(stage(often), least)).union(own.select("digest", F.inline("runs"))))
     by_text = spans.groupBy("digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     cut = staged_map(
         found.select("digest", "text").join(by_text, "digest"), _cut,

@@ -11,6 +11,7 @@ those 32 bits, which leaves tries of 16 bits and so of 65,536 leaves at most.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -24,7 +25,9 @@ from ..session import ship_package
 from .common import components, group_bounds, small_batches, stage, whole_groups
 
 #: Fingerprints in a trie above which it is dealt out once more.
-LARGE_TRIE = 4096
+LARGE_TRIE = 1024
+#: Pairs of nodes that a task may hold at a time, by an upper bound.
+PAIRS_AT_ONCE = 1_000_000
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -123,6 +126,21 @@ def _deal(rows: DataFrame, code: str, width: int, key: list) -> DataFrame:
     return rows.select(*key, "fp", F.explode(F.array(*ways)).alias("w")).select(*key, "fp", "w.*")
 
 
+def _portions(bounds: list[int], bits: int, budget: int):
+    """Runs of groups whose pairs of nodes fit in memory; a leaf has as many partners as codes lie near it."""
+    near = sum(math.comb(bits, e) for e in range(budget + 1))
+    start = total = 0
+    for g in range(len(bounds) - 1):
+        n = bounds[g + 1] - bounds[g]
+        cost = min(n * n, n * near)
+        if total and total + cost > PAIRS_AT_ONCE:
+            yield bounds[start : g + 1]
+            start, total = g, 0
+        total += cost
+    if len(bounds) > 1:
+        yield bounds[start:]
+
+
 def _within(budget: int, bits: int, keys: list[str], every_link: bool):
     """Task: tries of whole groups, sorted by ``keys``, ``rest``."""
 
@@ -130,14 +148,16 @@ def _within(budget: int, bits: int, keys: list[str], every_link: bool):
         for t in whole_groups(batches, keys):
             cols = [t.column(k).to_numpy() for k in keys]
             fp, rest = t.column("fp").to_numpy(), t.column("rest").to_numpy().view("<u8")
-            i, j, err = trie_links(rest, group_bounds(*cols), bits, budget)
-            if not every_link:
-                # Links of a trie as a forest: as many rows as fingerprints at most, and the same components.
-                root = forest(len(fp), i, j)
-                i = np.flatnonzero(root != np.arange(len(fp)))
-                j = root[i]
-                err = np.zeros(len(i), np.int8)
-            yield pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j]), pa.array(err.astype(np.int32))], names=["a", "b", "bits"])
+            bounds = group_bounds(*cols)
+            for some in _portions(bounds, bits, budget):
+                i, j, err = trie_links(rest, some, bits, budget)
+                if not every_link:
+                    # Links of a trie as a forest: as many rows as fingerprints at most, and the same components.
+                    first = some[0]
+                    root = forest(some[-1] - first, i - first, j - first)
+                    i = np.flatnonzero(root != np.arange(len(root)))
+                    i, j, err = i + first, root[i] + first, np.zeros(len(i), np.int8)
+                yield pa.RecordBatch.from_arrays([pa.array(fp[i]), pa.array(fp[j]), pa.array(err.astype(np.int32))], names=["a", "b", "bits"])
 
     return run
 

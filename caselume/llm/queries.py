@@ -51,6 +51,18 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.drop("text")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score
 
@@ -70,6 +82,8 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_near_vectors": op8_near_vectors,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import small_batches, stage
+from .common import staged_map
 
 #: A long text is cut where white space follows a character that is none. No match of the
 #: pattern reaches over such a place, and no match to its left looks past it.
@@ -60,9 +60,9 @@ def decode(ids: np.ndarray, codec, size: int = LONG) -> Iterator[bytes]:
 
 
 def encode_documents(
-    docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = True, text: str = "text", size: int = LONG
+    docs: DataFrame, ranks: str, pattern: str, keep_ids: bool = True, keep_text: bool = False, text: str = "text", size: int = LONG
 ) -> DataFrame:
-    """Adds ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, and with ``keep_ids`` the ids.
+    """Adds ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, and with ``keep_ids`` the ids; the text goes unless ``keep_text``.
 
     ``ids`` is binary, little-endian unsigned 32-bit. A null text counts as empty: no
     ids, and the digests of nothing. Existing columns of these names are replaced; all
@@ -72,8 +72,9 @@ def encode_documents(
     spark = docs.sparkSession
     ship_package(spark)
     added = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} | ({"ids": "binary"} if keep_ids else {})
-    passed = docs.drop(*added)
-    source = passed.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    source = docs.drop(*added).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+    source = source if keep_text else source.drop(text)
 
     def run(batches):
         codec = encoding(ranks, pattern)
@@ -89,12 +90,10 @@ def encode_documents(
                 out["decoded_sha256"].append(back.hexdigest())
                 if keep_ids:
                     out["ids"].append(raw)
-            kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
             arrays = [*batch.columns[:-1], *(pa.array(out[k], kinds[v]) for k, v in added.items())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], *added])
 
-    schema = passed.schema
+    schema = source.drop("__text").schema
     for name, kind in added.items():
         schema = schema.add(name, kind)
-    with small_batches(spark):
-        return stage(source.mapInArrow(run, schema))
+    return staged_map(source, run, schema, compression="zstd")

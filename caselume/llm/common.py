@@ -39,10 +39,16 @@ def small_batches(spark: SparkSession, rows: int = 256, size: int = 8 << 20):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged_map(df: DataFrame, function, schema: str, rows: int = 256) -> DataFrame:
+def staged_map(df: DataFrame, function, schema, rows: int = 256, compression: str | None = None) -> DataFrame:
     """``mapInArrow`` in small batches, run once and written to the shared folder."""
-    with small_batches(df.sparkSession, rows):
-        return stage(df.mapInArrow(function, schema))
+    spark, key = df.sparkSession, "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(key)
+    with small_batches(spark, rows):
+        spark.conf.set(key, compression or before)
+        try:
+            return stage(df.mapInArrow(function, schema))
+        finally:
+            spark.conf.set(key, before)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:

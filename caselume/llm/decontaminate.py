@@ -72,11 +72,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covere
     parameters. A null or empty text or item matches nothing, nor does an item with fewer than ``PLAIN`` plain words. A
     repeated row gives its rows once; ``doc_id`` may be null; other columns are not read.
     """
+    found, best = _leaks(docs.select("doc_id", "text"), benchmark, size, covered, block)
+    return found.join(best, "key").select(
+        "doc_id", "item_id", (-F.col("b.back")).alias("at"), F.col("b.coverage").alias("coverage"), F.col("b.exact").alias("exact")
+    )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, unchanged."""
+    _, best = _leaks(docs.select("doc_id", "text"), benchmark, WINDOW, COVERED, BLOCK)
+    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    return keyed.join(best.select(F.col("key").alias("__key")).distinct(), "__key", "left_anti").drop("__key")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """Matched texts (``doc_id``, ``key``), and the leaks of each ``key``."""
     slots = ", ".join(f"'{s}'" for s in SLOTS)
     items = with_template(benchmark.filter("item_id is not null").select("item_id", "text"))
     items = items.select("item_id", F.split("m", " ", -1).alias("own"), "t").dropDuplicates()
     items = stage(items.withColumn("item", F.xxhash64("item_id", "own")).withColumn("n", F.least(F.size("t"), F.lit(size))))
-    texts = with_template(docs.select("doc_id", "text"))
+    texts = with_template(docs.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))))
     parts = []
     # Items of fewer words than a window are looked for whole, one size at a time.
     for n in [r["n"] for r in items.filter("n > 0").select("n").distinct().orderBy("n").collect()]:
@@ -88,14 +103,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covere
         blocks = -(-wanted.count() // block)
         for b in range(blocks):
             asked = F.broadcast(wanted.filter(F.pmod("window", F.lit(blocks)) == b))  # about ``block`` rows at most
-            hits = texts.select("doc_id", "m", _windows(n).alias("at", "window")).join(asked, "window")
+            hits = texts.select("doc_id", "key", "m", _windows(n).alias("at", "window")).join(asked, "window")
             parts.append(
-                hits.select("doc_id", F.unhex(F.md5("m")).alias("key"), "at", F.expr(f"slice(split(m, ' ', -1), at + 1, {n})").alias("words"), F.explode("places").alias("p"))
+                hits.select("doc_id", "key", "at", F.expr(f"slice(split(m, ' ', -1), at + 1, {n})").alias("words"), F.explode("places").alias("p"))
                 .select("doc_id", "key", F.col("p.item").alias("item"), (F.col("at") - F.col("p.item_at")).alias("shift"), F.col("p.item_at").alias("item_at"), "words")
             )
-    if not parts:
-        nothing = docs.select("doc_id").limit(0)
-        return nothing.select("doc_id", *[F.lit(None).cast(k).alias(c) for c, k in (("item_id", dict(benchmark.dtypes)["item_id"]), ("at", "int"), ("coverage", "double"), ("exact", "boolean"))])
+    if not parts:  # the benchmark is empty: nothing matches
+        key = F.lit(None).cast("binary").alias("key")
+        item = F.lit(None).cast(dict(benchmark.dtypes)["item_id"]).alias("item_id")
+        none = docs.limit(0).select("doc_id", key, item, F.struct(F.lit(0.0).alias("coverage"), F.lit(True).alias("exact"), F.lit(0).alias("back")).alias("b"))
+        return none.select("doc_id", "key"), none.select("key", "item_id", "b")
     found = stage(reduce(DataFrame.union, parts))
     # For each text and alignment: the windows of one item bound what is collected.
     aligned = found.groupBy("key", "item", "shift").agg(F.collect_set(F.struct("item_at", "words")).alias("parts"))
@@ -111,6 +128,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covere
     )
     kept = checked.filter(F.col("consistent") & ((F.col("coverage") >= covered) | (F.col("windows") >= IN_A_ROW)))
     best = kept.groupBy("key", "item_id").agg(F.max(F.struct("coverage", "exact", (-F.col("shift")).alias("back"))).alias("b"))
-    return found.select("doc_id", "key").distinct().join(best, "key").select(
-        "doc_id", "item_id", (-F.col("b.back")).alias("at"), F.col("b.coverage").alias("coverage"), F.col("b.exact").alias("exact")
-    ).distinct()
+    return found.select("doc_id", "key").distinct(), stage(best)

@@ -47,8 +47,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_documents
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = encode_documents(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, keep_ids=False)
-    return done.drop("text")
+    return encode_documents(docs, public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN, keep_ids=False)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

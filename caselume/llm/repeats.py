@@ -332,16 +332,41 @@ def _cut(batches):
         )
 
 
-def remove_repeats(docs: DataFrame, least: int = LEAST, keep_text: bool = False, large: int = LARGE, text: str = "text") -> DataFrame:
-    """Removes every byte of a ``least``-byte string that also starts anywhere else.
+def remove_repeats(docs: DataFrame, least: int = LEAST, large: int = LARGE, text: str = "text") -> DataFrame:
+    """Counts what goes if every byte of a ``least``-byte string that also starts anywhere else is removed.
 
     Returns a row for each row of ``docs``: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``
-    (maximal removed runs), ``kept_sha256``; with ``keep_text`` also ``kept_text`` (null: nothing
-    was removed), which leaves out a character of which a byte was removed. Texts are UTF-8 bytes,
-    a null text is empty, matches stay inside texts, and all strings are judged on the input. A text
-    that comes twice, or a repeated row, loses everything if it has ``least`` bytes; shorter texts lose
-    nothing. ``doc_id`` may be null or repeated; other columns are not read.
+    (maximal removed runs), ``kept_sha256``. Texts are UTF-8 bytes, a null text is empty, matches stay inside texts, and all
+    strings are judged on the input. A text that comes twice, or a repeated row, loses everything if it has ``least``
+    bytes; shorter texts lose nothing. ``doc_id`` may be null or repeated; other columns are not read.
     """
+    scanned, cut = _removals(docs, least, large, text)
+    copied = (F.col("copies") > 1) & (F.col("n_bytes") >= least)
+    nothing = hashlib.sha256(b"").hexdigest()
+    return scanned.select("doc_id", "digest", "n_bytes", "sha").join(cut, "digest").select(
+        "doc_id", "n_bytes", F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(copied, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copied, nothing).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+    )
+
+
+def without_repeats(docs: DataFrame, least: int = LEAST, large: int = LARGE) -> DataFrame:
+    """``docs`` with ``text`` as ``remove_repeats`` leaves it, and its ``n_chars`` if there is such a column.
+
+    A character goes if one of its bytes does. All rows and other columns stay; a text may become empty.
+    """
+    _, cut = _removals(docs, least, large, "text")
+    copied = (F.col("__cut.copies") > 1) & (F.octet_length("text") >= least)
+    keyed = docs.withColumn("__digest", F.unhex(F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256)))
+    named = cut.select(F.col("digest").alias("__digest"), F.struct("copies", "kept_text").alias("__cut"))
+    out = keyed.join(named, "__digest").withColumn("__text", F.when(copied, "").otherwise(F.coalesce("__cut.kept_text", "text")))
+    fresh = {"text": F.col("__text"), "n_chars": F.length("__text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    changed = F.col("__text") != F.col("text")
+    return out.select(*[F.when(changed, fresh[c]).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c) for c in docs.columns])
+
+
+def _removals(docs: DataFrame, least: int, large: int, text: str) -> tuple[DataFrame, DataFrame]:
+    """The scanned rows, and for each different text how often it comes and what is left of it (null: all)."""
     if least < 2 * GRAM:
         raise ValueError(f"least must be {2 * GRAM} or more")
     spark = docs.sparkSession
@@ -383,16 +408,4 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, keep_text: bool = False,
         "digest binary, n_removed long, n_spans long, kept_sha256 string, kept_text string",
     ).dropDuplicates(["digest"])
 
-    known = scanned.groupBy("digest").agg(F.count("*").alias("copies")).join(cut, "digest", "left")
-    copied = (F.col("copies") > 1) & (F.col("n_bytes") >= least)
-    nothing = hashlib.sha256(b"").hexdigest()
-    out = scanned.select("doc_id", "digest", "n_bytes", "sha").join(known, "digest")
-    columns = [
-        F.col("doc_id"), F.col("n_bytes"),
-        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(copied, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, nothing).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-    ]
-    if keep_text:
-        columns += [F.when(copied, "").otherwise(F.col("kept_text")).alias("kept_text")]
-    return out.select(*columns)
+    return scanned, scanned.groupBy("digest").agg(F.count("*").alias("copies")).join(cut, "digest", "left")

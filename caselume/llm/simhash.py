@@ -260,7 +260,7 @@ def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> t
     """``doc_id``, ``key`` of every row, and verified links (``a``, ``b``) between keys of similar texts.
 
     Texts whose fingerprints, of the whole or of a selection, are linked by the trie are compared: each text of such
-    a group with the group's first and last, so pairs grow with the texts. A link holds if the exact Jaccard
+    a group with two of it, chosen by a hash, so pairs grow with the texts. A link holds if the exact Jaccard
     similarity of their sets of shingles is ``similarity`` or more.
     """
     spark = docs.sparkSession
@@ -276,7 +276,9 @@ def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> t
     flat = stage(marked.select("key", F.explode("views").alias("fp")).distinct())
     roots = components(fingerprint_links(flat.select("fp"), 2)).withColumnsRenamed({"node": "fp"})
     grouped = stage(flat.join(roots, "fp", "left").select("key", F.coalesce("root", "fp").alias("g")).distinct())
-    ends = grouped.groupBy("g").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first != last")
+    # First and last in an order of the group's own, so that a text meets others in every group that it is in.
+    place = F.struct(F.xxhash64("key", "g").alias("h"), "key")
+    ends = grouped.groupBy("g").agg(F.min(place)["key"].alias("first"), F.max(place)["key"].alias("last")).filter("first != last")
     pairs = grouped.join(ends, "g").select("key", F.explode(F.array("first", "last")).alias("other")).filter("key != other")
     pairs = stage(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()

@@ -26,17 +26,17 @@ from .common import small_batches, stage, staged_map
 
 LENGTH, BATCH = 2048, 128
 #: Memory for ids of words that have come before, for each Python worker.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 1_200_000
 
-_TWO_SPACES = re.compile(r"\s\s|\0|[^\S \n]")
-_MARK_AFTER_MARK = re.compile(r"[^A-Za-z0-9À-ÖØ-öø-ÿ][,.]")
+_MARK_AFTER_MARK = re.compile(r"[,.](?<![A-Za-z0-9À-ÖØ-öø-ÿ][,.])")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
 
 def chunks(text: str) -> list[str]:
     """Parts that no pre-token reaches over: white space after a character that is none, and a
     comma or full stop after a letter or digit."""
-    if _TWO_SPACES.search(text) or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"):
+    # Only where each run of white space is one space or line end, inside the text, are all of these safe.
+    if text.split() != text.replace("\n", " ").split(" ") or "\0" in text:
         return _BEFORE_SPACE.split(text)
     parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
     if not _MARK_AFTER_MARK.search(text):
@@ -59,7 +59,8 @@ class Encoder:
         self.line = lone[0] if len(lone) == 1 else None
 
     def _learn(self, new: list[str]) -> None:
-        plain = [c for c in new if "\n" not in c] if self.line is not None else []
+        words = {c for c in new if c.strip(" ") == c.strip() and len(c.split()) == 1 and c[-1] != " "} if self.line is not None else set()
+        plain = [c for c in new if c in words]
         for i in range(0, len(plain), 256):
             # Chunks on lines of their own are encoded in one call and cut at the line ends.
             group = plain[i : i + 256]
@@ -68,9 +69,10 @@ class Encoder:
             if len(at) != len(group) - 1:
                 self.known.update((c, x.tobytes()) for c, x in zip(group, self._batch(group)))
                 continue
-            for c, x in zip(group, np.split(ids, at)):
-                self.known[c] = (x[1:] if c is not group[0] else x).tobytes()
-        rest = [c for c in new if "\n" in c] if self.line is not None else new
+            raw, size = ids.tobytes(), self.dtype.itemsize
+            begins, ends = [0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(raw)]
+            self.known.update((c, raw[a:z]) for c, a, z in zip(group, begins, ends))
+        rest = [c for c in new if c not in words]
         self.known.update((c, x.tobytes()) for c, x in zip(rest, self._batch(rest)))
 
     def _batch(self, texts: list[str]) -> list[np.ndarray]:
@@ -78,17 +80,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw ids of each text; the same as encoding it whole."""
-        parts = [chunks(t) for t in texts]
+        out: list[bytes | None] = []
+        waiting: list[tuple[int, list[str]]] = []
         new: dict[str, None] = {}
-        for p in parts:
-            found = list(map(self.known.get, p))
-            if None in found:
-                new.update((c, None) for c, x in zip(p, found) if x is None)
+        for i, text in enumerate(texts):
+            parts = chunks(text)
+            found = list(map(self.known.get, parts))
+            try:
+                out.append(b"".join(found))
+            except TypeError:  # a chunk is not known yet
+                out.append(None)
+                waiting.append((i, parts))
+                new.update((c, None) for c, x in zip(parts, found) if x is None)
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known, new = {"": b""}, dict.fromkeys(c for p in parts for c in p if c)
+            self.known, new = {"": b""}, dict.fromkeys(c for _, parts in waiting for c in parts if c)
         if new:
             self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        for i, parts in waiting:
+            out[i] = b"".join(map(self.known.__getitem__, parts))
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -49,7 +49,7 @@ def with_template(rows: DataFrame, text: str = "text") -> DataFrame:
     ]
     for step in steps:
         rows = rows.withColumn("m", step)
-    units = F.regexp_replace("m", rf"(?<={number}[0-9]{{1,40}} )({'|'.join(UNITS)})(?![^ ])", f"{unit}$0")
+    units = F.regexp_replace("m", rf"(?i)(?<={number}[0-9]{{1,40}} )({'|'.join(UNITS)})(?![^ ])", f"{unit}$0")
     rows = rows.withColumn("m", F.when(F.col("m").contains(number), units).otherwise(F.col("m"))).withColumn("t", F.lower("m"))
     for mark, slot in zip(MARKS, SLOTS):
         rows = rows.withColumn("t", F.when(F.col("t").contains(mark), F.regexp_replace("t", f"{mark}[^ ]*", slot)).otherwise(F.col("t")))
@@ -89,8 +89,11 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, blo
     """Matched texts (``doc_id``, ``key``), and the leaks of each ``key``."""
     slots = ", ".join(f"'{s}'" for s in SLOTS)
     items = with_template(benchmark.filter("item_id is not null").select("item_id", "text"))
-    items = items.select("item_id", F.split("m", " ", -1).alias("own"), "t").dropDuplicates()
-    items = stage(items.withColumn("item", F.xxhash64("item_id", "own")).withColumn("n", F.least(F.size("t"), F.lit(size))))
+    items = items.select("item_id", F.split("m", " ", -1).alias("own"), "t")
+    # Each item with its names as placeholders and as they are: a text in capitals shows no names.
+    as_they_are = F.expr(f"transform(t, (x, i) -> case when x = '{SLOTS[0]}' then lower(substring(own[i], 2)) else x end)")
+    items = items.union(items.withColumn("t", as_they_are)).dropDuplicates()
+    items = stage(items.withColumn("item", F.xxhash64("item_id", "own", "t")).withColumn("n", F.least(F.size("t"), F.lit(size))))
     texts = with_template(docs.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))))
     parts = []
     # Items of fewer words than a window are looked for whole, one size at a time.

@@ -7,6 +7,7 @@ slices or hash buckets plus a small table of offsets.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,12 +20,15 @@ from .random import seeded_uniform
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, the folder given to ``setCheckpointDir``; and a
-    temporary folder only where there is neither, as on a laptop.
+    Where the setting is absent, the folder given to ``setCheckpointDir``. Where there is
+    neither, a session on one machine gets a temporary folder, and a cluster an error: its
+    executors would each write to a disk of their own.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="caselume-"))
         named = context.getCheckpointDir()
     return named

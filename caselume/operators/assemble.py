@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.random import seeded_uniform
-from ..functions.scale import running_totals
+from ..functions.scale import running_totals, stage
 from .clean import suffix_collisions, suffix_columns
 
 
@@ -86,24 +86,45 @@ def explosion_size(tables: dict[str, DataFrame], key: str = rules.KEY) -> DataFr
     )
 
 
-def join_product(tables: dict[str, DataFrame], key: str = rules.KEY, always_suffix: bool = False) -> DataFrame:
+def join_product(
+    tables: dict[str, DataFrame], key: str = rules.KEY, always_suffix: bool = False, heavy_rows: int = 100_000, salts: int = 64
+) -> DataFrame:
     """Every combination of the rows of a key over all tables; the key must be in all.
 
-    All joins share one key, so each input is shuffled at most once, and adaptive
-    execution splits a heavy key. Columns that collide get the table name.
+    A key whose product has more than ``heavy_rows`` rows is split: the rows of its largest table
+    are dealt to ``salts`` parts, and the other tables' rows of that key are repeated for each
+    part, so the product of one key is formed in many tasks. All other keys are joined
+    as they are. Columns that collide get the table name.
     """
-    out: DataFrame | None = None
-    for name, table in tables.items():
-        if out is None:
-            out = suffix_columns(table, key, name) if always_suffix else table
-            continue
-        side = (
-            suffix_columns(table, key, name)
-            if always_suffix
-            else suffix_collisions(out.columns, table, key, name)
-        )
-        out = out.join(side, key, "inner")
-    return out
+    named: dict[str, DataFrame] = {}
+    taken: list[str] = []
+    for i, (name, table) in enumerate(tables.items()):
+        if always_suffix:
+            table = suffix_columns(table, key, name)
+        elif i:
+            table = suffix_collisions(taken, table, key, name)
+        named[name] = table
+        taken += [c for c in table.columns if c not in taken]
+    sizes = None
+    for i, table in enumerate(named.values()):
+        own = table.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias(f"_n{i}"))
+        sizes = own if sizes is None else sizes.join(own, key)
+    counts = [F.col(f"_n{i}") for i in range(len(named))]
+    product = counts[0]
+    for c in counts[1:]:
+        product = product * c
+    largest = F.array_position(F.array(*counts), F.array_max(F.array(*counts))).cast("int") - 1
+    heavy = stage(sizes.filter(product > heavy_rows).select(key, largest.alias("_wide")))
+
+    plain = split = None
+    for i, table in enumerate(named.values()):
+        light = table.join(heavy.select(key), key, "left_anti")
+        plain = light if plain is None else plain.join(light, key)
+        drawn = F.array(F.pmod(F.xxhash64(*table.columns), F.lit(salts)).cast("int"))
+        parts = F.when(F.col("_wide") == i, drawn).otherwise(F.sequence(F.lit(0), F.lit(salts - 1)))
+        dealt = table.join(heavy, key).withColumn("_salt", F.explode(parts)).drop("_wide")
+        split = dealt if split is None else split.join(dealt, [key, "_salt"])
+    return plain.unionByName(split.drop("_salt"))
 
 
 def joined_pair_counts(
@@ -118,16 +139,14 @@ def joined_pair_counts(
 
     A joined row is one choice per table, so a pair occurs
     (rows with the drug) x (rows with the term) x (rows in each other table) times
-    in a case. Each table is reduced to counts before the join.
+    in a case. Each table is reduced to counts before the join, and the other tables' counts
+    go into one weight of the drug side before drugs meet reactions.
     """
     d = drugs.groupBy(key, drug).agg(F.count(F.lit(1)).alias("_d"))
+    for o in others:
+        d = d.join(o.groupBy(key).agg(F.count(F.lit(1)).alias("_w")), key).withColumn("_d", F.col("_d") * F.col("_w")).drop("_w")
     t = terms.groupBy(key, term).agg(F.count(F.lit(1)).alias("_t"))
-    joined = d.join(t, key)
-    weight: Column = F.col("_d") * F.col("_t")
-    for i, o in enumerate(others):
-        joined = joined.join(o.groupBy(key).agg(F.count(F.lit(1)).alias(f"_w{i}")), key)
-        weight = weight * F.col(f"_w{i}")
-    return joined.groupBy(drug, term).agg(F.sum(weight).alias("count_a"))
+    return d.join(t, key).groupBy(drug, term).agg(F.sum(F.col("_d") * F.col("_t")).alias("count_a"))
 
 
 def limited_join_count(left: DataFrame, right: DataFrame, key: str = rules.KEY, n: int = 100) -> DataFrame:
@@ -147,50 +166,26 @@ def suspect_pair_counts(
     return joined_pair_counts(drugs.filter(F.col(role) == wanted), terms, [], drug, term, key)
 
 
-def ordered_lists(
-    df: DataFrame, key: str, order: str, item: str, name: str, max_items: int = 100_000
-) -> DataFrame:
-    """``(key, <name>_part, <name>)``: the items of a key in order, duplicates kept.
+def ordered_lists(df: DataFrame, key: str, order: str, item: str, name: str) -> DataFrame:
+    """``(key, <name>)``: one row per key with its items in order, duplicates kept.
 
-    A key with more than ``max_items`` rows is cut into consecutive parts, so no
-    array and no task grows without bound; every item is kept. Ordinary keys have
-    the single part 0.
+    An array holds a whole case, so it must fit in a row. Counting pairs and anything else that
+    grows with a case works on the child tables instead (``case_items``, ``suspect_pair_counts``).
     """
-    slim = df.select(key, F.col(order).alias("_o"), F.col(item).alias("_i"))
-    heavy = slim.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_items)
-    part = f"{name}_part"
-
-    def gather(rows: DataFrame, *keys: str) -> DataFrame:
-        packed = F.sort_array(F.collect_list(F.struct("_o", "_i")))
-        return rows.groupBy(*keys).agg(F.transform(packed, lambda s: s["_i"]).alias(name))
-
-    if heavy.isEmpty():
-        return gather(slim, key).select(key, F.lit(0).cast("bigint").alias(part), name)
-    light = gather(slim.join(heavy.select(key), key, "left_anti"), key)
-    counted = (
-        slim.join(heavy.select(key), key, "left_semi")
-        .groupBy(key, "_o", "_i")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # Position of every copy: copies of one item are generated in chunks of max_items.
-    spots = running_totals(counted, [key], ["_o", "_i"], ["n"]).withColumn("_first", F.col("cum_n") - F.col("n"))
-    chunks = spots.withColumn(
-        part,
-        F.explode(
-            F.sequence(
-                F.floor(F.col("_first") / max_items), F.floor((F.col("cum_n") - 1) / max_items)
-            )
-        ),
-    )
-    low = F.greatest(F.col("_first"), F.col(part) * max_items)
-    high = F.least(F.col("cum_n"), (F.col(part) + 1) * max_items)
-    copies = chunks.withColumn("_copies", (high - low).cast("int"))
-    packed = F.sort_array(F.collect_list(F.struct("_o", "_i", "_copies")))
-    repeated = F.flatten(F.transform(packed, lambda s: F.array_repeat(s["_i"], s["_copies"])))
-    split = copies.groupBy(key, part).agg(repeated.alias(name))
-    return light.select(key, F.lit(0).cast("bigint").alias(part), name).unionByName(
-        split.select(key, F.col(part).cast("bigint").alias(part), name)
+    packed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("_o"), F.col(item).alias("_i"))))
+    return df.groupBy(key).agg(F.transform(packed, lambda s: s["_i"]).alias(name))
+
+
+def case_items(df: DataFrame, key: str, order: str, item: str) -> DataFrame:
+    """The items of all cases as a child table: ``(key, position, item)``, positions from 1.
+
+    A case of any size is spread over range slices, so no task holds a whole one.
+    """
+    counted = df.select(key, F.col(order).alias("_o"), F.col(item).alias("item")).groupBy(key, "_o", "item").agg(
+        F.count(F.lit(1)).alias("n")
     )
+    spots = running_totals(counted, [key], ["_o", "item"], ["n"])
+    return spots.select(key, F.explode(F.sequence(F.col("cum_n") - F.col("n") + 1, F.col("cum_n"))).alias("position"), "item")
 
 
 def assemble_cases(
@@ -203,25 +198,18 @@ def assemble_cases(
     drug: tuple[str, str] = ("drug_seq", "drugname"),
     reaction: tuple[str, str] = ("pt", "pt"),
     outcome: tuple[str, str] = ("outc_cod", "outc_cod"),
-    max_items: int = 100_000,
 ) -> DataFrame:
     """One row per case with arrays of drugs, reactions and outcomes.
 
     Cases without a drug or without a reaction are left out; outcomes may be empty.
-    A case whose lists were cut into parts gives one row per combination of parts,
-    so every drug still meets every reaction.
     """
-    d = ordered_lists(drugs, key, *drug, "drugs", max_items)
-    r = ordered_lists(reactions, key, *reaction, "reactions", max_items)
-    o = ordered_lists(outcomes, key, *outcome, "outcomes", max_items)
     none = F.array().cast("array<string>")
     return (
         demo.select(key, *demo_cols)
-        .join(d, key)
-        .join(r, key)
-        .join(o, key, "left")
+        .join(ordered_lists(drugs, key, *drug, "drugs"), key)
+        .join(ordered_lists(reactions, key, *reaction, "reactions"), key)
+        .join(ordered_lists(outcomes, key, *outcome, "outcomes"), key, "left")
         .withColumn("outcomes", F.coalesce("outcomes", none))
-        .withColumn("outcomes_part", F.coalesce("outcomes_part", F.lit(0)))
     )
 
 

@@ -124,10 +124,19 @@ def severity_of(code: Column | str) -> Column:
     return from_table(upper_strip(code), rules.SEVERITY_OF_OUTCOME, rules.SEVERITY_DEFAULT)
 
 
-def with_severity(df: DataFrame, outcome: str | None = "outc_cod", name: str = "severity_level"):
-    """Severity from the first column whose name contains ``outcome``; none gives 1."""
+def with_severity(
+    df: DataFrame, outcome: str | None = "outc_cod", name: str = "severity_level", worst_of: str | None = None
+) -> DataFrame:
+    """Severity from the first column whose name contains ``outcome``; none gives 1.
+
+    With ``worst_of``, a key column, all rows of a key get the greatest severity among them.
+    """
     match = [c for c in df.columns if outcome and outcome in c]
-    return df.withColumn(name, severity_of(match[0]) if match else F.lit(rules.SEVERITY_DEFAULT))
+    rated = df.withColumn(name, severity_of(match[0]) if match else F.lit(rules.SEVERITY_DEFAULT))
+    if worst_of is None:
+        return rated
+    worst = rated.groupBy(worst_of).agg(F.max(name).alias(name)).withColumnRenamed(worst_of, "_worst_key")
+    return rated.drop(name).join(worst, F.col(worst_of).eqNullSafe(F.col("_worst_key"))).drop("_worst_key")
 
 
 def severity_label(level: Column | str) -> Column:
@@ -296,10 +305,10 @@ def clean_ther(df: DataFrame, key: str = rules.KEY, sequence: str = "drug_seq")
     if sequence in df.columns:
         out = positive_integer(out, sequence)
         measures["bad_sequence"] = F.coalesce(to_number(sequence) <= 0, F.lit(True))
-    done = _finish("ther", df, out, measures)
-    kept = drop_empty_columns(done.clean)
-    done.dropped_columns = tuple(c for c in done.clean.columns if c not in kept.columns)
-    done.clean = kept
+    # Duplicates don't change which columns are empty, so that is asked before their shuffle.
+    kept = drop_empty_columns(out)
+    done = _finish("ther", df, kept, measures)
+    done.dropped_columns = tuple(c for c in out.columns if c not in kept.columns)
     return done
 
 

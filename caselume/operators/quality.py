@@ -11,15 +11,10 @@ from .. import rules
 def column_actions(profile: DataFrame) -> DataFrame:
     """Adds the planned ``action`` to a column profile, from the null share and the type."""
     pct, text = F.col("pct_null"), F.col("type") == "string"
-    action = (
-        F.when(F.col("is_key"), "ninguna")
-        .when((pct == 0) & text, "normalizar")
-        .when(pct == 0, "ninguna")
-        .when((pct < 2) & text, "imputar_moda")
-        .when(pct < 2, "imputar_mediana")
-        .when(pct < 10, "imputar_mediana_o_knn")
-        .otherwise("eliminar_columna")
-    )
+    action = F.when(F.col("is_key"), rules.COLUMN_ACTION_KEY)
+    for below, for_text, for_numbers in rules.COLUMN_ACTIONS:
+        action = action.when(pct == 0 if below is None else pct < below, F.when(text, for_text).otherwise(for_numbers))
+    action = action.otherwise(rules.COLUMN_ACTION_ELSE)
     grade = (
         F.when(F.col("is_key"), "key")
         .when(pct == 0, "complete")
@@ -50,41 +45,24 @@ def recommended_techniques(
     ratio: Column, rows: Column, text_share: Column, minority_share: Column, cardinality: Column
 ) -> Column:
     """Ordered array of balancing techniques for the figures of one table."""
-    small, large = rows < rules.SMALL_ROWS, rows >= rules.LARGE_ROWS
-    nominal = (text_share >= rules.NOMINAL_SHARE) | (cardinality > rules.CARDINALITY_LIMIT)
-    rare = minority_share < rules.RARE_CLASS_SHARE
-    high = ratio >= rules.HYBRID_RATIO
-    medium = (ratio >= rules.SMOTE_RATIO) & ~high
-
-    def pick(*choices: tuple[Column | bool, str]) -> Column:
-        return F.array_compact(
-            F.array(*[F.when(c if isinstance(c, Column) else F.lit(c), F.lit(name)) for c, name in choices])
-        )
-
-    for_small = pick(
-        (rare, "adasyn"), (~rare, "smote"), (nominal, "smote_nc"), (high, "smoteenn")
-    )
-    for_large = pick(
-        (True, "random_undersampling"),
-        (ratio >= rules.SMOTE_RATIO, "smote"),
-        (high, "smoteenn"),
-        (rare, "adasyn"),
-        (nominal, "smote_nc"),
-    )
-    for_medium = pick(
-        (True, "random_undersampling"),
-        (ratio >= rules.SMOTE_RATIO, "smote"),
-        (high, "smoteenn"),
-        (nominal, "smote_nc"),
-        (rare, "adasyn"),
-        (medium, "borderline_smote"),
-    )
-    none = F.array().cast("array<string>")
+    true_of = {
+        "any": F.lit(True),
+        "rare": minority_share < rules.RARE_CLASS_SHARE,
+        "common": minority_share >= rules.RARE_CLASS_SHARE,
+        "nominal": (text_share >= rules.NOMINAL_SHARE) | (cardinality > rules.CARDINALITY_LIMIT),
+        "skewed": ratio >= rules.SMOTE_RATIO,
+        "high": ratio >= rules.HYBRID_RATIO,
+        "between": (ratio >= rules.SMOTE_RATIO) & (ratio < rules.HYBRID_RATIO),
+    }
+    by_size = {
+        size: F.array_compact(F.array(*[F.when(true_of[what], F.lit(name)) for what, name in rows_]))
+        for size, rows_ in rules.TECHNIQUES_BY_SIZE.items()
+    }
     chosen = (
-        F.when(ratio <= rules.BALANCED_RATIO, none)
-        .when(small, for_small)
-        .when(large, for_large)
-        .otherwise(for_medium)
+        F.when(ratio <= rules.BALANCED_RATIO, F.array().cast("array<string>"))
+        .when(rows < rules.SMALL_ROWS, by_size["small"])
+        .when(rows >= rules.LARGE_ROWS, by_size["large"])
+        .otherwise(by_size["medium"])
     )
     return F.array_distinct(chosen)
 
@@ -94,16 +72,16 @@ def winning_technique(recommended: Column) -> Column:
     return F.get(F.array_intersect(F.array(*[F.lit(t) for t in rules.TECHNIQUE_PRIORITY]), recommended), F.lit(0))
 
 
-# One sentence per technique, ours.
-REASONS = {
-    "smoteenn": "Adds synthetic rows, then removes the noisy ones.",
-    "smote_nc": "Keeps categories real while numbers are interpolated.",
-    "adasyn": "Puts synthetic rows where the minority is hardest to tell apart.",
-    "borderline_smote": "Adds rows only near the class border.",
-    "smote": "Adds rows evenly over the minority class.",
-    "tomek": "Removes border pairs without adding rows.",
-    "random_undersampling": "Cuts the large classes without adding rows.",
-}
+def reason(ratio: Column, minority_share: Column, text_share: Column, cardinality: Column) -> Column:
+    """The figures that decided, each with its value."""
+    figures = (
+        ("class ratio", ratio, ratio >= rules.SMOTE_RATIO),
+        ("minority share", minority_share, minority_share < rules.RARE_CLASS_SHARE),
+        ("share of text columns", text_share, text_share >= rules.NOMINAL_SHARE),
+        ("mean cardinality", cardinality, cardinality > rules.CARDINALITY_LIMIT),
+    )
+    told = [F.when(fired, F.concat(F.lit(f"{name} "), F.format_number(value, 3))) for name, value, fired in figures]
+    return F.concat_ws(", ", *told)
 
 
 def recommend(balance: DataFrame, mix: DataFrame) -> DataFrame:
@@ -122,5 +100,5 @@ def recommend(balance: DataFrame, mix: DataFrame) -> DataFrame:
     return (
         win.withColumn("alternatives", F.filter("techniques", lambda t: t != F.col("winner")))
         .withColumn("label", from_table("winner", rules.TECHNIQUE_LABELS))
-        .withColumn("reason", from_table("winner", REASONS))
+        .withColumn("reason", reason(*[F.col(c) for c in ("ratio", "minority_share", "text_share", "mean_cardinality")]))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import association as assoc
+from ..functions.scale import stage
 
 
 def known_pairs(df: DataFrame, drug: str, term: str) -> DataFrame:
@@ -79,6 +80,10 @@ def contingency(
         by_drug = triples.select(drug, case).distinct().groupBy(drug).agg(rows.alias("_drug"))
         by_term = triples.select(term, case).distinct().groupBy(term).agg(rows.alias("_term"))
         total = triples.select(case).distinct().agg(rows.alias("_n")).scalar()
+    return _with_margins(pairs, by_drug, by_term, total, drug, term)
+
+
+def _with_margins(pairs: DataFrame, by_drug: DataFrame, by_term: DataFrame, total, drug: str, term: str) -> DataFrame:
     a = F.col("count_a").cast("double")
     d = F.col("_drug").cast("double")
     t = F.col("_term").cast("double")
@@ -99,6 +104,22 @@ def contingency(
     )
 
 
+def case_contingency(drugs: DataFrame, terms: DataFrame, drug: str, term: str, case: str) -> DataFrame:
+    """``contingency`` by cases from two child tables: the same figures, with the product counted only once.
+
+    Both sides are distinct before they meet, so their product is too, and the margins are counts over the
+    children's cases that have both a drug and a term.
+    """
+    d = stage(drugs.select(case, drug).dropna().distinct())
+    t = stage(terms.select(case, term).dropna().distinct())
+    both = stage(d.select(case).distinct().join(t.select(case).distinct(), case))
+    rows = F.count(F.lit(1))
+    pairs = d.join(t, case).groupBy(drug, term).agg(rows.alias("count_a"))
+    by_drug = d.join(both, case, "left_semi").groupBy(drug).agg(rows.alias("_drug"))
+    by_term = t.join(both, case, "left_semi").groupBy(term).agg(rows.alias("_term"))
+    return _with_margins(pairs, by_drug, by_term, both.agg(rows.alias("_n")).scalar(), drug, term)
+
+
 def score_pairs(table: DataFrame, drug: str, term: str, clamp: bool = False) -> DataFrame:
     """All measures of a contingency table: counts, support, PRR, chi-square, ROR, p."""
     a, b, c, d = (F.col(f"count_{k}").cast("double") for k in "abcd")

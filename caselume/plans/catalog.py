@@ -48,9 +48,9 @@ def signals_all_pairs(spark, sf):
 @query
 def signals_by_case(spark, sf):
     rows = inputs.reports(spark, sf)
-    drugs = rows.select("primaryid", F.col("p_brand").alias("drugname")).distinct()
-    pairs = drugs.join(rows.select("primaryid", "pt").distinct(), "primaryid")
-    return _round(signals.safety_signals(pairs, case="primaryid", min_prr=1.2))
+    drugs = rows.select("primaryid", F.col("p_brand").alias("drugname"))
+    table_ = signals.case_contingency(drugs, rows.select("primaryid", "pt"), "drugname", "pt", "primaryid")
+    return _round(signals.keep_signals(signals.score_pairs(table_, "drugname", "pt"), min_prr=1.2))
 
 
 @query
@@ -733,3 +733,98 @@ def stream_alert_counts(spark, sf):
     every = spark.read.schema("level string, consumed bigint, alerts bigint, batch int").json(f"{out}/counts")
     last = every.agg(F.max("batch").alias("b")).scalar()
     return every.filter(F.col("batch") == last).drop("batch")
+
+
+@query
+def stream_level_totals(spark, sf):
+    """Running alert totals by level, over the alerts of the event stream."""
+    from ..streaming import alerts
+
+    out = _folder(spark)
+    found = _event_stream(spark, sf).filter(F.col("value") >= 10).select(F.get("drugs", F.lit(0)).alias("level"))
+    alerts.start_level_counts(found, f"{out}/totals", f"{out}/state", level="level").awaitTermination()
+    every = spark.read.schema("level string, alerts bigint, batch int").json(f"{out}/totals")
+    last = every.agg(F.max("batch").alias("b")).scalar()
+    return every.filter(F.col("batch") == last).drop("batch")
+
+
+# --- sources: a given table written, and read back ---------------------------------------
+
+
+def _customer_text(spark, sf):
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("primaryid"), "c_name", F.col("c_mktsegment").alias("sex"), F.col("c_nationkey").cast("string").alias("age")
+    )
+
+
+@query
+def delimited_roundtrip(spark, sf):
+    """Two extracts with another order of columns, read as one table by their own headers."""
+    from ..sources import files
+
+    out, rows = _folder(spark), _customer_text(spark, sf)
+    old = F.col("primaryid").cast("bigint") % 2 == 0
+    files.write_delimited(rows.filter(old).select("primaryid", "sex", "age"), f"{out}/DEMO1")
+    files.write_delimited(rows.filter(~old).select("primaryid", "age", "sex", "c_name"), f"{out}/DEMO2")
+    return files.read_delimited(spark, f"{out}/DEMO*")
+
+
+@query
+def tolerant_read(spark, sf):
+    """Lines with too many fields are left out, and counted beside the rows that stay."""
+    from ..sources import files
+
+    out, rows = _folder(spark), _customer_text(spark, sf)
+    torn = F.when(F.col("primaryid").cast("bigint") % 10 == 3, F.concat("sex", F.lit("$"), "age")).otherwise(F.col("sex"))
+    files.write_delimited(rows.select("primaryid", torn.alias("sex")), f"{out}/DEMO")
+    good = files.read_delimited(spark, f"{out}/DEMO", tolerant=True)
+    bad = files.bad_lines(spark, f"{out}/DEMO")
+    return good.groupBy("sex").agg(F.count(F.lit(1)).alias("n")).union(bad.agg(F.lit("bad lines"), F.count(F.lit(1))))
+
+
+@query
+def json_lines_roundtrip(spark, sf):
+    """JSON lines with a torn line for every tenth row; what does not parse is dropped."""
+    from ..sources import files
+
+    out, rows = _folder(spark), _customer_text(spark, sf)
+    whole = F.to_json(F.struct("primaryid", "sex"))
+    line = F.when(F.col("primaryid").cast("bigint") % 10 == 3, F.substring(whole, 1, 9)).otherwise(whole)
+    rows.select(line.alias("value")).write.text(f"{out}/cases")
+    return files.read_json_lines(spark, f"{out}/cases", "primaryid string, sex string")
+
+
+@query
+def csv_signal_lookup(spark, sf):
+    """Signals written as CSV, read back, and attached to the pairs of the reports."""
+    from ..sources import files
+
+    out = _folder(spark)
+    rows = inputs.reports(spark, sf).select("primaryid", F.col("p_brand").alias("drugname"), "pt")
+    scored = signals.score_pairs(signals.contingency(rows, "drugname", "pt"), "drugname", "pt")
+    files.write_csv(signals.keep_signals(scored, min_prr=1.2).select("drugname", "pt", "count_a", "prr"), f"{out}/signals")
+    cases = signals.attach_signals(rows, files.read_signals(spark, f"{out}/signals"), "drugname", "pt")
+    return cases.groupBy("known_signal").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("count_a", F.lit(0.0))).alias("counts"))
+
+
+# --- codes -----------------------------------------------------------------------------
+
+
+@query
+def code_labels(spark, sf):
+    """Labels of role and outcome codes, and the worst severity of each case."""
+    o = table(spark, sf, "orders")
+    code = F.get(F.split(F.lit("DE LT HO DS CA RI OT ZZ"), " "), (F.col("o_orderkey") % 8).cast("int"))
+    role = F.get(F.split(F.lit("PS SS C I ??"), " "), (F.col("o_orderkey") % 5).cast("int"))
+    rows = o.select(F.col("o_custkey").alias("primaryid"), code.alias("outc_cod"), role.alias("role_cod"))
+    rated = clean.with_severity(rows, worst_of="primaryid")
+    return rated.groupBy(
+        clean.role_label("role_cod").alias("role"), clean.outcome_label("outc_cod").alias("outcome"), F.col("severity_level").cast("int").alias("worst")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def case_items(spark, sf):
+    """The drugs of all cases as a child table, in order."""
+    rows = inputs.reports(spark, sf).select("primaryid", F.col("p_brand").alias("o"), F.col("drugname"))
+    return assemble.case_items(rows, "primaryid", "o", "drugname")

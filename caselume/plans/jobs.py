@@ -18,9 +18,15 @@ from ..sources import files
 from . import training
 
 
-def read_raw(spark: SparkSession, folder: str, tables: tuple[str, ...] = rules.TABLES) -> dict[str, DataFrame]:
+def raw_path(folder: str, table: str) -> str:
+    return f"{folder}/{table.upper()}*.txt"
+
+
+def read_raw(
+    spark: SparkSession, folder: str, tables: tuple[str, ...] = rules.TABLES, tolerant: bool = False
+) -> dict[str, DataFrame]:
     """The delimited tables of a folder, found by name (``DEMO*.txt`` and so on)."""
-    return {t: files.read_delimited(spark, f"{folder}/{t.upper()}*.txt", tolerant=True) for t in tables}
+    return {t: files.read_delimited(spark, raw_path(folder, t), tolerant=tolerant) for t in tables}
 
 
 def read_clean(spark: SparkSession, folder: str, tables: tuple[str, ...] = rules.TABLES) -> dict[str, DataFrame]:
@@ -45,14 +51,22 @@ def profile_job(spark: SparkSession, raw: str, out: str, tables: tuple[str, ...]
     files.write_csv(_union([profile.duplicate_stats(df, rules.KEY, t.upper()) for t, df in loaded.items()]), f"{out}/duplicates")
 
 
-def clean_job(spark: SparkSession, raw: str, out: str, tables: tuple[str, ...] = rules.TABLES) -> None:
-    """Apply the recipe of every table; write Parquet, and the audit as JSON."""
+def clean_job(
+    spark: SparkSession, raw: str, out: str, tables: tuple[str, ...] = rules.TABLES, tolerant: bool = False
+) -> None:
+    """Apply the recipe of every table; write Parquet, and the audit as JSON.
+
+    A line with too many fields ends the job, or with ``tolerant`` is left out and counted in the audit.
+    """
     audits = []
-    for t, df in read_raw(spark, raw, tables).items():
+    for t, df in read_raw(spark, raw, tables, tolerant).items():
         done = clean.RECIPES[t](clean.key_named(df))
         files.write_parquet(done.clean, f"{out}/{t}")
         written = files.read_parquet(spark, f"{out}/{t}")
         audits.append(clean.Cleaned(t, done.raw, written, done.measures).audit())
+        if tolerant:
+            lost = files.bad_lines(spark, raw_path(raw, t)).agg(F.count(F.lit(1)).alias("value"))
+            audits.append(lost.select(F.lit(t).alias("table"), F.lit("bad_lines").alias("measure"), "value"))
     files.write_json(_union(audits), f"{out}/_audit")
 
 
@@ -94,8 +108,7 @@ def signal_job(
         counts = assemble.joined_pair_counts(named["drug"], named["reac"], others, "drugname", "pt")
         table = signals.contingency(counts, "drugname", "pt", weight="count_a")
     else:
-        pairs = named["drug"].distinct().join(named["reac"].distinct(), rules.KEY)
-        table = signals.contingency(pairs, "drugname", "pt", case=rules.KEY)
+        table = signals.case_contingency(named["drug"], named["reac"], "drugname", "pt", rules.KEY)
     found = signals.keep_signals(signals.score_pairs(table, "drugname", "pt"), **limits)
     files.write_csv(found.orderBy(F.desc("chi2"), "drugname", "pt"), out)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .. import rules
 from ..functions import association as assoc
 
 ORACLE: dict[str, str] = {}
@@ -714,3 +715,55 @@ _add(
     "stream_alert_counts",
     f"with {_EVENTS} select drugname as level, count(*) as consumed, count(*) filter (where value >= 10) as alerts from ev group by all",
 )
+
+# --- streams, sources and codes ----------------------------------------------------------
+
+
+def _case(column: str, values: dict, other) -> str:
+    """The SQL of a lookup in one of the fixed tables."""
+    cells = " ".join(f"when {k!r} then {v!r}" for k, v in values.items())
+    return f"case {column} {cells} else {other!r} end"
+
+
+_add(
+    "stream_level_totals",
+    """select upper(event_type) as level, count(*) as alerts from events where value >= 10 group by all""",
+)
+_add(
+    "delimited_roundtrip",
+    """select cast(c_custkey as varchar) as primaryid, c_mktsegment as sex, cast(c_nationkey as varchar) as age,
+ case when c_custkey % 2 <> 0 then c_name end as c_name from customer""",
+)
+_add(
+    "tolerant_read",
+    """select c_mktsegment as sex, count(*) as n from customer where c_custkey % 10 <> 3 group by all
+ union all select 'bad lines', count(*) from customer where c_custkey % 10 = 3""",
+)
+_add(
+    "json_lines_roundtrip",
+    """select cast(c_custkey as varchar) as primaryid, c_mktsegment as sex from customer where c_custkey % 10 <> 3""",
+)
+_add(
+    "csv_signal_lookup",
+    f"""with {REPORTS},
+ rows_ as (select p_brand as drugname, pt from reports),
+ pairs as (select drugname, pt, count(*) as k from rows_ group by all),
+ d as (select drugname, count(*) as kd from rows_ group by all), t as (select pt, count(*) as kt from rows_ group by all),
+ cells as (select drugname, pt, cast(k as double) as a, cast(kd - k as double) as b, cast(kt - k as double) as c,
+                  cast((select count(*) from rows_) - kd - kt + k as double) as d, cast((select count(*) from rows_) as double) as n
+           from pairs join d using (drugname) join t using (pt)),
+ {_measures(False)} , known as ({_OUT} where a >= 3 and prr >= 1.2 and chi2 >= 3.84)
+ select known.count_a is not null as known_signal, count(*) as n, sum(coalesce(cast(known.count_a as double), 0.0)) as counts
+ from rows_ left join known on rows_.drugname = known.drugname and rows_.pt = known.pt group by all""",
+)
+_add(
+    "code_labels",
+    f"""with rows_ as (select o_custkey as k, ['DE','LT','HO','DS','CA','RI','OT','ZZ'][o_orderkey % 8 + 1] as outc, ['PS','SS','C','I','??'][o_orderkey % 5 + 1] as role from orders),
+ rated as (select k, max({_case("outc", rules.SEVERITY_OF_OUTCOME, rules.SEVERITY_DEFAULT)}) as worst from rows_ group by k)
+ select {_case("role", rules.ROLE_LABELS, rules.UNKNOWN_LABEL)} as role, {_case("outc", rules.OUTCOME_LABELS, rules.UNKNOWN_LABEL)} as outcome, worst, count(*) as n
+ from rows_ join rated using (k) group by all""",
+)
+_add(
+    "case_items",
+    f"""with {REPORTS} select primaryid, row_number() over (partition by primaryid order by p_brand, drugname) as position, drugname as item from reports""",
+)

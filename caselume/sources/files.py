@@ -17,6 +17,21 @@ def header_of(spark: SparkSession, path: str, sep: str = rules.SEPARATOR, encodi
     return [c.strip().lower() for c in raw.columns]
 
 
+def headers_of(spark: SparkSession, path: str, sep: str = rules.SEPARATOR, encoding: str = rules.ENCODING) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path or glob by their header, in order of the file names. Reads one line of each file."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        out.setdefault(tuple(header_of(spark, file, sep, encoding)), []).append(file)
+    return out
+
+
+def _fields(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> DataFrame:
+    """Lines as ``line`` and ``f``, their fields. Whole lines come first (no text holds
+    the separator used for that), so that a line can be judged by its number of fields."""
+    reader = spark.read.option("header", True).option("encoding", encoding).option("quote", "").option("sep", "\u0001")
+    return reader.schema("line string").csv(paths).withColumn("f", F.split("line", f"[{sep}]"))
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -29,28 +44,39 @@ def read_delimited(
 ) -> DataFrame:
     """A delimited table as text columns with normalised names.
 
-    Nothing is inferred, so the file is scanned once and only an empty field is
-    null. ``tolerant`` skips lines with too many fields; short lines are filled with
-    nulls either way. ``limit`` with ``order_by`` takes the first rows in key order.
+    Every file is read by its own header, and columns meet by name: one that a file lacks is
+    null there. Nothing is inferred, and an empty field is null; short lines are filled with nulls. A
+    line with too many fields is an error, or with ``tolerant`` left out; ``bad_lines`` lists those.
+    ``limit`` with ``order_by`` takes the first rows in key order.
     """
-    names = header_of(spark, path, sep, encoding)
-    reader = spark.read.option("header", True).option("encoding", encoding).option("quote", "")
-    if tolerant:
-        # Whole lines first (the separator is a character that text does not hold),
-        # so that a line can be judged by its number of fields.
-        lines = reader.schema("line string").option("sep", "\u0001").csv(path)
-        fields = lines.select(F.split("line", f"[{sep}]").alias("f")).filter(F.size("f") <= len(names))
-        df = fields.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
-    else:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = reader.schema(schema).option("sep", sep).option("nullValue", "").option("enforceSchema", True).csv(path)
+    df = None
+    for names, paths in headers_of(spark, path, sep, encoding).items():
+        lines = _fields(spark, paths, sep, encoding)
+        if tolerant:
+            lines = lines.filter(F.size("f") <= len(names))
+        else:
+            told = F.concat(F.lit("line with too many fields: "), F.col("line"))
+            lines = lines.filter(F.assert_true(F.size("f") <= len(names), told).isNull())
+        part = lines.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
+        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+    if df is None:
+        raise FileNotFoundError(path)
     if columns:
-        df = df.select(*[c for c in names if c in set(columns)])
+        df = df.select(*[c for c in df.columns if c in set(columns)])
     if limit is not None:
         df = (df.orderBy(order_by) if order_by else df).limit(limit)
     return df
 
 
+def bad_lines(spark: SparkSession, path: str, sep: str = rules.SEPARATOR, encoding: str = rules.ENCODING) -> DataFrame:
+    """The lines that ``tolerant`` leaves out: ``file``, ``line``."""
+    out = spark.createDataFrame([], "file string, line string")
+    for names, paths in headers_of(spark, path, sep, encoding).items():
+        lines = _fields(spark, paths, sep, encoding).filter(F.size("f") > len(names))
+        out = out.union(lines.select(F.input_file_name(), "line"))
+    return out
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = rules.SEPARATOR, encoding: str = rules.ENCODING) -> None:
     (
         df.write.mode("overwrite")

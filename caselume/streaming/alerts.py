@@ -20,16 +20,21 @@ def first_pair(cases: DataFrame) -> DataFrame:
     )
 
 
+def alert_text(level, sure):
+    """The fixed sentence with its three values."""
+    out = F.lit(rules.ALERT_TEXT)
+    for name, value in (("level", level.cast("string")), ("label", severity_label(level)), ("share", F.format_string("%.2f%%", sure * 100))):
+        out = F.replace(out, F.lit(f"{{{name}}}"), value)
+    return out
+
+
 def severity_alerts(
     cases: DataFrame, encoder: CaseEncoder, model: FittedModel, least: int = rules.ALERT_MIN_SEVERITY
 ) -> DataFrame:
     """Cases predicted severe. Stateless, so it runs on a stream or a table alike."""
     scored = model.predict(encoder.transform(first_pair(cases)))
     level, sure = F.col("prediction"), F.col("confidence")
-    reason = F.concat(
-        F.lit("Modelo ML predice severidad="), level.cast("string"), F.lit(" ("), severity_label(level),
-        F.lit(") con confianza="), F.format_string("%.2f%%", sure * 100),
-    )
+    reason = alert_text(level, sure)
     return scored.filter(level >= least).select(
         F.current_timestamp().alias("alert_timestamp"),
         "primaryid",
@@ -133,14 +138,28 @@ def write_per_batch(stream: DataFrame, path: str, checkpoint: str, make=None, mo
     )
 
 
-def start_signal_alerts(stream: DataFrame, signals: DataFrame, path: str, checkpoint: str, **limits) -> StreamingQuery:
-    """Signal alerts with the micro-batch as the scope of counting."""
+#: What is there now, and then the query ends. A service passes {"processingTime": "10 seconds"} and stays on its topic.
+ONCE = {"availableNow": True}
+
+
+def start_signal_alerts(
+    stream: DataFrame, signals: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, **limits
+) -> StreamingQuery:
+    """Signal alerts with the micro-batch as the scope of counting; ``trigger`` as in ``DataStreamWriter.trigger``."""
     writer = write_per_batch(stream, path, checkpoint, lambda b: signal_alerts(b, signals, **limits))
-    return writer.trigger(availableNow=True).start()
+    return writer.trigger(**(trigger or ONCE)).start()
+
+
+def start_level_counts(
+    alerts: DataFrame, path: str, checkpoint: str, level: str = "predicted_severity", trigger: dict | None = None
+) -> StreamingQuery:
+    """Running alert totals by level; each batch writes the totals so far under its own number."""
+    writer = write_per_batch(level_counts(alerts, level), path, checkpoint, mode="complete")
+    return writer.trigger(**(trigger or ONCE)).start()
 
 
 def start_severity_alerts(
-    stream: DataFrame, encoder: CaseEncoder, model: FittedModel, path: str, checkpoint: str
+    stream: DataFrame, encoder: CaseEncoder, model: FittedModel, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Severity alerts appended as JSON lines by the file sink (exactly once)."""
     return (
@@ -148,6 +167,6 @@ def start_severity_alerts(
         .writeStream.format("json")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )

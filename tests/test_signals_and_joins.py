@@ -100,28 +100,54 @@ def test_cases_without_drug_or_reaction_are_left_out(spark):
     assert got[1]["drugs"] == ["A", "A", "B"] and got[1]["outcomes"] == []
 
 
-def test_a_heavy_case_is_cut_into_whole_parts(spark):
+def test_a_heavy_case_stays_one_row_and_a_child_table_spreads_it(spark):
     rows = [(1, i, "same") for i in range(40)] + [(1, 100 + i % 3, f"d{i % 5}") for i in range(35)] + [(2, 1, "z")]
     df = spark.createDataFrame(rows, "primaryid int, s int, item string")
-    parts = assemble.ordered_lists(df, "primaryid", "s", "item", "items", max_items=8).collect()
-    assert max(len(r["items"]) for r in parts) <= 8
-    heavy = sorted((r for r in parts if r["primaryid"] == 1), key=lambda r: r["items_part"])
-    flat = [x for r in heavy for x in r["items"]]
-    assert flat == [i for _, _, i in sorted(rows[:-1], key=lambda r: (r[1], r[2]))]
-    one = assemble.ordered_lists(
-        spark.createDataFrame([(1, 1, "c")] * 20, "primaryid int, s int, item string"), "primaryid", "s", "item", "items", 6
-    ).collect()
-    assert sorted(len(r["items"]) for r in one) == [2, 6, 6, 6]
-
-
-def test_parts_of_a_heavy_case_keep_every_pair(spark):
+    want = [i for _, _, i in sorted(rows[:-1], key=lambda r: (r[1], r[2]))]
+    lists = {r["primaryid"]: r["items"] for r in assemble.ordered_lists(df, "primaryid", "s", "item", "items").collect()}
+    assert lists == {1: want, 2: ["z"]}
+    child = assemble.case_items(df, "primaryid", "s", "item").collect()
+    assert [r["item"] for r in sorted(child, key=lambda r: r["position"]) if r["primaryid"] == 1] == want
+    assert sorted(r["position"] for r in child if r["primaryid"] == 1) == list(range(1, 76))
+
+
+def test_a_heavy_case_is_assembled_and_alerts_once(spark):
+    from caselume.streaming import alerts
+
     demo = spark.createDataFrame([(1, "F")], "primaryid int, sex string")
-    drug = spark.createDataFrame([(1, i, f"d{i}") for i in range(5)], "primaryid int, drug_seq int, drugname string")
-    reac = spark.createDataFrame([(1, f"r{i}") for i in range(4)], "primaryid int, pt string")
+    drug = spark.createDataFrame([(1, i, f"d{i}") for i in range(500)], "primaryid int, drug_seq int, drugname string")
+    reac = spark.createDataFrame([(1, f"r{i}") for i in range(40)], "primaryid int, pt string")
     outc = spark.createDataFrame([], "primaryid int, outc_cod string")
-    cases = assemble.assemble_cases(demo, drug, reac, outc, demo_cols=("sex",), max_items=2)
-    pairs = assemble.case_pairs(cases, keep=("primaryid",)).distinct().collect()
-    assert len(pairs) == 20
+    cases = assemble.assemble_cases(demo, drug, reac, outc, demo_cols=("sex",))
+    assert cases.count() == 1 and alerts.first_pair(cases).count() == 1
+    assert assemble.case_pairs(cases, keep=("primaryid",)).distinct().count() == 20_000
+
+
+def test_a_hot_key_of_the_product_is_dealt_out(spark):
+    a = spark.createDataFrame([(1, i) for i in range(400)] + [(k, k) for k in range(2, 200)], "primaryid int, a int")
+    b = spark.createDataFrame([(1, i) for i in range(30)] + [(k, k) for k in range(2, 200)] + [(None, 5)], "primaryid int, b int")
+    c = spark.createDataFrame([(1, i) for i in range(3)] + [(k, k) for k in range(2, 150)], "primaryid int, c int")
+    tables = {"a": a, "b": b, "c": c}
+    plain = assemble.join_product(tables, heavy_rows=10**9)
+    split = assemble.join_product(tables, heavy_rows=1000, salts=16)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect())) and plain.count() == 400 * 30 * 3 + 148
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = assemble.join_product(tables, heavy_rows=1000, salts=16).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(sizes) < 0.5 * sum(sizes)
+
+
+def test_signals_by_case_from_child_tables(spark):
+    drugs = spark.createDataFrame([(k, f"d{k % 3}") for k in range(60)] * 2 + [(100, "d0"), (7, None)], "primaryid int, drugname string")
+    terms = spark.createDataFrame([(k, f"t{k % 4}") for k in range(60)] + [(k, "t0") for k in range(0, 60, 5)] + [(101, "t1")], "primaryid int, pt string")
+    rows = drugs.dropna().join(terms, "primaryid")
+    want = signals.contingency(rows, "drugname", "pt", case="primaryid")
+    got = signals.case_contingency(drugs, terms, "drugname", "pt", "primaryid")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_limited_join_counts_the_first_keys(spark):

@@ -141,11 +141,54 @@ def test_delimited_reading(spark, tmp_path):
     assert rows["1"]["drugname"] == '"OPEN' and rows["1"]["n"] == "NA"
     assert rows["2"]["drugname"] == "caf\xe9" and rows["2"]["n"] is None and rows["4"]["n"] is None
     assert files.read_delimited(spark, str(path), ["drugname"]).columns == ["drugname"]
-    two = files.read_delimited(spark, str(path), limit=2, order_by="primaryid")
+    two = files.read_delimited(spark, str(path), limit=2, order_by="primaryid", tolerant=True)
     assert sorted(r["primaryid"] for r in two.collect()) == ["1", "2"]
     assert files.read_delimited(spark, str(path), ["primaryid"], tolerant=True).count() == 3
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "DEMO24Q1.txt").write_text("primaryid$sex$age\n1$F$55\n2$M$40\n3$M$1$torn\n")
+    (tmp_path / "DEMO24Q2.txt").write_text("primaryid$age$sex$country\n4$33$F$ES\n")
+    path = str(tmp_path / "DEMO*.txt")
+    rows = {r["primaryid"]: r.asDict() for r in files.read_delimited(spark, path, tolerant=True).collect()}
+    assert rows["4"] == {"primaryid": "4", "sex": "F", "age": "33", "country": "ES"} and rows["1"]["age"] == "55" and rows["1"]["country"] is None
+    bad = files.bad_lines(spark, path).collect()
+    assert [(r["file"].rpartition("/")[2], r["line"]) for r in bad] == [("DEMO24Q1.txt", "3$M$1$torn")]
+    with pytest.raises(Exception, match="too many fields"):
+        files.read_delimited(spark, path).collect()
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from caselume.functions import scale
+
+    context = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scale.staging_dir(SimpleNamespace(sparkContext=context))
+
+
+def test_a_stream_can_stay_on_its_source(spark, tmp_path):
+    import time
+
+    (tmp_path / "in").mkdir()
+    case = '{"primaryid": 1, "drugs": ["A"], "reactions": ["X"], "stream_timestamp": "2024-01-01T00:00:00"}'
+    stream = queue.read_file_cases(spark, str(tmp_path / "in"), 100).selectExpr("drugs[0] as level")
+    run = alerts.start_level_counts(stream, str(tmp_path / "out"), str(tmp_path / "state"), "level", {"processingTime": "200 milliseconds"})
+    try:
+        for n in range(2):
+            (tmp_path / "in" / f"f{n}.json").write_text(case.replace(": 1", f": {n + 1}") + "\n")
+            for _ in range(100):
+                if list((tmp_path / "out").glob(f"batch={n}/*.json")):
+                    break
+                time.sleep(0.3)
+        assert run.isActive
+        totals = spark.read.json(str(tmp_path / "out")).groupBy().max("alerts").first()[0]
+        assert totals == 2
+    finally:
+        run.stop()
+
+
 def test_delimited_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("1", "caf\xe9"), ("2", None)], "primaryid string, v string")
     files.write_delimited(df, str(tmp_path / "d"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import group_bounds, small_batches, stage, staged_map, whole_groups
+from .common import group_bounds, small_batches, stage, staged_map, trimmed, whole_groups
 
 LEAST, GRAM = 200, 24
 #: Suffixes with one beginning above which they are not gathered in one task.
@@ -374,7 +374,7 @@ def _removals(docs: DataFrame, least: int, large: int, text: str) -> tuple[DataF
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = "doc_id long, digest binary, n_bytes long, sha string, anchors array<struct<h:long,pos:int,twice:boolean>>, runs array<struct<begin:int,end:int>>"
     with small_batches(spark, 512, 2 << 20):
-        scanned = stage(rows.mapInArrow(lambda batches: _scan(batches, least), kind))
+        scanned = stage(rows.mapInArrow(trimmed(lambda batches: _scan(batches, least)), kind))
 
     # Beginnings that come in two texts, or twice in one. Eight bytes of a digest
     # name a text here: if two texts shared them, some places would be looked at in vain.
@@ -393,10 +393,10 @@ def _removals(docs: DataFrame, least: int, large: int, text: str) -> tuple[DataF
     )
     found = stage(texts.filter(F.length("text") >= least).join(wanted, "d").drop("d"))
     with small_batches(spark, 256, 4 << 20):
-        suffixes = found.mapInArrow(_contexts(least), "h long, left binary, right binary, digest binary, pos int, large boolean")
+        suffixes = found.mapInArrow(trimmed(_contexts(least)), "h long, left binary, right binary, digest binary, pos int, large boolean")
         near = (
             suffixes.filter("not large").drop("large").repartition("h").sortWithinPartitions("h")
-            .mapInArrow(_spans(least), "digest binary, begin int, end int")
+            .mapInArrow(trimmed(_spans(least)), "digest binary, begin int, end int")
         )
         often = found.filter(F.exists("places", lambda x: x["large"])).mapInArrow(
             _contexts(least), "h long, left binary, right binary, digest binary, pos int, large boolean"

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scale import staging_dir
 from ..session import ship_package
-from .common import small_batches, stage, staged_map
+from .common import small_batches, stage, staged_map, trimmed
 
 LENGTH, BATCH = 2048, 128
 #: Memory for ids of words that have come before, for each Python worker.
@@ -247,7 +247,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
     files = stage(manifest).select("file", "start")
     with small_batches(spark):
-        return stage(files.repartition(max(1, spark.sparkContext.defaultParallelism * 2), "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+        return stage(files.repartition(max(1, spark.sparkContext.defaultParallelism * 2), "file").mapInArrow(trimmed(run), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 class Sequences:

@@ -12,6 +12,7 @@ those 32 bits, which leaves tries of 16 bits and so of 65,536 leaves at most.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -22,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import components, group_bounds, small_batches, stage, whole_groups
+from .common import components, give_back, group_bounds, small_batches, stage, trimmed, whole_groups
 
 #: Fingerprints in a trie above which it is dealt out once more.
 LARGE_TRIE = 1024
 #: Pairs of nodes that a task may hold at a time, by an upper bound.
-PAIRS_AT_ONCE = 1_000_000
+PAIRS_AT_ONCE = 400_000
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -63,8 +64,10 @@ def with_fingerprint(docs: DataFrame, words: int = 3, text: str = "text") -> Dat
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8"))
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8"))
+        give_back()
 
     return docs.withColumn("fingerprint", of(text))
 
@@ -188,7 +191,7 @@ def fingerprint_links(fingerprints: DataFrame, budget: int = 2, every_link: bool
         (_deal_again(found.filter(F.col("n") > large)), ["way0", "path0", "way", "path"], 16),
     ):
         links = (
-            part.repartition(*keys).sortWithinPartitions(*keys, "rest").mapInArrow(_within(budget, bits, keys, every_link), "a long, b long, bits int")
+            part.repartition(*keys).sortWithinPartitions(*keys, "rest").mapInArrow(trimmed(_within(budget, bits, keys, every_link)), "a long, b long, bits int")
         )
         out = links if out is None else out.union(links)
     if every_link:
@@ -268,8 +271,10 @@ def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> t
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5("text")))
 
     @F.pandas_udf("array<long>")
-    def views(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: view_fingerprints(t, words))
+    def views(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: view_fingerprints(t, words))
+        give_back()
 
     with small_batches(spark):
         marked = stage(rows.select("doc_id", "key", views("text").alias("views")))

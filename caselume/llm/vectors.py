@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import components, group_bounds, small_batches, stage, staged_map, whole_groups
+from .common import components, group_bounds, small_batches, stage, staged_map, trimmed, whole_groups
 
 #: Vectors that centres are fitted on at most; vectors in a shard on average, and at most before it is dealt out by hash.
 SAMPLE, SHARD, LARGE_SHARD = 20_000, 600, 3_000
@@ -300,7 +300,7 @@ def _search_all(vectors: DataFrame, least: float, copies: int, slack: float) ->
     with small_batches(spark, 1000):
         graphs = stage(
             placed.select("shard", "part", "id", "v", "n", "home").repartition("shard", "part").sortWithinPartitions("shard", "part", "id")
-            .mapInArrow(_graphs, "shard int, part int, id long, v array<double>, n long, home boolean, near array<bigint>, medoid boolean")
+            .mapInArrow(trimmed(_graphs), "shard int, part int, id long, v array<double>, n long, home boolean, near array<bigint>, medoid boolean")
         )
     # The lists of a vector's copies, joined: from each copy the search may go on in every shard that has one.
     homes = graphs.groupBy("id").agg(F.collect_set("shard").alias("homes"))
@@ -320,7 +320,7 @@ def _search_all(vectors: DataFrame, least: float, copies: int, slack: float) ->
             now = stage(
                 both.repartition("shard", "part").sortWithinPartitions("shard", "part", "block", "id")
                 .select("shard", "part", "block", "id", "v", "n", "home", "near", "medoid", "homes")
-                .mapInArrow(_search(least), "id long, found long, further array<bigint>, root long")
+                .mapInArrow(trimmed(_search(least)), "id long, found long, further array<bigint>, root long")
             )
         answers = now if answers is None else answers.union(now)
         next_ = now.filter("root is null").select("id", F.explode("further").alias("shard")).select("id", F.col("shard").cast("int")).distinct()

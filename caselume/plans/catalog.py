@@ -596,19 +596,13 @@ def mean_roc_curve(spark, sf):
 # --- models ----------------------------------------------------------------------
 
 
-def _quick(**over):
-    from .training import classifiers
-
-    return classifiers(**{"trees": 20, "depth": 6, "rounds": 3, **over})
-
-
 @query
 def model_scores(spark, sf):
     from . import training
 
     parts = split.stratified_holdout(labelled(spark, sf), "quality", "doc_id")
     model = training.fit_balanced(
-        _quick()["random_forest"], parts.filter(~F.col("is_test")), "doc_id", FEATURES, "quality"
+        training.classifiers()["random_forest"], parts.filter(~F.col("is_test")), "doc_id", FEATURES, "quality"
     )
     out = model.predict(parts.filter("is_test"))
     return out.select("doc_id", "quality", "prediction", F.round("confidence", 4).alias("confidence"))
@@ -618,7 +612,7 @@ def model_scores(spark, sf):
 def model_compare(spark, sf):
     from . import training
 
-    return training.compare(_quick(), labelled(spark, sf), "doc_id", FEATURES, "quality", folds=2).table
+    return training.compare(training.classifiers(), labelled(spark, sf), "doc_id", FEATURES, "quality").table
 
 
 def _severity_rows(spark, sf):
@@ -641,7 +635,8 @@ def _severity_model(spark, sf):
     train = rows.join(split_at.filter(~F.col("is_test")).select("primaryid"), "primaryid", "left_semi")
     encoder = training.CaseEncoder.fit(train, "severity_level")
     coded = stage(encoder.transform(train).select(*training.CASE_FEATURES, "severity_level"))
-    model = training.fit(_quick(trees=10)["random_forest"], coded, training.CASE_FEATURES, "severity_level")
+    # A small forest: the full one takes minutes on these rows (README).
+    model = training.fit(training.classifiers(trees=10, depth=6)["random_forest"], coded, training.CASE_FEATURES, "severity_level")
     return rows, encoder, model
 
 

@@ -254,6 +254,9 @@ def view_fingerprints(text: str | None, words: int = 5, views: int = VIEWS) -> l
         mixed *= np.uint64(0x165667B19E3779F9)
         mixed ^= mixed >> np.uint64(32)
         first = np.sort(np.partition(mixed, IN_VIEW - 1)[:IN_VIEW] if len(mixed) > IN_VIEW else mixed)
+        first *= np.uint64(0xD6E8FEB86659FD93)  # the smallest have few high bits; the tries need all bits alike
+        first ^= first >> np.uint64(32)
+        first *= np.uint64(0xD6E8FEB86659FD93)
         a, b, c = (first[min(i, len(first) - 1)] for i in range(3))
         out.append((a & b) | (a & c) | (b & c))
     return np.concatenate([whole, np.array(out, "<u8")]).view("<i8").tolist()

@@ -265,7 +265,7 @@ def view_fingerprints(text: str | None, words: int = 5, views: int = VIEWS) -> l
 def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``key`` of every row, and verified links (``a``, ``b``) between keys of similar texts.
 
-    Texts whose fingerprints, of the whole or of a selection, are linked by the trie are compared: each text of such
+    Texts whose fingerprints of the whole are linked by the tries, or of a selection equal, are compared: each text of such
     a group with two of it, chosen by a hash, so pairs grow with the texts. A link holds if the exact Jaccard
     similarity of their sets of shingles is ``similarity`` or more.
     """
@@ -281,8 +281,9 @@ def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> t
 
     with small_batches(spark):
         marked = stage(rows.select("doc_id", "key", views("text").alias("views")))
-    flat = stage(marked.select("key", F.explode("views").alias("fp")).distinct())
-    roots = components(fingerprint_links(flat.select("fp"), 2)).withColumnsRenamed({"node": "fp"})
+    flat = stage(marked.select("key", F.posexplode("views").alias("view", "fp")).distinct())
+    # The whole texts' fingerprints are linked by the tries. Those of selections are equal or have nothing in common.
+    roots = components(fingerprint_links(flat.filter("view = 0").select("fp"), 2)).withColumnsRenamed({"node": "fp"})
     grouped = stage(flat.join(roots, "fp", "left").select("key", F.coalesce("root", "fp").alias("g")).distinct())
     # First and last in an order of the group's own, so that a text meets others in every group that it is in.
     place = F.struct(F.xxhash64("key", "g").alias("h"), "key")

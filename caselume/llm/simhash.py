@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -232,6 +232,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, text: str
 
 #: Views of a text for texts that are similar, not almost equal, and shingles in each.
 VIEWS, IN_VIEW = 12, 3
+#: Shingles of a block of texts that is compared with others at once.
+IN_BLOCK = 100_000
 
 
 def view_fingerprints(text: str | None, words: int = 5, views: int = VIEWS) -> list[int]:
@@ -265,9 +267,10 @@ def view_fingerprints(text: str | None, words: int = 5, views: int = VIEWS) -> l
 def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """``doc_id``, ``key`` of every row, and verified links (``a``, ``b``) between keys of similar texts.
 
-    Texts whose fingerprints of the whole are linked by the tries, or of a selection equal, are compared: each text of such
-    a group with two of it, chosen by a hash, so pairs grow with the texts. A link holds if the exact Jaccard
-    similarity of their sets of shingles is ``similarity`` or more.
+    Texts whose fingerprints of the whole are linked by the tries, or of a selection equal, are compared: first each text of such
+    a group with two of it, chosen by a hash, then (``_links_between``) all texts of the group that are not yet in one component, so that
+    chains of links join what all pairs of the group would. A link holds if the exact Jaccard similarity of their sets of
+    shingles is ``similarity`` or more.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -305,7 +308,88 @@ def similar_links(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> t
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("y")), "b")
     with small_batches(spark, 128):
         links = stage(both.select("a", "b", alike("x", "y").alias("ok")).filter("ok").select("a", "b"))
-    return marked.select("doc_id", "key"), links
+    return marked.select("doc_id", "key"), links.union(_links_between(rows, grouped, links, words, similarity))
+
+
+def _links_between(rows: DataFrame, grouped: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (``a``, ``b``) that join components of ``links`` which meet in a group: every pair of texts of a group is
+    compared, but those in one component already. Work grows with the texts of a group outside its largest
+    component times all of the group; it is dealt out by pairs of blocks of about ``IN_BLOCK`` shingles.
+    """
+    spark = rows.sparkSession
+    roots = components(links).withColumnsRenamed({"node": "key"})
+    named = grouped.join(roots, "key", "left").select("key", "g", F.coalesce("root", "key").alias("c"))
+    parts = named.groupBy("g", "c").agg(F.count("*").alias("n"))
+    main = parts.groupBy("g").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "c"))["c"].alias("main"))
+    main = main.filter("parts > 1 and n > 3").select("g", "main")  # of three texts all pairs have been compared
+    apart = stage(named.join(main, "g").select("key", "g", "c", (F.col("c") == F.col("main")).alias("in_main")))
+
+    @F.pandas_udf("binary")
+    def shingle_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: np.unique(shingles(t, words)).tobytes())
+        give_back()
+
+    with small_batches(spark):
+        texts = rows.select("key", "text").join(apart.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+        sets = stage(texts.select("key", shingle_set("text").alias("set")).withColumn("size", F.octet_length("set") / 8 + 1))
+    sized = apart.join(sets.select("key", "size"), "key")
+
+    def blocks(of: Column) -> Column:
+        return F.ceil(F.coalesce(F.sum(F.when(of, F.col("size"))), F.lit(0)) / IN_BLOCK).cast("int")
+
+    count = sized.groupBy("g").agg(blocks(~F.col("in_main")).alias("others"), blocks(F.col("in_main")).alias("mains"))
+    salt = F.xxhash64("key", "g")
+    own = F.when(F.col("in_main"), F.col("others") + F.pmod(salt, "mains")).otherwise(F.pmod(salt, "others")).cast("int")
+    last = F.when(F.col("in_main"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    dealt = apart.join(count, "g").select("key", "g", "c", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("with"))
+    dealt = dealt.join(sets.select("key", "set"), "key").select("g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "key", "c", "set")
+    with small_batches(spark):
+        met = dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(trimmed(_between(similarity)), "a binary, b binary")
+        return stage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _between(similarity: float):
+    """Task: whole pairs of blocks; a forest of links between their components."""
+
+    def run(batches):
+        for t in whole_groups(batches, ["g", "i", "j"], 512):
+            bounds = group_bounds(*[t.column(k).to_numpy() for k in ("g", "i", "j")])
+            a, b = [], []
+            for start, end in zip(bounds, bounds[1:]):
+                some = t.slice(start, end - start)
+                keys, own = some.column("key").to_pylist(), some.column("own").to_numpy()
+                _, part = np.unique(np.array([c.hex() for c in some.column("c").to_pylist()]), return_inverse=True)
+                for x, y in joined_parts([np.frombuffer(s, "<u8") for s in some.column("set").to_pylist()], own, part, similarity):
+                    a.append(keys[x])
+                    b.append(keys[y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return run
+
+
+def joined_parts(sets: list[np.ndarray], own: np.ndarray, part: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Pairs of similar sets that join different parts, one for each join. Sets of two blocks are compared across, of one block all."""
+    sizes = np.array([len(s) for s in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    part, low = part.copy(), own.min()
+    across = bool((own != low).any())
+    owner, marks = np.repeat(np.arange(len(sets)), sizes), np.zeros(len(ids), bool)
+    for x in np.flatnonzero(own == low):
+        other = part != part[x]
+        if across:
+            other &= own != low
+        if not other.any():
+            continue
+        mine = ids[starts[x] : starts[x + 1]]
+        marks[mine] = True
+        common = np.bincount(owner[marks[ids]], minlength=len(sets))
+        marks[mine] = False
+        hits = np.flatnonzero(other & (common >= similarity * (sizes[x] + sizes - common)))
+        joined, first = np.unique(part[hits], return_index=True)
+        yield from ((x, y) for y in hits[first])
+        part[np.isin(part, joined)] = part[x]
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -183,6 +183,29 @@ def test_similar_texts_leave_one(spark, make_docs, odd_rows):
     assert sorted((r.doc_id for r in odd.collect()), key=str) == sorted([1, 2, 5, 7, 8, 10, None], key=str)
 
 
+@pytest.mark.parametrize("block", [100_000, 5_000])
+def test_edits_of_one_text_are_linked_as_by_brute_force(spark, make_docs, monkeypatch, block):
+    monkeypatch.setattr(simhash, "IN_BLOCK", block)
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base)]
+    for _ in range(300):  # J of 0.8 to 0.85 to the base, about 0.7 to one another
+        words = list(base)
+        for at in draw.sample(range(0, 300, 6), 6):
+            words[at] = f"x{draw.random()}"
+        texts.append(" ".join(words))
+    passage = [f"p{i}" for i in range(210)]
+    for i in range(40):  # pairs with a common passage: all in the same groups, similar in twos
+        end = [f"q{i}.{j}" for j in range(90)]
+        texts += [" ".join(passage + end), " ".join(passage + end[:-14] + [f"r{i}.{j}" for j in range(14)])]
+    sets = [set(simhash.shingles(t, 5).tolist()) for t in texts]
+    want = slow_components(list(range(len(texts))), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    roots = set(want.values())
+    assert len(roots) == 41
+    kept = rows(simhash.without_near_duplicates(make_docs(list(enumerate(texts)))), "doc_id")
+    assert sorted(r[0] for r in kept) == sorted(roots)
+
+
 # --- repeats -------------------------------------------------------------------------------------
 
 def slow_removal(given, k=200):

@@ -188,3 +188,23 @@ def test_variable_segments_become_wildcards(spark):
     rows = [("h.com", f"/user/{chr(97 + i % 26)}{chr(97 + i // 26)}x/page") for i in range(100)] + [("h.com", "/about/us")]
     got = {r.path: r.template for r in urls.templates(spark.createDataFrame(rows, "host string, path string")).collect()}
     assert set(got.values()) == {"/user/*/page", "/about/us"}
+
+
+@pytest.mark.parametrize("slugs", [10, 60])
+def test_segments_below_a_wildcard_become_wildcards(spark, slugs):
+    names = [f"{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [("h.com", f"/user/{n}/{n}-{word(s)}") for n in names for s in range(slugs)] + [("h.com", f"/user/{n}/profile") for n in names if slugs < 20]
+    got = {r.template for r in urls.templates(spark.createDataFrame(rows, "host string, path string")).collect()}
+    assert got == ({"/user/*/*", "/user/*/profile"} if slugs < 20 else {"/user/*/*"})
+
+
+def test_share_backs_off_along_prefixes(spark):
+    rules = (("block", "h.com", "/shop/a"), ("allow", "h.com", "/news"), ("allow", "g.net", "/"))
+    given = [f"http://h.com/shop/a/{c}" for c in "abcdefghij"] + [f"http://h.com/shop/b/{c}" for c in "abcde"] + ["http://h.com/other", "http://h.com/news"]
+    given += [f"http://h.com/news/{c}" for c in "abcdefghijklmno"] + [f"http://g.net/shop/b/{c}{d}" for c in "abcdefgh" for d in "abcde"] + ["http://new.org/shop/b/a"]
+    df = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    got = {given[r.page_id]: r for r in urls.judge(df, rules).collect()}
+    assert {got[f"http://h.com/shop/b/{c}"].verdict for c in "abcde"} == {"block"}
+    assert got["http://h.com/other"].verdict == got["http://new.org/shop/b/a"].verdict == "allow"
+    assert got["http://h.com/shop/b/a"].purity == got["http://h.com/shop/b/e"].purity

@@ -21,7 +21,8 @@ from .common import stage
 WINDOW = 8
 #: An alignment counts from this share of an item's windows on, or from so many windows (13 words in a row).
 COVERED, IN_A_ROW = 0.5, 6
-#: A window of placeholders alone says nothing: so many of its words must be plain.
+#: A window of placeholders alone says nothing: so many of its words must be plain, or else its values must be the item's own
+#: and its words so many.
 PLAIN = 4
 #: Benchmark windows that are broadcast at once; more are taken in blocks, each against all texts.
 BLOCK = 1_000_000
@@ -57,10 +58,21 @@ def with_template(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.drop(text).withColumn("t", whole)
 
 
-def _windows(size: int) -> Column:
-    """Places and hashes of an array's windows. The outer form: a filter on the array would be pushed
+#: The words of ``m`` as they are, without marks.
+LITERAL = f"split(lower(translate(m, '{''.join(MARKS)}', '')), ' ', -1)"
+
+
+def _windows(size: int, dense: bool = False) -> Column:
+    """Places and hashes of an array's windows; with ``dense`` those of the words as they are follow, where a window can have
+    fewer than ``PLAIN`` plain words. The outer form: a filter on the array would be pushed
     down to the scan, where its expressions would be computed again."""
-    return F.posexplode_outer(F.expr(f"case when size(t) >= {size} then transform(sequence(0, size(t) - {size}), i -> xxhash64(slice(t, i + 1, {size}))) end"))
+    hashes = f"transform(sequence(0, size(t) - {size}), i -> xxhash64(slice(t, i + 1, {size})))"
+    if dense:
+        # A name or unit at the edge of a copy may be marked in one of the two alone.
+        marks = f"length(m) - length(translate(m, '{''.join(MARKS)}', '')) >= {size - min(PLAIN, size)}"
+        literal = f"transform(array({LITERAL}), l -> transform(sequence(0, size(t) - {size}), i -> xxhash64('', slice(l, i + 1, {size}))))[0]"
+        hashes = f"case when {marks} then concat({hashes}, {literal}) else {hashes} end"
+    return F.posexplode_outer(F.expr(f"case when size(t) >= {size} then {hashes} end"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covered: float = COVERED, block: int = BLOCK) -> DataFrame:
@@ -69,7 +81,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covere
 
     ``coverage`` is the share of the item's windows found at one alignment, the best one for each text
     and item. ``exact``: the values of all its slots are the item's own; otherwise the question has other
-    parameters. A null or empty text or item matches nothing, nor does an item with fewer than ``PLAIN`` plain words. A
+    parameters. Windows with fewer than ``PLAIN`` plain words are found with the item's own values alone; with other parameters
+    coverage is that of the other windows, if these span enough of the item. A null or empty text or item matches nothing, nor does
+    an item of fewer than ``PLAIN`` words that are not all plain. A
     repeated row gives its rows once; ``doc_id`` may be null; other columns are not read.
     """
     found, best = _leaks(docs.select("doc_id", "text"), benchmark, size, covered, block)
@@ -89,27 +103,34 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, blo
     """Matched texts (``doc_id``, ``key``), and the leaks of each ``key``."""
     slots = ", ".join(f"'{s}'" for s in SLOTS)
     items = with_template(benchmark.filter("item_id is not null").select("item_id", "text"))
-    items = items.select("item_id", F.split("m", " ", -1).alias("own"), "t")
+    items = items.select("item_id", "m", F.split("m", " ", -1).alias("own"), "t")
     # Each item with its names as placeholders and as they are: a text in capitals shows no names.
     as_they_are = F.expr(f"transform(t, (x, i) -> case when x = '{SLOTS[0]}' then lower(substring(own[i], 2)) else x end)")
-    items = items.union(items.withColumn("t", as_they_are)).dropDuplicates()
+    items = items.union(items.withColumn("t", as_they_are)).dropDuplicates(["item_id", "own", "t"])
     items = stage(items.withColumn("item", F.xxhash64("item_id", "own", "t")).withColumn("n", F.least(F.size("t"), F.lit(size))))
     texts = with_template(docs.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))))
     parts = []
     # Items of fewer words than a window are looked for whole, one size at a time.
     for n in [r["n"] for r in items.filter("n > 0").select("n").distinct().orderBy("n").collect()]:
+        asked = items.filter(F.col("n") == n).select("item", "m", "t", _windows(n).alias("item_at", "window"))
+        asked = asked.withColumn("dense", F.expr(f"size(filter(slice(t, item_at + 1, {n}), x -> x not in ({slots}))) < {min(PLAIN, n)}"))
+        # Windows of few plain words are looked for with their own values, and so are those of texts.
+        literal = F.expr(f"xxhash64('', slice({LITERAL}, item_at + 1, {n}))")
+        asked = asked.withColumn("window", F.when(F.col("dense"), literal).otherwise(F.col("window")))
         wanted = stage(
-            items.filter(F.col("n") == n).select("item", "t", _windows(n).alias("item_at", "window"))
-            .filter(F.expr(f"size(filter(slice(t, item_at + 1, {n}), x -> x not in ({slots}))) >= {min(PLAIN, n)}"))
-            .groupBy("window").agg(F.collect_list(F.struct("item", "item_at")).alias("places"))
+            asked.filter(~F.col("dense") | F.lit(n >= PLAIN))
+            .groupBy("window", "dense").agg(F.collect_list(F.struct("item", "item_at", "dense")).alias("places"))
         )
+        dense = not wanted.filter("dense").isEmpty()
+        wanted = wanted.drop("dense")
         blocks = -(-wanted.count() // block)
         for b in range(blocks):
             asked = F.broadcast(wanted.filter(F.pmod("window", F.lit(blocks)) == b))  # about ``block`` rows at most
-            hits = texts.select("doc_id", "key", "m", _windows(n).alias("at", "window")).join(asked, "window")
+            hits = texts.select("doc_id", "key", "m", F.size("t").alias("words"), _windows(n, dense).alias("at", "window")).join(asked, "window")
+            hits = hits.withColumn("literal", F.expr(f"at > words - {n}")).withColumn("at", F.expr(f"pmod(at, words - {n - 1})"))
             parts.append(
-                hits.select("doc_id", "key", "at", F.expr(f"slice(split(m, ' ', -1), at + 1, {n})").alias("words"), F.explode("places").alias("p"))
-                .select("doc_id", "key", F.col("p.item").alias("item"), (F.col("at") - F.col("p.item_at")).alias("shift"), F.col("p.item_at").alias("item_at"), "words")
+                hits.select("doc_id", "key", "at", F.expr(f"slice(split(m, ' ', -1), at + 1, {n})").alias("words"), "literal", F.explode("places").alias("p"))
+                .filter("p.dense = literal").select("doc_id", "key", F.col("p.item").alias("item"), (F.col("at") - F.col("p.item_at")).alias("shift"), F.col("p.item_at").alias("item_at"), "words", "literal")
             )
     if not parts:  # the benchmark is empty: nothing matches
         key = F.lit(None).cast("binary").alias("key")
@@ -117,15 +138,21 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, blo
         none = docs.limit(0).select("doc_id", key, item, F.struct(F.lit(0.0).alias("coverage"), F.lit(True).alias("exact"), F.lit(0).alias("back")).alias("b"))
         return none.select("doc_id", "key"), none.select("key", "item_id", "b")
     found = stage(reduce(DataFrame.union, parts))
+    # The item's windows that are looked for by their templates: their number, or none if they span too little of it.
+    plain = F.expr(f"size(filter(sequence(0, size(t) - n), a -> size(filter(slice(t, a + 1, n), x -> x not in ({slots}))) >= least({PLAIN}, n)))")
+    plain = F.when(plain + F.col("n") - 1 >= covered * F.size("t"), plain).otherwise(0)
     # For each text and alignment: the windows of one item bound what is collected.
-    aligned = found.groupBy("key", "item", "shift").agg(F.collect_set(F.struct("item_at", "words")).alias("parts"))
-    aligned = aligned.join(items.select("item", "item_id", "own", F.col("t").alias("form"), "n"), "item")
+    aligned = found.groupBy("key", "item", "shift").agg(F.collect_set(F.struct("item_at", "words", "literal")).alias("parts"))
+    aligned = aligned.join(items.select("item", "item_id", "own", F.col("t").alias("form"), "n", plain.alias("plain")), "item")
+    marks = "".join(MARKS)
     pairs = F.expr(
         "array_distinct(flatten(transform(parts, p -> filter(transform(p.words, (x, i) -> named_struct("
-        f"'form', get(form, p.item_at + i), 'own', lower(get(own, p.item_at + i)), 'new', lower(x))), s -> s.form in ({slots})))))"
+        f"'form', get(form, p.item_at + i), 'own', lower(translate(get(own, p.item_at + i), '{marks}', '')), 'new', lower(translate(x, '{marks}', '')))), s -> s.form in ({slots})))))"
     )
     checked = aligned.withColumn("slots", pairs).withColumn("windows", F.size("parts")).select(
-        "key", "item_id", "shift", "windows", (F.col("windows") / (F.size("form") - F.col("n") + 1)).alias("coverage"),
+        "key", "item_id", "shift", "windows", F.greatest(
+            F.col("windows") / (F.size("form") - F.col("n") + 1), F.coalesce(F.expr("try_divide(size(filter(parts, p -> not p.literal)), plain)"), F.lit(0.0))
+        ).alias("coverage"),
         F.expr("forall(slots, s -> s.own = s.new)").alias("exact"),
         F.expr("size(array_distinct(transform(slots, s -> struct(s.form, s.own)))) = size(slots) and size(array_distinct(transform(slots, s -> struct(s.form, s.new)))) = size(slots)").alias("consistent"),
     )

@@ -95,6 +95,19 @@ def test_leaks_exact_and_with_other_parameters(spark, make_docs):
     assert blocks == got
 
 
+def test_items_dense_in_numbers_are_found(spark, make_docs):
+    short = "What is 12 * 7 + 3 - 45 / 9?"
+    mixed = "Please add up all of these many numbers now 12 7 3 45 9 8 6 5 4 2 11 13"
+    bench = spark.createDataFrame([(1, short), (2, mixed), (3, "42")], "item_id long, text string")
+    docs = make_docs([
+        (10, "so it is " + short + " that is the question"), (11, "What is 12 * 7 + 3 - 45 / 8?"), (12, "x " + mixed + " y"), (13, "the answer is 42 here"),
+        (14, "12 7 3 45"), (15, short), (16, mixed.replace("45", "46")), (17, "Please add up all of these many numbers"),
+    ])
+    got = {(r.doc_id, r.item_id): r.exact for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert {k for k, exact in got.items() if exact} == {(10, 1), (12, 2), (15, 1)} and {k[0] for k in got} <= {10, 12, 15, 16}
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, bench).collect())[:3] == [11, 13, 14]
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 def slow_links(rows, least=0.9):

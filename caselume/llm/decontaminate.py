@@ -4,7 +4,8 @@ Texts and benchmark items are brought to templates: numbers, names and units bec
 placeholders, so that a question with other parameters has the same template. Windows of template words
 are hashed and joined. Matches that stand at the same relative place of a text and an item
 form an alignment, and it counts if it covers enough of the item and its slots are consistent: one
-value of the item always stands for one value of the text, and the other way round.
+value of the item always stands for one value of the text. A run of windows with the item's own values counts by itself,
+whatever the other slots hold.
 Built-in functions only, from the table to the result.
 """
 
@@ -149,13 +150,19 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, blo
         "array_distinct(flatten(transform(parts, p -> filter(transform(p.words, (x, i) -> named_struct("
         f"'form', get(form, p.item_at + i), 'own', lower(translate(get(own, p.item_at + i), '{marks}', '')), 'new', lower(translate(x, '{marks}', '')))), s -> s.form in ({slots})))))"
     )
+    own = f"forall(transform(p.words, (x, i) -> get(form, p.item_at + i) not in ({slots}) or lower(translate(get(own, p.item_at + i), '{marks}', '')) = lower(translate(x, '{marks}', ''))), x -> x)"
+    # The longest run of windows that follow one another, all with the item's own values.
+    verbatim = F.expr(
+        f"aggregate(array_sort(transform(filter(parts, p -> {own}), p -> p.item_at)), named_struct('last', -2, 'run', 0, 'best', 0), "
+        "(a, x) -> named_struct('last', x, 'run', if(x = a.last + 1, a.run + 1, 1), 'best', greatest(a.best, if(x = a.last + 1, a.run + 1, 1))), a -> a.best)"
+    )
     checked = aligned.withColumn("slots", pairs).withColumn("windows", F.size("parts")).select(
         "key", "item_id", "shift", "windows", F.greatest(
             F.col("windows") / (F.size("form") - F.col("n") + 1), F.coalesce(F.expr("try_divide(size(filter(parts, p -> not p.literal)), plain)"), F.lit(0.0))
         ).alias("coverage"),
         F.expr("forall(slots, s -> s.own = s.new)").alias("exact"),
-        F.expr("size(array_distinct(transform(slots, s -> struct(s.form, s.own)))) = size(slots) and size(array_distinct(transform(slots, s -> struct(s.form, s.new)))) = size(slots)").alias("consistent"),
+        F.expr("size(array_distinct(transform(slots, s -> struct(s.form, s.own)))) = size(slots)").alias("consistent"), verbatim.alias("verbatim"),
     )
-    kept = checked.filter(F.col("consistent") & ((F.col("coverage") >= covered) | (F.col("windows") >= IN_A_ROW)))
+    kept = checked.filter((F.col("consistent") & ((F.col("coverage") >= covered) | (F.col("windows") >= IN_A_ROW))) | (F.col("verbatim") >= IN_A_ROW))
     best = kept.groupBy("key", "item_id").agg(F.max(F.struct("coverage", "exact", (-F.col("shift")).alias("back"))).alias("b"))
     return found.select("doc_id", "key").distinct(), stage(best)

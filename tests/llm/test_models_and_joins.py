@@ -108,6 +108,16 @@ def test_items_dense_in_numbers_are_found(spark, make_docs):
     assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, bench).collect())[:3] == [11, 13, 14]
 
 
+def test_slot_conflicts_leave_verbatim_runs_and_equal_values(spark, make_docs):
+    start = "A farmer has 3 red hens that lay one egg on every day of the warm season while the old dog sleeps in the yard near the big gate"
+    end = "and after that the same farmer sells all the eggs at the town market and buys 3 new hens for the coming spring season with what was earned"
+    two = "the baker makes 3 round loaves in the morning and 5 long loaves in the evening of each day"
+    bench = spark.createDataFrame([(1, f"{start} {end}"), (2, two)], "item_id long, text string")
+    docs = make_docs([(10, f"{start} {end.replace('3', '4')}"), (11, two.replace("3", "4").replace("5", "4")), (12, "nothing of the kind stands in here at all, is it so")])
+    got = {(r.doc_id, r.item_id): r.exact for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {(10, 1): False, (11, 2): False}
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 def slow_links(rows, least=0.9):

@@ -74,6 +74,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .middle import digests
+
+    return digests(table(spark, sf_dir, "documents"), seed=1)
+
+
 QUERIES = {
     "op1_token_sequences": op1_token_sequences,
     "op2_simhash": op2_simhash,
@@ -85,6 +91,27 @@ QUERIES = {
     "op8_near_vectors": op8_near_vectors,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_fill_in_middle": """
+        with texts as (
+            select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as s from documents
+        ), drawn as (
+            select doc_id, t, cast(length(t) as bigint) as n, cast('0x' || substr(s, 1, 8) as bigint) as h1, cast('0x' || substr(s, 9, 8) as bigint) as h2,
+                cast('0x' || substr(s, 17, 8) as bigint) as h3, cast('0x' || substr(s, 25, 8) as bigint) as h4
+            from texts
+        ), cut as (
+            select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+                case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                    when h4 % 100 < 20 then 'spm' else 'psm' end as form
+            from drawn
+        ), parts as (
+            select *, substr(t, 1, low) as p, substr(t, low + 1, high - low) as m, substr(t, high + 1) as e from cut
+        )
+        select doc_id, n, form, case when form <> 'plain' then low end as prefix_chars, case when form <> 'plain' then high - low end as middle_chars,
+            sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || e || '<M>' || m else '<S>' || e || '<P>' || p || '<M>' || m end) as output_sha256,
+            sha256(t) as restored_sha256
+        from parts""",
+}

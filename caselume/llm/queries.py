@@ -74,6 +74,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .credentials import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .middle import digests
 
@@ -91,10 +103,48 @@ QUERIES = {
     "op8_near_vectors": op8_near_vectors,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_filter_audit": op12_filter_audit,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
+    "op12_filter_audit": """
+        with texts as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+                list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') as w
+            from documents
+        ), marks as (
+            select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id
+        ), masks as (
+            select part, coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic,
+                case when len(w) < 50 then 1 else 0 end
+                + case when 100 * len(list_distinct(w)) < 65 * len(w) then 2 else 0 end
+                + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 4 else 0 end
+                + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+                + case when doc_id > min(doc_id) over (partition by t) then 16 else 0 end as mask
+            from texts left join marks using (doc_id)
+        ), counted as (
+            select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from masks group by part, mask
+        ), letters(l, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+        ), orders as (
+            select a.l || b.l || c.l || d.l || e.l as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+            from letters a join letters b on b.l <> a.l join letters c on c.l not in (a.l, b.l) join letters d on d.l not in (a.l, b.l, c.l)
+                join letters e on e.l not in (a.l, b.l, c.l, d.l)
+        ), steps as (
+            select filter_order, s as step, bits[s] as f, cast(coalesce(list_sum(bits[1:s - 1]), 0) as integer) as b
+            from orders cross join (select unnest([1, 2, 3, 4, 5]) as s)
+        ), cells as (
+            select part, filter_order, step, f, coalesce(sum(n) filter (mask & (b | f) = 0), 0) as kept,
+                coalesce(sum(n) filter (mask & f > 0 and mask & b = 0), 0) as removed, coalesce(sum(n) filter (mask & f > 0 and mask & b > 0), 0) as redundant,
+                coalesce(sum(n) filter (mask = f), 0) as unique_fails, coalesce(sum(good) filter (mask & f > 0 and mask & b = 0), 0) as good_lost,
+                coalesce(sum(toxic) filter (mask & f > 0 and mask & b = 0), 0) as toxic_lost
+            from counted cross join steps group by part, filter_order, step, f
+        )
+        select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+            cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+            cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, f) as bigint) as shapley
+        from cells""",
     "op13_fill_in_middle": """
         with texts as (
             select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as s from documents

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,10 +44,49 @@ def stage(df: DataFrame) -> DataFrame:
     optimizer sees the real size when it chooses a join.
     """
     path = f"{staging_dir(df.sparkSession)}/caselume/{uuid.uuid4().hex}"
+    if scopes := getattr(_open, "scopes", None):
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_open = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Folders that ``stage`` writes inside are dropped at the end of the block.
+
+    The block is given a function that stages what is to stay: its result belongs to the scope around, and
+    its plan reads nothing that is dropped. After an error the folders are dropped as well.
+    """
+    scopes = _open.__dict__.setdefault("scopes", [])
+    own: list[str] = []
+    scopes.append(own)
+
+    def last(df: DataFrame) -> DataFrame:
+        at = scopes.index(own)
+        inner, scopes[at:] = scopes[at:], []
+        try:
+            return stage(df)
+        finally:
+            scopes.extend(inner)
+
+    try:
+        yield last
+    finally:
+        scopes.remove(own)
+        drop_folders(spark, own)
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Removes folders in whatever store holds them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def running_totals(df: DataFrame, by: list[str], order: list, sums: list[str]) -> DataFrame:
     """Adds ``cum_<s>`` (inclusive) and ``total_<s>`` per group, in the given order.
 

@@ -116,3 +116,28 @@ def test_staging_folder_is_the_one_the_session_names(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert folder == (named or spark.sparkContext.getCheckpointDir())
     assert sorted(r["id"] for r in scale.stage(spark.range(3)).collect()) == [0, 1, 2]
+
+
+def test_scratch_folders_are_dropped_and_the_result_stays(spark):
+    import os
+
+    from caselume.functions.scale import scratch, stage
+
+    def folder(df):
+        return os.path.dirname(df.inputFiles()[0]).removeprefix("file:").replace("//", "/")
+
+    with scratch(spark) as outer:
+        with scratch(spark) as last:
+            first = stage(spark.range(5))
+            second = stage(first.filter("id > 1"))
+            gone = [folder(first), folder(second)]
+            kept = last(second.selectExpr("id * 2 as x"))
+        assert not any(map(os.path.exists, gone)) and os.path.exists(folder(kept))
+        mine = folder(kept)
+        assert sorted(r.x for r in kept.collect()) == [4, 6, 8]
+        result = outer(kept.agg({"x": "sum"}).toDF("s"))
+    assert not os.path.exists(mine) and result.first()["s"] == 18
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        lost = folder(stage(spark.range(3)))
+        1 / 0
+    assert not os.path.exists(lost)

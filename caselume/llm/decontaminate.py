@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scale import scratch
 from .common import stage
 
 #: Words of a window; an item of fewer words is one window.
@@ -25,7 +26,7 @@ COVERED, IN_A_ROW = 0.5, 6
 #: A window of placeholders alone says nothing: so many of its words must be plain, or else its values must be the item's own
 #: and its words so many.
 PLAIN = 4
-#: Benchmark windows that are broadcast at once; more are taken in blocks, each against all texts.
+#: Places of benchmark windows that are broadcast at once; more are taken in blocks, each against all texts.
 BLOCK = 1_000_000
 
 #: Units that follow a number.
@@ -41,13 +42,16 @@ def with_template(rows: DataFrame, text: str = "text") -> DataFrame:
     A name is a capitalised word within a sentence; figures with points or commas are one number.
     """
     name, number, unit = MARKS
-    # One step after the other, each under a name: an expression that is used twice is computed once.
+    # One step after the other, each under a name: an expression that is used twice is computed once. Patterns begin with
+    # what is rare, and look back from there.
+    whole = F.coalesce(F.col(text), F.lit(""))
+    marked = reduce(Column.__or__, [F.contains(whole, F.lit(m)) for m in MARKS])
     steps = [
-        F.translate(F.coalesce(F.col(text), F.lit("")), "".join(MARKS), "   "),
-        F.regexp_replace("m", r"(?<=[0-9])[.,](?=[0-9])", ""),
-        F.regexp_replace("m", r"(?<=[\p{Ll}0-9],? )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", f"{name}$0"),
-        F.trim(F.regexp_replace("m", rf"[^\p{{L}}\p{{N}}{name}]+", " ")),
-        F.regexp_replace("m", r"(?<![^ ])[0-9]+(?![^ ])", f"{number}$0"),
+        F.when(marked, F.translate(whole, "".join(MARKS), "   ")).otherwise(whole),
+        F.regexp_replace("m", r"[.,](?<=[0-9].)(?=[0-9])", ""),
+        F.regexp_replace("m", r"\p{Lu}(?<=[\p{Ll}0-9],? .)\p{Ll}+(?![\p{L}\p{N}])", f"{name}$0"),
+        F.trim(F.regexp_replace("m", rf"[^a-zA-Z0-9\p{{L}}\p{{N}}{name}]+", " ")),
+        F.regexp_replace("m", r"[0-9](?<![^ ].)[0-9]*+(?![^ ])", f"{number}$0"),
     ]
     for step in steps:
         rows = rows.withColumn("m", step)
@@ -63,17 +67,33 @@ def with_template(rows: DataFrame, text: str = "text") -> DataFrame:
 LITERAL = f"split(lower(translate(m, '{''.join(MARKS)}', '')), ' ', -1)"
 
 
-def _windows(size: int, dense: bool = False) -> Column:
-    """Places and hashes of an array's windows; with ``dense`` those of the words as they are follow, where a window can have
-    fewer than ``PLAIN`` plain words. The outer form: a filter on the array would be pushed
-    down to the scan, where its expressions would be computed again."""
-    hashes = f"transform(sequence(0, size(t) - {size}), i -> xxhash64(slice(t, i + 1, {size})))"
-    if dense:
-        # A name or unit at the edge of a copy may be marked in one of the two alone.
-        marks = f"length(m) - length(translate(m, '{''.join(MARKS)}', '')) >= {size - min(PLAIN, size)}"
-        literal = f"transform(array({LITERAL}), l -> transform(sequence(0, size(t) - {size}), i -> xxhash64('', slice(l, i + 1, {size}))))[0]"
-        hashes = f"case when {marks} then concat({hashes}, {literal}) else {hashes} end"
-    return F.posexplode_outer(F.expr(f"case when size(t) >= {size} then {hashes} end"))
+def _sections(sizes: list[int], literal: list[int]) -> list[tuple[int, bool]]:
+    """What a text's windows are hashed as, in order: by size, of template words and, where such are wanted, of words as they are."""
+    return [(n, own) for n in sizes for own in ((False, True) if n in literal else (False,))]
+
+
+def _with_windows(rows: DataFrame, sizes: list[int], literal: list[int]) -> DataFrame:
+    """A row for each window of a text, of all sizes in one pass: ``key``, ``at``, ``window``.
+
+    Words are hashed once, windows are hashes of these; the hash of an array is that of its elements one after the other, so
+    an item's windows are hashed as slices. The text itself is not carried into the rows. Windows of the words as they are are only formed where a window can have fewer than ``PLAIN`` plain words.
+    """
+    marks = F.expr("regexp_count(m, '[" + "".join(f"\\u{ord(m):04x}" for m in MARKS) + "]')") if literal else F.lit(0)
+    hashed = "transform({}, x -> xxhash64(x))"
+    least = min((n - min(PLAIN, n) for n in literal), default=0)
+    rows = rows.withColumn("marks", marks).withColumn("w", F.expr(hashed.format("t")))
+    own = F.expr(hashed.format(LITERAL)) if literal else F.lit(None)
+    rows = rows.withColumn("l", F.when(F.col("marks") >= least, own).cast("array<bigint>")).select("key", "marks", "w", "l")
+    parts = []
+    for n, as_is in _sections(sizes, literal):
+        array, tag = ("l", -n) if as_is else ("w", n)
+        # An edge of a copy may be marked in one of the two alone.
+        fits = f"size(w) >= {n}" + (f" and marks >= {n - min(PLAIN, n)} and size(l) >= {n}" if as_is else "")
+        words = ", ".join(f"get({array}, i + {k})" for k in range(n))
+        parts.append(f"case when {fits} then transform(sequence(0, size({array}) - {n}), i -> xxhash64({tag}, {words})) else cast(array() as array<bigint>) end")
+    # The outer form: a filter on the array would be pushed down to the scan, where its expressions would be computed again.
+    rows = rows.select("key", F.explode_outer(F.expr(f"array({', '.join(parts)})")).alias("windows"))
+    return rows.select("key", F.posexplode_outer("windows").alias("at", "window"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covered: float = COVERED, block: int = BLOCK) -> DataFrame:
@@ -85,9 +105,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covere
     parameters. Windows with fewer than ``PLAIN`` plain words are found with the item's own values alone; with other parameters
     coverage is that of the other windows, if these span enough of the item. A null or empty text or item matches nothing, nor does
     an item of fewer than ``PLAIN`` words that are not all plain. A
-    repeated row gives its rows once; ``doc_id`` may be null; other columns are not read.
+    repeated row gives its rows once; ``doc_id`` may be null, and so may ``item_id``: such items are looked for like others, and their
+    rows have a null. Of a very long text no more than its words and hashes is held at once; other columns are not read.
     """
-    found, best = _leaks(docs.select("doc_id", "text"), benchmark, size, covered, block)
+    with scratch(docs.sparkSession) as last:
+        best = last(_leaks(docs, benchmark, size, covered, block))
+    # Few texts hold an item: they are found by their keys before rows are told apart.
+    found = docs.select("doc_id", _key().alias("key")).join(best.select("key").distinct(), "key", "left_semi").distinct()
     return found.join(best, "key").select(
         "doc_id", "item_id", (-F.col("b.back")).alias("at"), F.col("b.coverage").alias("coverage"), F.col("b.exact").alias("exact")
     )
@@ -95,56 +119,66 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, covere
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, unchanged."""
-    _, best = _leaks(docs.select("doc_id", "text"), benchmark, WINDOW, COVERED, BLOCK)
-    keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    return keyed.join(best.select(F.col("key").alias("__key")).distinct(), "__key", "left_anti").drop("__key")
+    with scratch(docs.sparkSession) as last:
+        gone = last(_leaks(docs, benchmark, WINDOW, COVERED, BLOCK).select(F.col("key").alias("__key")).distinct())
+    return docs.withColumn("__key", _key()).join(gone, "__key", "left_anti").drop("__key")
 
 
-def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, block: int) -> tuple[DataFrame, DataFrame]:
-    """Matched texts (``doc_id``, ``key``), and the leaks of each ``key``."""
-    slots = ", ".join(f"'{s}'" for s in SLOTS)
-    items = with_template(benchmark.filter("item_id is not null").select("item_id", "text"))
-    items = items.select("item_id", "m", F.split("m", " ", -1).alias("own"), "t")
+def _key() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def _items(benchmark: DataFrame, size: int) -> DataFrame:
+    """Templates of the items: ``item``, ``item_id``, ``own`` (words with marks), ``t``, ``m``, ``n`` (words of a window)."""
+    items = stage(with_template(benchmark.select("item_id", "text"))).select("item_id", "m", F.split("m", " ", -1).alias("own"), "t")
     # Each item with its names as placeholders and as they are: a text in capitals shows no names.
     as_they_are = F.expr(f"transform(t, (x, i) -> case when x = '{SLOTS[0]}' then lower(substring(own[i], 2)) else x end)")
     items = items.union(items.withColumn("t", as_they_are)).dropDuplicates(["item_id", "own", "t"])
-    items = stage(items.withColumn("item", F.xxhash64("item_id", "own", "t")).withColumn("n", F.least(F.size("t"), F.lit(size))))
-    texts = with_template(docs.withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit(""))))))
-    parts = []
-    # Items of fewer words than a window are looked for whole, one size at a time.
-    for n in [r["n"] for r in items.filter("n > 0").select("n").distinct().orderBy("n").collect()]:
-        asked = items.filter(F.col("n") == n).select("item", "m", "t", _windows(n).alias("item_at", "window"))
-        asked = asked.withColumn("dense", F.expr(f"size(filter(slice(t, item_at + 1, {n}), x -> x not in ({slots}))) < {min(PLAIN, n)}"))
-        # Windows of few plain words are looked for with their own values, and so are those of texts.
-        literal = F.expr(f"xxhash64('', slice({LITERAL}, item_at + 1, {n}))")
-        asked = asked.withColumn("window", F.when(F.col("dense"), literal).otherwise(F.col("window")))
-        wanted = stage(
-            asked.filter(~F.col("dense") | F.lit(n >= PLAIN))
-            .groupBy("window", "dense").agg(F.collect_list(F.struct("item", "item_at", "dense")).alias("places"))
-        )
-        dense = not wanted.filter("dense").isEmpty()
-        wanted = wanted.drop("dense")
-        blocks = -(-wanted.count() // block)
-        for b in range(blocks):
-            asked = F.broadcast(wanted.filter(F.pmod("window", F.lit(blocks)) == b))  # about ``block`` rows at most
-            hits = texts.select("doc_id", "key", "m", F.size("t").alias("words"), _windows(n, dense).alias("at", "window")).join(asked, "window")
-            hits = hits.withColumn("literal", F.expr(f"at > words - {n}")).withColumn("at", F.expr(f"pmod(at, words - {n - 1})"))
-            parts.append(
-                hits.select("doc_id", "key", "at", F.expr(f"slice(split(m, ' ', -1), at + 1, {n})").alias("words"), "literal", F.explode("places").alias("p"))
-                .filter("p.dense = literal").select("doc_id", "key", F.col("p.item").alias("item"), (F.col("at") - F.col("p.item_at")).alias("shift"), F.col("p.item_at").alias("item_at"), "words", "literal")
-            )
-    if not parts:  # the benchmark is empty: nothing matches
-        key = F.lit(None).cast("binary").alias("key")
-        item = F.lit(None).cast(dict(benchmark.dtypes)["item_id"]).alias("item_id")
-        none = docs.limit(0).select("doc_id", key, item, F.struct(F.lit(0.0).alias("coverage"), F.lit(True).alias("exact"), F.lit(0).alias("back")).alias("b"))
-        return none.select("doc_id", "key"), none.select("key", "item_id", "b")
-    found = stage(reduce(DataFrame.union, parts))
+    # Items of fewer words than a window are looked for whole.
+    return items.withColumn("item", F.xxhash64("item_id", "own", "t")).withColumn("n", F.least(F.size("t"), F.lit(size))).filter("n > 0")
+
+
+def _wanted(items: DataFrame) -> DataFrame:
+    """A row for each window of an item: ``window``, ``n``, ``literal``, ``item``, ``item_at``. Windows of few plain words are looked for by
+    the words as they are, and not at all if the whole item has fewer than ``PLAIN`` words."""
+    slots = ", ".join(f"'{s}'" for s in SLOTS)
+    hashed = items.withColumn("w", F.expr("transform(t, x -> xxhash64(x))")).withColumn("l", F.expr(f"transform({LITERAL}, x -> xxhash64(x))"))
+    windows = hashed.select("item", "n", F.expr(
+        f"inline(transform(sequence(0, size(t) - n), i -> named_struct('item_at', i, 'literal', size(filter(slice(t, i + 1, n), x -> x not in ({slots}))) < least({PLAIN}, n), "
+        "'plain', xxhash64(n, slice(w, i + 1, n)), 'own', xxhash64(-n, slice(l, i + 1, n)))))"
+    ))
+    windows = windows.filter(f"not literal or n >= {PLAIN}")
+    return windows.select(F.when(F.col("literal"), F.col("own")).otherwise(F.col("plain")).alias("window"), "n", "literal", "item", "item_at")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, block: int) -> DataFrame:
+    """The leaks of each text: ``key``, ``item_id``, ``b`` (the best alignment)."""
+    slots = ", ".join(f"'{s}'" for s in SLOTS)
+    items = stage(_items(benchmark, size))
+    wanted = stage(_wanted(items))
+    kinds = wanted.groupBy("n", "literal").agg(F.count("*").alias("places")).collect()  # a few sizes
+    sizes, literal = sorted({r["n"] for r in kinds}), sorted({r["n"] for r in kinds if r["literal"]})
+    if not kinds:  # no item has a window: nothing matches
+        kind = dict(benchmark.dtypes)["item_id"]
+        none = F.struct(F.lit(0.0).alias("coverage"), F.lit(True).alias("exact"), F.lit(0).alias("back"))
+        return docs.limit(0).select(_key().alias("key"), F.lit(None).cast(kind).alias("item_id"), none.alias("b"))
+    texts = docs.select(_key().alias("key"), "text")
+    windows = _with_windows(with_template(texts), sizes, literal)
+    blocks, parts = -(-sum(r["places"] for r in kinds) // block), []
+    for b in range(blocks):
+        asked = F.broadcast(wanted.filter(F.pmod(F.xxhash64("window", "item", "item_at"), F.lit(blocks)) == b))  # about ``block`` rows at most
+        parts.append(windows.join(asked, "window").select("key", "item", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "literal"))
+    # For each text and alignment: the windows of one item bound what is collected.
+    aligned = reduce(DataFrame.union, parts).groupBy("key", "item", "shift").agg(F.collect_set(F.struct("item_at", "literal")).alias("places"))
+    aligned = stage(aligned)
+    # The words of the texts that are left, which are few.
+    held = texts.join(aligned.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    held = stage(with_template(held).select("key", F.split("m", " ", -1).alias("spelt")))
     # The item's windows that are looked for by their templates: their number, or none if they span too little of it.
     plain = F.expr(f"size(filter(sequence(0, size(t) - n), a -> size(filter(slice(t, a + 1, n), x -> x not in ({slots}))) >= least({PLAIN}, n)))")
     plain = F.when(plain + F.col("n") - 1 >= covered * F.size("t"), plain).otherwise(0)
-    # For each text and alignment: the windows of one item bound what is collected.
-    aligned = found.groupBy("key", "item", "shift").agg(F.collect_set(F.struct("item_at", "words", "literal")).alias("parts"))
-    aligned = aligned.join(items.select("item", "item_id", "own", F.col("t").alias("form"), "n", plain.alias("plain")), "item")
+    aligned = aligned.join(items.select("item", "item_id", "own", F.col("t").alias("form"), "n", plain.alias("plain")), "item").join(held, "key")
+    aligned = aligned.withColumn("parts", F.expr("transform(places, p -> named_struct('item_at', p.item_at, 'literal', p.literal, 'words', slice(spelt, shift + p.item_at + 1, n)))"))
     marks = "".join(MARKS)
     pairs = F.expr(
         "array_distinct(flatten(transform(parts, p -> filter(transform(p.words, (x, i) -> named_struct("
@@ -164,5 +198,4 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, size: int, covered: float, blo
         F.expr("size(array_distinct(transform(slots, s -> struct(s.form, s.own)))) = size(slots)").alias("consistent"), verbatim.alias("verbatim"),
     )
     kept = checked.filter((F.col("consistent") & ((F.col("coverage") >= covered) | (F.col("windows") >= IN_A_ROW))) | (F.col("verbatim") >= IN_A_ROW))
-    best = kept.groupBy("key", "item_id").agg(F.max(F.struct("coverage", "exact", (-F.col("shift")).alias("back"))).alias("b"))
-    return found.select("doc_id", "key").distinct(), stage(best)
+    return kept.groupBy("key", "item_id").agg(F.max(F.struct("coverage", "exact", (-F.col("shift")).alias("back"))).alias("b"))

@@ -79,18 +79,19 @@ def test_toxicity_keeps_clashing_columns(labelled):
 def test_leaks_exact_and_with_other_parameters(spark, make_docs):
     item = "If Alice buys 12 apples for 3.5 dollars each and gives 12 dollars to Bob, how much does she have left over?"
     other = "A train leaves at noon and runs along the coast until it meets the old harbour bridge near the city wall"
-    bench = spark.createDataFrame([(1, item), (2, other), (3, "very short plain item"), (4, None), (5, ""), (None, item)], "item_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, other), (3, "very short plain item"), (4, None), (5, ""), (None, item), (None, "a null item that no other repeats must be found too")], "item_id long, text string")
     docs = make_docs([
-        (10, "x " * 40 + item + " y" * 40), (11, item.upper()), (12, item.replace("12", "7").replace("3.5", "2").replace("Bob", "Dan")),
+        (9, "well, a null item that no other repeats must be found too, here"), (10, "x " * 40 + item + " y" * 40), (11, item.upper()), (12, item.replace("12", "7").replace("3.5", "2").replace("Bob", "Dan")),
         (13, item.replace("12 apples", "7 apples").replace("12 dollars", "9 dollars").replace("Bob", "Dan")), (14, "so " + " ".join(other.split()[:14])), (15, " ".join(other.split()[:7])),
         (16, "a very short plain item here"), (17, None), (18, ""), (19, "nothing of the kind stands in here at all, is it so or not so"), (None, other), (20, other), (20, other),
     ])
     got = {(r.doc_id, r.item_id): r.exact for r in decontaminate.find_leaks(docs, bench).collect()}
-    assert got == {(10, 1): True, (11, 1): True, (12, 1): False, (14, 2): True, (16, 3): True, (None, 2): True, (20, 2): True}
+    named = {(10, 1): True, (11, 1): True, (12, 1): False, (14, 2): True, (16, 3): True, (None, 2): True, (20, 2): True}
+    assert got == named | {(9, None): True, (10, None): True, (11, None): True, (12, None): False}
     kept = decontaminate.without_leaks(docs.withColumn("key", F.lit(1)), bench)
     assert sorted(r.doc_id for r in kept.collect()) == [13, 15, 17, 18, 19] and "key" in kept.columns
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0 and decontaminate.find_leaks(docs.limit(0), bench).count() == 0
-    assert decontaminate.without_leaks(docs, bench.limit(0)).count() == 13
+    assert decontaminate.without_leaks(docs, bench.limit(0)).count() == 14
     blocks = {(r.doc_id, r.item_id): r.exact for r in decontaminate.find_leaks(docs, bench, block=5).collect()}
     assert blocks == got
 

@@ -61,14 +61,14 @@ def trimmed(function):
     return run
 
 
-def staged_map(df: DataFrame, function, schema, rows: int = 256, compression: str | None = None) -> DataFrame:
-    """``mapInArrow`` in small batches, run once and written to the shared folder."""
+def staged_map(df: DataFrame, function, schema, rows: int = 256, compression: str | None = None, write=stage) -> DataFrame:
+    """``mapInArrow`` in small batches, run once and written to the shared folder by ``write``."""
     spark, key = df.sparkSession, "spark.sql.parquet.compression.codec"
     before = spark.conf.get(key)
     with small_batches(spark, rows):
         spark.conf.set(key, compression or before)
         try:
-            return stage(df.mapInArrow(trimmed(function), schema))
+            return write(df.mapInArrow(trimmed(function), schema))
         finally:
             spark.conf.set(key, before)
 

@@ -38,7 +38,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, table(spark, sf_dir, "labels")).drop("text")
+    return score(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

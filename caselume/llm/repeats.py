@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scale import scratch
 from ..session import ship_package
 from .common import group_bounds, small_batches, stage, staged_map, trimmed, whole_groups
 
@@ -241,13 +242,9 @@ def _scan(batches, least: int):
 
 def _contexts(least: int):
     def run(batches):
-        seen = None
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
             for digest, text, places in zip(b.column("digest").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist()):
-                if digest == seen:  # copies follow each other
-                    continue
-                seen = digest
                 for x in places:
                     p = x["pos"]
                     left, right = text[max(0, p - least + GRAM) : p][::-1], text[p : p + least]
@@ -372,13 +369,25 @@ def _removals(docs: DataFrame, least: int, large: int, text: str) -> tuple[DataF
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = "doc_id long, digest binary, n_bytes long, sha string, anchors array<struct<h:long,pos:int,twice:boolean>>, runs array<struct<begin:int,end:int>>"
-    with small_batches(spark, 512, 2 << 20):
-        scanned = stage(rows.mapInArrow(trimmed(lambda batches: _scan(batches, least)), kind))
+    with scratch(spark) as last:
+        kind = "doc_id long, digest binary, n_bytes long, sha string, anchors array<struct<h:long,pos:int,twice:boolean>>, runs array<struct<begin:int,end:int>>"
+        with small_batches(spark, 512, 2 << 20):
+            scanned = stage(rows.mapInArrow(trimmed(lambda batches: _scan(batches, least)), kind))
+        found, spans = _spans_of_texts(rows, scanned, least, large)
+        by_text = spans.groupBy("digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+        kind = "digest binary, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+        cut = staged_map(found.select("digest", "text").join(by_text, "digest"), _cut, kind, write=last)
+        scanned = last(scanned.select("doc_id", "digest", "n_bytes", "sha"))
+    return scanned, scanned.groupBy("digest").agg(F.count("*").alias("copies")).join(cut, "digest", "left")
+
 
+def _spans_of_texts(rows: DataFrame, scanned: DataFrame, least: int, large: int) -> tuple[DataFrame, DataFrame]:
+    """Different texts with a repeat, and the spans to remove."""
+    spark = rows.sparkSession
     # Beginnings that come in two texts, or twice in one. Eight bytes of a digest
     # name a text here: if two texts shared them, some places would be looked at in vain.
-    places = scanned.select(F.expr("xxhash64(digest)").alias("d"), F.inline("anchors"))
+    name = F.expr("xxhash64(digest)").alias("d")
+    places = scanned.select(name, F.inline("anchors"))
     repeated = (
         places.groupBy("h")
         .agg(F.min("d").alias("d0"), F.max("d").alias("d1"), F.max("twice").alias("twice"), F.count("*").alias("n"))
@@ -386,26 +395,18 @@ def _removals(docs: DataFrame, least: int, large: int, text: str) -> tuple[DataF
         .select("h", (F.col("n") > large).alias("large"))
     )
     wanted = places.select("h", "d", "pos").join(repeated, "h").groupBy("d").agg(F.collect_set(F.struct("pos", "large")).alias("places"))
-    own = scanned.filter(F.size("runs") > 0).select(F.expr("xxhash64(digest)").alias("d"), "digest", "runs").dropDuplicates(["digest"])
+    own = scanned.filter(F.size("runs") > 0).select(name, "digest", "runs").dropDuplicates(["digest"])
     wanted = wanted.join(own.select("d").distinct(), "d", "full").withColumn("places", F.coalesce("places", F.expr("cast(array() as array<struct<pos:int,large:boolean>>)")))
-    texts = rows.select(F.unhex(F.sha2(F.encode("text", "utf-8"), 256)).alias("digest"), F.encode("text", "utf-8").alias("text")).withColumn(
-        "d", F.expr("xxhash64(digest)")
-    )
-    found = stage(texts.filter(F.length("text") >= least).join(wanted, "d").drop("d"))
+    wanted = scanned.select(name, "digest").distinct().join(wanted, "d").drop("d")
+    texts = rows.select(F.encode("text", "utf-8").alias("text")).filter(F.length("text") >= least).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    # Copies are folded before and after the exchange, so a text with very many costs no more than another.
+    found = stage(texts.dropDuplicates(["digest"]).join(wanted, "digest"))
     with small_batches(spark, 256, 4 << 20):
-        suffixes = found.mapInArrow(trimmed(_contexts(least)), "h long, left binary, right binary, digest binary, pos int, large boolean")
+        kind = "h long, left binary, right binary, digest binary, pos int, large boolean"
+        suffixes = found.mapInArrow(trimmed(_contexts(least)), kind)
         near = (
             suffixes.filter("not large").drop("large").repartition("h").sortWithinPartitions("h")
             .mapInArrow(trimmed(_spans(least)), "digest binary, begin int, end int")
         )
-        often = found.filter(F.exists("places", lambda x: x["large"])).mapInArrow(
-            _contexts(least), "h long, left binary, right binary, digest binary, pos int, large boolean"
-        ).filter("large")
-        spans = stage(near.union(_counted_spans(stage(often), least)).union(own.select("digest", F.inline("runs"))))
-    by_text = spans.groupBy("digest").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    cut = staged_map(
-        found.select("digest", "text").join(by_text, "digest"), _cut,
-        "digest binary, n_removed long, n_spans long, kept_sha256 string, kept_text string",
-    ).dropDuplicates(["digest"])
-
-    return scanned, scanned.groupBy("digest").agg(F.count("*").alias("copies")).join(cut, "digest", "left")
+        often = found.filter(F.exists("places", lambda x: x["large"])).mapInArrow(_contexts(least), kind).filter("large")
+        return found, stage(near.union(_counted_spans(stage(often), least)).union(own.select("digest", F.inline("runs"))))

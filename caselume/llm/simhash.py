@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scale import scratch
 from ..session import ship_package
 from .common import components, give_back, group_bounds, small_batches, stage, trimmed, whole_groups
 
@@ -397,12 +398,13 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, similarity: float =
 
     Groups are what chains of links join. Of repeated rows with that id one stays.
     """
-    marked, links = similar_links(docs, words, similarity)
-    least = marked.groupBy("key").agg(F.min("doc_id").alias("least"))
-    roots = components(links).withColumnsRenamed({"node": "key"})
-    grouped = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    kept = grouped.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key")).alias("m"))
-    kept = stage(kept.select(F.col("m.key").alias("__key"), F.col("m.least").alias("__id")))
+    with scratch(docs.sparkSession) as last:
+        marked, links = similar_links(docs, words, similarity)
+        least = marked.groupBy("key").agg(F.min("doc_id").alias("least"))
+        roots = components(links).withColumnsRenamed({"node": "key"})
+        grouped = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        kept = grouped.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key")).alias("m"))
+        kept = last(kept.select(F.col("m.key").alias("__key"), F.col("m.least").alias("__id")))
     keyed = docs.withColumn("__key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     out = keyed.join(kept, "__key").filter(F.col("doc_id").eqNullSafe(F.col("__id")))
     return out.dropDuplicates(["__key"]).drop("__key", "__id")

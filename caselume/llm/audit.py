@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import staged_map
+from .common import Spans, staged_map
 
 #: The filters, and the limits of the first four.
 FILTERS = "ABCDE"
@@ -29,8 +29,6 @@ SPACES, SYMBOLS = b"\x20\x09\x0a\x0b\x0c\x0d", b"#$%&*|"
 # Classes of bytes, and what a byte emits: bits of an 8-bit word.
 SPACE, REST, CAPITAL, SYMBOL, INNER = range(5)
 POINT, IS_CAPITAL, IS_SYMBOL, STARTS_WORD, ENDS_WORD = 1, 2, 4, 8, 16
-#: Longer words are hashed and compared as a whole.
-LONG_WORD = 256
 
 
 @lru_cache(maxsize=1)
@@ -59,52 +57,6 @@ def _sums(flags: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray
     return np.searchsorted(at, ends) - np.searchsorted(at, begins)
 
 
-class Spans:
-    """Words of a buffer, read eight bytes at a time."""
-
-    def __init__(self, buffer: np.ndarray, start: np.ndarray, size: np.ndarray):
-        padded = np.concatenate([buffer, np.zeros(8, np.uint8)])
-        self.eights = np.lib.stride_tricks.as_strided(padded.view(np.uint8), (len(buffer) + 1, 8), (1, 1))
-        self.buffer, self.start, self.size = buffer, start, size
-        self.masks = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], "<u8")
-
-    def eight(self, which: np.ndarray, k: int) -> np.ndarray:
-        """Bytes 8k to 8k + 7 of the words, zeros after a word's end."""
-        raw = self.eights[self.start[which] + 8 * k].view("<u8").ravel()
-        return raw & self.masks[np.minimum(self.size[which] - 8 * k, 8)]
-
-    def whole(self, i: int) -> bytes:
-        return self.buffer[self.start[i] : self.start[i] + self.size[i]].tobytes()
-
-    def hashes(self, seed: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each word, its length and ``seed``."""
-        spread = np.uint64(0x9E3779B97F4A7C15)
-        out = (seed.astype(np.uint64) * spread) ^ self.size.astype(np.uint64)
-        left = np.flatnonzero(self.size <= LONG_WORD)
-        k = 0
-        while len(left):
-            x = (out[left] ^ self.eight(left, k)) * spread
-            out[left] = x ^ (x >> np.uint64(29))
-            k += 1
-            left = left[self.size[left] > 8 * k]
-        for i in np.flatnonzero(self.size > LONG_WORD).tolist():
-            out[i] ^= np.uint64(int.from_bytes(hashlib.blake2b(self.whole(i), digest_size=8).digest(), "little"))
-        return out ^ (out >> np.uint64(32))
-
-    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether words ``a`` and ``b`` have the same bytes."""
-        equal = self.size[a] == self.size[b]
-        left, k = np.flatnonzero(equal & (self.size[a] <= LONG_WORD)), 0
-        while len(left):
-            alike = self.eight(a[left], k) == self.eight(b[left], k)
-            equal[left[~alike]] = False
-            k += 1
-            left = left[alike & (self.size[a[left]] > 8 * k)]
-        for i in np.flatnonzero(equal & (self.size[a] > LONG_WORD)).tolist():
-            equal[i] = self.whole(a[i]) == self.whole(b[i])
-        return equal
-
-
 def distinct_words(spans: Spans, owner: np.ndarray, texts: int, hashes: np.ndarray | None = None) -> np.ndarray:
     """Different words of each text: all spans are inserted into one table, keyed by (text, bytes).
 
@@ -130,7 +82,7 @@ def distinct_words(spans: Spans, owner: np.ndarray, texts: int, hashes: np.ndarr
         a, b = open_[rest], held[rest]
         known = (owner[a] == owner[b]) & (hashes[a] == hashes[b])
         at = np.flatnonzero(known)
-        known[at] = spans.same(a[at], b[at])
+        known[at] = spans.same(a[at], spans, b[at])
         open_ = a[~known]
         step += 1
     return counts

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,8 +101,6 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
 
 def group_bounds(*columns) -> list[int]:
     """Starts of runs of equal values in sorted numpy columns, and the end."""
-    import numpy as np
-
     n = len(columns[0])
     if not n:
         return [0]
@@ -111,6 +111,56 @@ def group_bounds(*columns) -> list[int]:
     return [*np.flatnonzero(new).tolist(), n]
 
 
+#: Longer spans are hashed and compared as a whole.
+LONG_SPAN = 256
+
+
+class Spans:
+    """Byte strings in a buffer, read eight bytes at a time; a ``padded`` buffer has eight bytes more than are used."""
+
+    def __init__(self, buffer: np.ndarray, start: np.ndarray, size: np.ndarray, padded: bool = False):
+        held = buffer if padded else np.concatenate([buffer, np.zeros(8, np.uint8)])
+        self.eights = np.lib.stride_tricks.as_strided(held, (len(held) - 7, 8), (1, 1))
+        self.buffer, self.start, self.size = buffer, start, size
+        self.masks = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], "<u8")
+
+    def eight(self, which: np.ndarray, k: int) -> np.ndarray:
+        """Bytes 8k to 8k + 7 of the spans, zeros after a span's end."""
+        raw = self.eights[self.start[which] + 8 * k].view("<u8").ravel()
+        return raw & self.masks[np.minimum(self.size[which] - 8 * k, 8)]
+
+    def whole(self, i: int) -> bytes:
+        return self.buffer[self.start[i] : self.start[i] + self.size[i]].tobytes()
+
+    def hashes(self, seed: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each span, its length and ``seed``."""
+        spread = np.uint64(0x9E3779B97F4A7C15)
+        out = (seed.astype(np.uint64) * spread) ^ self.size.astype(np.uint64)
+        left = np.flatnonzero(self.size <= LONG_SPAN)
+        k = 0
+        while len(left):
+            x = (out[left] ^ self.eight(left, k)) * spread
+            out[left] = x ^ (x >> np.uint64(29))
+            k += 1
+            left = left[self.size[left] > 8 * k]
+        for i in np.flatnonzero(self.size > LONG_SPAN).tolist():
+            out[i] ^= np.uint64(int.from_bytes(hashlib.blake2b(self.whole(i), digest_size=8).digest(), "little"))
+        return out ^ (out >> np.uint64(32))
+
+    def same(self, a: np.ndarray, other: Spans, b: np.ndarray) -> np.ndarray:
+        """Whether spans ``a`` have the same bytes as spans ``b`` of ``other``."""
+        equal = self.size[a] == other.size[b]
+        left, k = np.flatnonzero(equal & (self.size[a] <= LONG_SPAN)), 0
+        while len(left):
+            alike = self.eight(a[left], k) == other.eight(b[left], k)
+            equal[left[~alike]] = False
+            k += 1
+            left = left[alike & (self.size[a[left]] > 8 * k)]
+        for i in np.flatnonzero(equal & (self.size[a] > LONG_SPAN)).tolist():
+            equal[i] = self.whole(a[i]) == other.whole(b[i])
+        return equal
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of ``edges`` as rows (node, root); the root is the smallest node.
 

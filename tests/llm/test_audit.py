@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from caselume.llm import audit
+from caselume.llm.common import Spans
 
 
 def slow_words(text):
@@ -88,7 +89,7 @@ def test_equal_hashes_of_different_words_are_told_apart():
     assert audit.measures(buffer, ends)["different"].tolist() == [3, 0, 3]
     start = np.array([0, 3, 6, 9, 11, 14, 17, 418, 819])
     size = np.array([2, 2, 2, 2, 2, 2, 400, 400, 400])
-    spans = audit.Spans(buffer, start, size)
+    spans = Spans(buffer, start, size)
     assert [spans.whole(i) for i in range(4)] == [b"aa", b"bb", b"aa", b"cc"]
     same = np.zeros(9, np.uint64)
     assert audit.distinct_words(spans, np.array([0, 0, 0, 0, 2, 2, 2, 2, 2]), 3, same).tolist() == [3, 0, 3]

@@ -74,3 +74,16 @@ def erfc(x: Column) -> Column:
 def chi2_p_value(chi2: Column) -> Column:
     """Upper tail of chi-square with one degree of freedom."""
     return erfc(F.sqrt(F.greatest(chi2, F.lit(0.0)) / 2))
+
+
+#: Terms of the asymptotic series of digamma in 1/x squared: Bernoulli numbers over their (even) index, highest first.
+_DIGAMMA = (-1 / 12, 691 / 32760, -1 / 132, 1 / 240, -1 / 252, 1 / 120, -1 / 12)
+_DIGAMMA_SHIFT = 6
+
+
+def digamma(x: Column) -> Column:
+    """The logarithmic derivative of the gamma function for x >= 1, inside generated code."""
+    below = functools.reduce(Column.__add__, [F.lit(1.0) / (x + i) for i in range(_DIGAMMA_SHIFT)])
+    big = x + float(_DIGAMMA_SHIFT)
+    inv = F.lit(1.0) / (big * big)
+    return F.log(big) - F.lit(0.5) / big + inv * _horner(_DIGAMMA, inv) - below

@@ -7,76 +7,118 @@ Ties are broken by neighbour id, so the answer is unique. The plan:
    vector that a third of all rows share costs no more than any other.
 2. Few spots (rows and values are counted against fixed limits): they are broadcast
    and every task scans them.
-3. Many spots: each spot goes to the cell of its nearest pivot. A cell is cut into
-   rings of at most ``block_rows`` spots by distance to the pivot. A spot is first
-   compared with its own ring, which bounds its k-th distance; after that it visits
-   only rings which, by the triangle inequality and the hyperplane between pivots,
-   can hold something nearer. A ring visited very often is copied so that no task
-   gets more than a fixed number of visitors.
+3. Many spots: a tree of pivots. A cell with more than ``block_rows`` spots gets pivots of
+   its own, those of its spots with the smallest hashes, and each spot goes to the nearest; so on
+   level by level until every cell is a block of at most ``block_rows``. The tree is a table
+   (centre, radius, rows of each cell) that is joined and never gathered.
+4. A block answers its own spots, which bounds their k-th distances.
+5. Pairs of cells are followed down the tree, two levels at a time, and dropped as soon as the balls
+   around them are farther apart than the bound of the first. What is left are the
+   pairs of blocks that can matter; no row has moved so far.
+6. The spots of a block visit another one if its ball reaches into their own bound. A
+   block with very many visitors is copied. Candidates are (spot, distance, id); labels and vectors of
+   the answers are joined once at the end.
 
 Pivot cells follow Lu et al., "Efficient Processing of k Nearest Neighbor Joins
-using MapReduce" (VLDB 2012); rings follow iDistance (Jagadish et al., 2005).
+using MapReduce" (VLDB 2012); pairs of cells are pruned as in dual-tree searches (Gray and Moore, 2001).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.random import seeded_uniform
-from ..functions.scale import running_totals, stage
+from ..functions.scale import scratch, stage
 from ..session import ship_package
 
+#: Spots and values that are broadcast at most; beyond, the tree is used.
 BROADCAST_SPOTS = 8192
 BROADCAST_VALUES = 1_000_000
+#: Spots of a block, pivots of a cell, spots that one task deals to the pivots of their cell, partners of a block in one row.
 BLOCK_ROWS = 2048
-MAX_PIVOTS = 1024
-MAX_BLOCKS = 200_000
-MAX_GROUPS = 1000
+FANOUT = 64
+DEALT_ROWS = 16_384
+PARTNERS = 512
 _CHUNK = 512
+#: Relative error of a sum of products of doubles, for each dimension, with room to spare.
+_EPS = 1e-15
 
-_CANDIDATE = "sid bigint, d2 double, id bigint, y string, x array<double>, c array<string>"
-_NEIGHBOR = "array<struct<d2:double,id:bigint,y:string,x:array<double>,c:array<string>>>"
+_CANDIDATE = "sid bigint, d2 double, id bigint"
 
 
 # --- kernels on the arrays of one block --------------------------------------------
 
 
+@dataclass
 class _Points:
-    """Spots of one block as arrays, sorted by spot id."""
+    """Spots of one block as arrays; the ids of spot i are ``ids[off[i] : off[i + 1]]``."""
+
+    sid: np.ndarray
+    x: np.ndarray
+    c: np.ndarray
+    off: np.ndarray
+    ids: np.ndarray
 
-    def __init__(self, pdf: pd.DataFrame):
-        pdf = pdf.sort_values("sid", kind="stable")
-        self.sid = pdf["sid"].to_numpy()
-        self.x = _matrix(pdf["x"])
-        self.c = _texts(pdf["c"])
+    @staticmethod
+    def of(pdf: pd.DataFrame) -> _Points:
         sizes = np.array([len(v) for v in pdf["ids"]], dtype=np.int64)
-        self.off = np.concatenate([[0], np.cumsum(sizes)])
-        self.ids = np.concatenate([np.asarray(v, dtype=np.int64) for v in pdf["ids"]])
-        self.ys = np.array([y for v in pdf["ys"] for y in v], dtype=object)
+        ids = np.concatenate([np.asarray(v, dtype=np.int64) for v in pdf["ids"]]) if len(pdf) else np.zeros(0, np.int64)
+        return _Points(pdf["sid"].to_numpy(), _matrix(pdf["x"]), _texts(pdf["c"]), np.concatenate([[0], np.cumsum(sizes)]), ids)
+
+    @staticmethod
+    def packed(row) -> _Points:
+        sid = np.asarray(row["sid"], np.int64)
+        x, c = np.asarray(row["x"], np.float64).reshape(len(sid), -1), np.asarray(row["c"], object).reshape(len(sid), -1)
+        return _Points(sid, x, c, np.asarray(row["off"], np.int64), np.asarray(row["ids"], np.int64))
 
 
-def _matrix(col: pd.Series) -> np.ndarray:
+def _matrix(col) -> np.ndarray:
+    if not len(col):
+        return np.zeros((0, 0))
     return np.array([np.asarray(v, dtype=np.float64) for v in col], dtype=np.float64).reshape(len(col), -1)
 
 
-def _texts(col: pd.Series) -> np.ndarray:
+def _texts(col) -> np.ndarray:
     out = np.empty((len(col), len(col.iloc[0]) if len(col) else 0), dtype=object)
     for i, v in enumerate(col):
         out[i, :] = list(v)
     return out
 
 
-def _dist2(qx, qc, px, pc, weight: float) -> np.ndarray:
-    """Squared distances, summed feature by feature; a differing category adds ``weight``."""
-    d = np.zeros((len(qx), len(px)))
+def _differing(qc, pc) -> np.ndarray | float:
+    """How many categories differ, for all pairs."""
+    out: np.ndarray | float = 0.0
+    for j in range(pc.shape[1] if len(pc) and len(qc) else 0):
+        codes = np.unique(np.concatenate([qc[:, j], pc[:, j]]).astype(str), return_inverse=True)[1]
+        out = out + (codes[: len(qc), None] != codes[None, len(qc) :])
+    return out
+
+
+def _about(qx, qc, px, pc, weight: float) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by one product of matrices, and how far each query's may be off."""
+    middle = px.mean(axis=0) if len(px) else 0.0
+    q, p = qx - middle, px - middle
+    qq, pp = (q * q).sum(axis=1), (p * p).sum(axis=1)
+    d = qq[:, None] + pp[None, :] - 2.0 * (q @ p.T) + weight * _differing(qc, pc)
+    top = np.abs(middle).max() if np.size(middle) else 0.0
+    size = qq + pp.max(initial=0.0) + top * top * _EPS
+    return d, _EPS * (8 * px.shape[1] + 16) * (size + weight * pc.shape[1])
+
+
+def _exact(qx, qc, px, pc, weight: float) -> np.ndarray:
+    """Squared distances of rows side by side, summed feature by feature; a differing category adds ``weight``."""
+    d = np.zeros(len(qx))
     for j in range(px.shape[1]):
-        gap = qx[:, j, None] - px[None, :, j]
+        gap = qx[:, j] - px[:, j]
         d += gap * gap
     for j in range(pc.shape[1]):
-        d += weight * (qc[:, j, None] != pc[None, :, j])
+        d += weight * (qc[:, j] != pc[:, j])
     return d
 
 
@@ -88,93 +130,32 @@ def _first_of_each(r: np.ndarray, m: int) -> np.ndarray:
 
 
 def _nearest(qx, qc, pts: _Points, weight: float, m: int):
-    """The m nearest rows of each query: (query, spot, squared distance, id position)."""
-    rows, spots, dists, places = [], [], [], []
+    """The m nearest rows of each query: (query, squared distance, id), sorted by these.
+
+    What can be among them is found with distances from a product of matrices and their error bound; only
+    for these pairs distances are summed feature by feature, so ties are ties.
+    """
+    rows, dists, ids = [], [], []
     for lo in range(0, len(qx), _CHUNK):
-        d = _dist2(qx[lo : lo + _CHUNK], qc[lo : lo + _CHUNK], pts.x, pts.c, weight)
+        q, c = qx[lo : lo + _CHUNK], qc[lo : lo + _CHUNK]
+        d, off = _about(q, c, pts.x, pts.c, weight)
         if d.shape[1] > m:
-            edge = np.partition(d, m - 1, axis=1)[:, m - 1]
+            edge = np.partition(d, m - 1, axis=1)[:, m - 1] + 2.0 * off
             r, s = np.nonzero(d <= edge[:, None])
         else:
             r, s = np.nonzero(np.ones_like(d, dtype=bool))
-        v = d[r, s]
-        order = np.lexsort((s, v, r))
-        r, s, v = r[order], s[order], v[order]
-        top = _first_of_each(r, m)
-        r, s, v = r[top], s[top], v[top]
+        v = _exact(q[r], c[r], pts.x[s], pts.c[s], weight)
         n = pts.off[s + 1] - pts.off[s]
         place = np.repeat(pts.off[s], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-        r, s, v = np.repeat(r, n), np.repeat(s, n), np.repeat(v, n)
-        order = np.lexsort((pts.ids[place], v, r))
-        r, s, v, place = r[order], s[order], v[order], place[order]
+        r, v, i = np.repeat(r, n), np.repeat(v, n), pts.ids[place]
+        order = np.lexsort((i, v, r))
+        r, v, i = r[order], v[order], i[order]
         top = _first_of_each(r, m)
         rows.append(r[top] + lo)
-        spots.append(s[top])
         dists.append(v[top])
-        places.append(place[top])
-    return tuple(np.concatenate(a) for a in (rows, spots, dists, places))
-
-
-def _candidates(qsid, found, pts: _Points) -> pd.DataFrame:
-    r, s, v, place = found
-    return pd.DataFrame(
-        {
-            "sid": qsid[r],
-            "d2": v,
-            "id": pts.ids[place],
-            "y": pts.ys[place],
-            "x": list(pts.x[s]),
-            "c": [list(t) for t in pts.c[s]],
-        }
-    )
-
-
-class _Layout:
-    """Pivots and ring bounds of one group: a bounded summary, shipped to every task."""
-
-    def __init__(self, px, pc, weight: float):
-        self.px, self.pc, self.weight = px, pc, weight
-        self.between = np.sqrt(_dist2(px, pc, px, pc, weight))
-
-    def to_pivots(self, qx, qc) -> np.ndarray:
-        return np.sqrt(_dist2(qx, qc, self.px, self.pc, self.weight))
-
-    def set_blocks(self, blocks: pd.DataFrame) -> None:
-        blocks = blocks.sort_values(["cell", "ring"])
-        p = len(self.px)
-        self.cell = blocks["cell"].to_numpy()
-        self.ring = blocks["ring"].to_numpy()
-        self.low = blocks["low"].to_numpy()
-        self.high = blocks["high"].to_numpy()
-        self.radius = np.zeros(p)
-        np.maximum.at(self.radius, self.cell, self.high)
-        self.rows = np.zeros(p)
-        np.add.at(self.rows, self.cell, blocks["rows"].to_numpy())
-        self.first = np.searchsorted(self.cell, np.arange(p))
-        self.last = np.searchsorted(self.cell, np.arange(p), side="right")
-
-    def reach(self, dp: np.ndarray, m: int) -> float:
-        """A distance within which m rows certainly lie, from cell radii alone."""
-        far = np.where(self.rows > 0, dp + self.radius, np.inf)
-        order = np.argsort(far)
-        enough = np.searchsorted(np.cumsum(self.rows[order]), m)
-        return far[order[enough]] if enough < len(order) else np.inf
-
-    def visits(self, dp: np.ndarray, own_cell: int, own_ring: int, theta: float) -> list[int]:
-        """Indexes of the rings that may hold a row nearer than theta."""
-        slack = 1e-9 * (1.0 + theta) if np.isfinite(theta) else 0.0
-        bound = theta + slack
-        near = (dp - self.radius <= bound) & (self.rows > 0)
-        gap = self.between[own_cell]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (dp * dp - dp[own_cell] ** 2) / (2.0 * gap)
-        near &= ~((gap > 0) & (plane > bound + 1e-9 * (1.0 + np.abs(dp))))
-        out: list[int] = []
-        for j in np.nonzero(near)[0]:
-            a, b = self.first[j], self.last[j]
-            ok = (self.low[a:b] <= dp[j] + bound) & (self.high[a:b] >= dp[j] - bound)
-            out.extend((np.nonzero(ok)[0] + a).tolist())
-        return [b for b in out if not (self.cell[b] == own_cell and self.ring[b] == own_ring)]
+        ids.append(i[top])
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(a) if a else none for a in (rows, dists, ids))
 
 
 # --- the operator ------------------------------------------------------------------
@@ -188,11 +169,8 @@ def _spots(base: DataFrame, m: int, everyone: bool) -> DataFrame:
     """
     vector = Window.partitionBy("g", "x", "c").orderBy("id")
     heads = base.withColumn("_n", F.row_number().over(vector)).filter(F.col("_n") <= m)
-    packed = F.sort_array(F.collect_list(F.struct("id", "y")))
-    spots = heads.groupBy("g", "x", "c").agg(packed.alias("p"))
-    spots = spots.select(
-        "g", "x", "c", F.col("p.id").alias("ids"), F.col("p.y").alias("ys"), F.element_at("p.id", 1).alias("sid")
-    )
+    spots = heads.groupBy("g", "x", "c").agg(F.sort_array(F.collect_list(F.struct("id", "y"))).alias("p"))
+    spots = spots.select("g", "x", "c", F.col("p.id").alias("ids"), F.col("p.y").alias("ys"), F.element_at("p.id", 1).alias("sid"))
     if everyone:
         return spots.withColumn("asked", F.lit(True))
     asked = base.groupBy("g", "x", "c").agg(F.max("asked").alias("asked"))
@@ -200,162 +178,277 @@ def _spots(base: DataFrame, m: int, everyone: bool) -> DataFrame:
 
 
 def _scan_broadcast(spots: DataFrame, m: int, weight: float) -> DataFrame:
-    """All spots fit a broadcast (the caller counted them)."""
+    """All spots fit a broadcast (the caller counted them), so answers come with their labels and vectors."""
     local = spots.select("g", "sid", "x", "c", "ids", "ys").toPandas()
-    groups = {g: _Points(pdf) for g, pdf in local.groupby("g")}
+    groups = {}
+    for g, pdf in local.groupby("g"):
+        pts = _Points.of(pdf)
+        spot = np.repeat(np.arange(len(pdf)), np.diff(pts.off))
+        labels = np.array([y for ys in pdf["ys"] for y in ys], dtype=object)
+        groups[g] = pts, {i: (s, y) for i, s, y in zip(pts.ids.tolist(), spot.tolist(), labels)}
     shared = spots.sparkSession.sparkContext.broadcast(groups)
 
     def scan(batches):
         for pdf in batches:
             for g, part in pdf.groupby("g"):
-                pts = shared.value[g]
-                found = _nearest(_matrix(part["x"]), _texts(part["c"]), pts, weight, m)
-                yield _candidates(part["sid"].to_numpy(), found, pts)
+                pts, known = shared.value[g]
+                r, d, i = _nearest(_matrix(part["x"]), _texts(part["c"]), pts, weight, m)
+                found = [known[x] for x in i.tolist()]
+                at = [s for s, _ in found]
+                yield pd.DataFrame({
+                    "sid": part["sid"].to_numpy()[r], "d2": d, "id": i, "y": [y for _, y in found], "x": list(pts.x[at]), "c": [list(t) for t in pts.c[at]],
+                })
 
     asked = spots.filter("asked").select("g", "sid", "x", "c")
     spread = asked.repartition(spots.sparkSession.sparkContext.defaultParallelism, "sid")
-    return spread.mapInPandas(scan, _CANDIDATE)
-
-
-def _scan_partitioned(
-    spots: DataFrame, sizes: dict, m: int, weight: float, block_rows: int, max_pivots: int
-) -> DataFrame:
-    spark = spots.sparkSession
-    # Ring bounds travel to the driver and to every task: at most MAX_BLOCKS rings
-    # (and one per cell), whatever the number of spots.
-    block_rows = max(block_rows, sum(sizes.values()) // MAX_BLOCKS)
-    # The pivots of all groups together stay below 4 * max_pivots + groups.
-    total = sum(sizes.values())
-    pivots_of = {
-        g: int(max(1, min(max_pivots, np.ceil(np.sqrt(n) / 4), 4 * max_pivots * n // total)))
-        for g, n in sizes.items()
-    }
-    wanted = F.lit(0)
-    for g, p in pivots_of.items():
-        wanted = F.when(F.col("g") == g, p).otherwise(wanted)
-    draw = Window.partitionBy("g").orderBy("_u", "sid")
-    chosen = (
-        spots.select("g", "x", "c", "sid", seeded_uniform(17, "sid").alias("_u"))
-        .withColumn("_n", F.row_number().over(draw))
-        .filter((F.col("_n") <= max(pivots_of.values())) & (F.col("_n") <= wanted))
-        .select("g", "x", "c", "sid")
-        .toPandas()
-        .sort_values(["g", "sid"])
-    )
-    layouts = {g: _Layout(_matrix(p["x"]), _texts(p["c"]), weight) for g, p in chosen.groupby("g")}
-    pivots = spark.sparkContext.broadcast(layouts)
-
-    def assign(batches):
-        for pdf in batches:
-            for g, part in pdf.groupby("g"):
-                dp = pivots.value[g].to_pivots(_matrix(part["x"]), _texts(part["c"]))
-                cell = dp.argmin(axis=1)
-                yield part.assign(cell=cell.astype("int32"), d0=dp[np.arange(len(part)), cell])
-
-    fields = "g string, x array<double>, c array<string>, ids array<bigint>, ys array<string>, sid bigint, asked boolean"
-    placed = stage(
-        spots.select("g", "x", "c", "ids", "ys", "sid", "asked").mapInPandas(
-            assign, f"{fields}, cell int, d0 double"
+    return spread.mapInPandas(scan, f"{_CANDIDATE}, y string, x array<double>, c array<string>")
+
+
+@contextmanager
+def _few_rows(spark: SparkSession, rows: int = 64) -> Iterator[None]:
+    """Arrow batches of few rows: a row holds the arrays of a whole block."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _name(level: int, cell: str = "cell") -> Column:
+    """A cell is named by its level and its pivot's spot; a root by its group."""
+    return F.concat(F.lit(f"{level}:"), F.col(cell))
+
+
+@dataclass
+class _Tree:
+    """``blocks``: a row per block with the arrays of its spots, their own answers and bounds. ``nodes``: ``node``, ``parent``, ``x``, ``c``,
+    ``radius``, ``rows``, ``leaf``."""
+
+    blocks: DataFrame
+    nodes: DataFrame
+    depth: int
+
+
+def _grow(spots: DataFrame, weight: float, m: int, block_rows: int, fanout: int) -> _Tree:
+    """Cells of at most ``block_rows`` spots, the tree above them, and what each block answers by itself."""
+    fields = "sid bigint, x array<double>, c array<string>, ids array<bigint>, asked boolean, parent string, cell string, far double"
+    names = [f.split()[0] for f in fields.split(", ")]
+    now = spots.select("sid", "x", "c", "ids", "asked", F.lit(None).cast("string").alias("parent"), F.col("g").alias("cell"), F.lit(0.0).alias("far"))
+    leaves, nodes, level = [], [], 0
+
+    def deal(spots_of: pd.DataFrame, pivots_of: pd.DataFrame) -> pd.DataFrame:
+        if spots_of.empty:
+            return pd.DataFrame(columns=names)
+        px, pc = _matrix(pivots_of["px"]), _texts(pivots_of["pc"])
+        x, c = _matrix(spots_of["x"]), _texts(spots_of["c"])
+        near = np.concatenate([_about(x[i : i + _CHUNK], c[i : i + _CHUNK], px, pc, weight)[0].argmin(axis=1) for i in range(0, len(x), _CHUNK)])
+        # A pivot's own spot is its cell's centre.
+        own = {s: i for i, s in enumerate(pivots_of["pivot"])}
+        near = np.array([own.get(s, i) for s, i in zip(spots_of["sid"], near)])
+        far = np.sqrt(_exact(x, c, px[near], pc[near], weight))
+        return spots_of.assign(cell=pivots_of["pivot"].astype(str).to_numpy()[near], far=far)[names]
+
+    while True:
+        centre = F.when(F.col("sid").cast("string") == F.col("cell"), F.struct("x", "c")) if level else F.lit(None).cast("struct<x:array<double>,c:array<string>>")
+        cells = now.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"), F.sum(F.size("ids")).alias("rows"), F.max("parent").alias("parent"), F.max(centre).alias("centre")
         )
-    ).withColumn("one", F.lit(1))
-    ranked = running_totals(placed, ["g", "cell"], ["d0", "sid"], ["one"])
-    blocks = stage(
-        ranked.withColumn("ring", F.floor((F.col("cum_one") - 1) / block_rows).cast("int")).drop(
-            "one", "cum_one", "total_one"
+        open_ = (F.col("n") > block_rows) & ((F.col("radius") > 0) | F.lit(not level))
+        nodes.append(cells.select(
+            _name(level).alias("node"), F.concat(F.lit(f"{level - 1}:"), "parent").alias("parent"), "centre.x", "centre.c", "radius", "rows", (~open_).alias("leaf")
+        ))
+        large = cells.filter(open_).select("cell", "n")
+        some = not large.isEmpty()
+        small = now.join(cells.filter(~open_).select("cell"), "cell") if some else now
+        leaves.append(small.select("sid", "x", "c", "ids", "asked", _name(level).alias("node")))
+        if not some:
+            break
+        inside = now.join(large, "cell").select(F.col("cell").alias("parent"), "n", "sid", "x", "c", "ids", "asked")
+        order = Window.partitionBy("parent").orderBy(F.xxhash64("sid", F.lit(level)), "sid")
+        wanted = F.least(F.lit(fanout), F.ceil(2 * F.col("n") / block_rows))
+        drawn = inside.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= fanout).filter(F.col("_n") <= wanted)
+        # A cell that holds a large share of all spots is dealt by many tasks.
+        shares = F.ceil(F.col("n") / DEALT_ROWS).cast("int")
+        dealt = inside.withColumn("share", F.pmod(F.xxhash64("sid"), shares).cast("int"))
+        pivots = drawn.select(
+            F.col("parent").alias("of"), F.col("sid").alias("pivot"), F.col("x").alias("px"), F.col("c").alias("pc"),
+            F.explode(F.sequence(F.lit(0), shares - 1)).alias("part"),
         )
+        now = stage(dealt.groupBy("parent", "share").cogroup(pivots.groupBy("of", "part")).applyInPandas(deal, fields))
+        level += 1
+
+    def pack(key, pdf):
+        pts, asked = _Points.of(pdf), pdf["asked"].to_numpy(bool)
+        ask = np.flatnonzero(asked)
+        r, d, i = _nearest(pts.x[ask], pts.c[ask], pts, weight, m)
+        worst = np.zeros(len(ask))
+        np.maximum.at(worst, r, d)
+        theta = np.where(np.bincount(r, minlength=len(ask)) >= m, np.sqrt(worst), np.inf)
+        row = [key[0], pts.sid, pts.x.ravel(), pts.c.ravel(), pts.off, pts.ids, asked, theta, pts.sid[ask][r], d, i]
+        return pd.DataFrame([row], columns=["node", "sid", "x", "c", "off", "ids", "asked", "theta", "qsid", "d2", "id"])
+
+    rows, table = leaves[0], nodes[0]
+    for more, other in zip(leaves[1:], nodes[1:]):
+        rows, table = rows.unionByName(more), table.unionByName(other)
+    kind = (
+        "node string, sid array<bigint>, x array<double>, c array<string>, off array<bigint>, ids array<bigint>, asked array<boolean>, "
+        "theta array<double>, qsid array<bigint>, d2 array<double>, id array<bigint>"
     )
-    bounds = (
-        blocks.groupBy("g", "cell", "ring")
-        .agg(F.min("d0").alias("low"), F.max("d0").alias("high"), F.sum(F.size("ids")).alias("rows"))
-        .toPandas()
-    )
-    for g, layout in layouts.items():
-        layout.set_blocks(bounds[bounds["g"] == g])
-    plan = spark.sparkContext.broadcast(layouts)
-
-    visit_cols = "visit boolean, g string, cell int, ring int, qx array<double>, qc array<string>, theta double"
-
-    def own_ring(key, pdf):
-        g, cell, ring = key
-        layout, pts = plan.value[g], _Points(pdf)
-        ask = pdf[pdf["asked"].astype(bool)]
-        if ask.empty:
-            return pd.DataFrame()
-        qx, qc, qsid = _matrix(ask["x"]), _texts(ask["c"]), ask["sid"].to_numpy()
-        found = _nearest(qx, qc, pts, weight, m)
-        out = _candidates(qsid, found, pts)
-        out = out.assign(
-            visit=False, g=g, cell=cell, ring=ring, qx=[[]] * len(out), qc=[[]] * len(out), theta=0.0
-        )
-        count = np.bincount(found[0], minlength=len(qx))
-        worst = np.zeros(len(qx))
-        np.maximum.at(worst, found[0], found[2])
-        theta = np.where(count >= m, np.sqrt(worst), np.inf)
-        go: list[tuple[int, int]] = []
-        for lo in range(0, len(qx), _CHUNK):
-            dp = layout.to_pivots(qx[lo : lo + _CHUNK], qc[lo : lo + _CHUNK])
-            for i in range(len(dp)):
-                q = lo + i
-                if not np.isfinite(theta[q]):
-                    theta[q] = layout.reach(dp[i], m)
-                go.extend((q, b) for b in layout.visits(dp[i], cell, ring, theta[q]))
-        if not go:
-            return out
-        q, b = np.array(go).T
-        trips = pd.DataFrame(
-            {
-                "sid": qsid[q],
-                "d2": 0.0,
-                "id": -1,
-                "y": "",
-                "x": [[]] * len(q),
-                "c": [[]] * len(q),
-                "visit": True,
-                "g": g,
-                "cell": layout.cell[b],
-                "ring": layout.ring[b],
-                "qx": list(qx[q]),
-                "qc": [list(t) for t in qc[q]],
-                "theta": theta[q],
-            }
-        )
-        return pd.concat([out, trips], ignore_index=True)
+    return _Tree(stage(rows.groupBy("node").applyInPandas(pack, kind)), table, level)
 
-    schema = f"{_CANDIDATE}, {visit_cols}"
-    first = stage(
-        blocks.groupBy("g", "cell", "ring").applyInPandas(
-            lambda key, pdf: own_ring(key, pdf).reindex(columns=[c.split()[0] for c in _split(schema)]), schema
-        )
-    )
-    trips = first.filter("visit").select("sid", "g", "cell", "ring", "qx", "qc", "theta")
-    per_task = 4 * block_rows
-    copies = trips.groupBy("g", "cell", "ring").agg(
-        F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias("copies")
-    )
-    salted = trips.join(copies, ["g", "cell", "ring"]).withColumn(
-        "copy", F.pmod(F.xxhash64("sid"), F.col("copies")).cast("int")
-    )
-    spread = copies.withColumnRenamed("copies", "n").select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
-    copied = blocks.select("g", "cell", "ring", "sid", "x", "c", "ids", "ys").join(
-        spread.drop("n"), ["g", "cell", "ring"]
-    )
 
-    def visit(visitors, residents):
-        if visitors.empty or residents.empty:
-            return pd.DataFrame(columns=[c.split()[0] for c in _split(_CANDIDATE)])
-        pts = _Points(residents)
-        found = _nearest(_matrix(visitors["qx"]), _texts(visitors["qc"]), pts, weight, m)
-        theta = visitors["theta"].to_numpy()[found[0]]
-        ok = found[2] <= theta * theta * (1 + 1e-9) + 1e-12
-        return _candidates(visitors["sid"].to_numpy(), tuple(a[ok] for a in found), pts)
-
-    keys = ["g", "cell", "ring", "copy"]
-    second = salted.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInPandas(visit, _CANDIDATE)
-    return first.filter(~F.col("visit")).select("sid", "d2", "id", "y", "x", "c").unionByName(second)
+def _bounded_nodes(tree: _Tree, weight: float, m: int) -> DataFrame:
+    """The nodes with ``theta``: no asked spot below has its m-th row farther away; null if none is asked.
 
+    A block of fewer than m rows takes its bound, ``reach``, from the cells beside it, by their centres, radii and rows.
+    """
 
-def _split(schema: str) -> list[str]:
-    return [p.strip() for p in schema.split(", ")]
+    def beside(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, c = _matrix(pdf["x"]), _texts(pdf["c"])
+        d, off = _about(x, c, x, c, weight)
+        radius, rows = pdf["radius"].to_numpy(), pdf["rows"].to_numpy()
+        far = np.sqrt(np.maximum(d + off[:, None], 0.0)) + radius[None, :] + radius[:, None]
+        order = np.argsort(far, axis=1)
+        enough = (np.cumsum(rows[order], axis=1) >= m).argmax(axis=1)
+        reach = far[np.arange(len(far)), order[np.arange(len(far)), enough]]
+        reach[rows.sum() < m] = np.inf
+        return pdf[["node"]].assign(reach=reach * (1 + 1e-9))
+
+    found = tree.blocks.filter(F.size("theta") > 0).select("node", F.array_max("theta").alias("own"))
+    nodes = tree.nodes.join(found, "node", "left")
+    nodes = stage(nodes) if tree.depth > 1 else nodes
+    few = nodes.filter((F.col("own") == float("inf")) & F.col("parent").isNotNull()).select("parent").distinct()
+    near = nodes.join(few, "parent").select("parent", "node", "x", "c", "radius", "rows")
+    reach = near.groupBy("parent").applyInPandas(beside, "node string, reach double")
+    nodes = nodes.join(reach, "node", "left")
+    nodes = nodes.withColumn("theta", F.when(F.col("own") == float("inf"), F.col("reach")).otherwise(F.col("own"))).drop("own")
+    if tree.depth < 2:
+        return nodes.withColumn("theta", F.when(F.col("leaf"), F.col("theta")).otherwise(float("inf")))
+    nodes = stage(nodes)
+    done = nodes.filter("leaf")
+    above = done.select("parent", "theta")
+    for level in reversed(range(tree.depth)):
+        inner = nodes.filter(~F.col("leaf") & F.col("node").startswith(f"{level}:")).drop("theta")
+        best = above.groupBy("parent").agg(F.max("theta").alias("theta")).withColumnRenamed("parent", "node")
+        inner = stage(inner.join(best, "node", "left"))
+        done = done.unionByName(inner)
+        above = above.unionByName(inner.select("parent", "theta"))
+    return done
+
+
+def _block_pairs(nodes: DataFrame, depth: int, weight: float) -> DataFrame:
+    """Pairs of different blocks ``(a, b)`` such that a row of b can be an answer for a spot of a."""
+    fields = F.struct("node", "leaf", "x", "c", "radius", F.coalesce("theta", F.lit(-1.0)).alias("theta"))
+    below = nodes.filter("parent is not null").groupBy("parent").agg(F.collect_list(fields).alias("kids"))  # ``fanout`` at most
+    same = nodes.filter("leaf").select(F.col("node").alias("parent"), F.array(fields).alias("kids"))
+    kids = below.unionByName(same)
+    kids = stage(kids) if depth > 1 else kids
+
+    def meet(batches):
+        for pdf in batches:
+            out = []
+            for ka, kb in zip(pdf["ka"], pdf["kb"]):
+                a, b = pd.DataFrame(list(map(dict, map(_fields, ka)))), pd.DataFrame(list(map(dict, map(_fields, kb))))
+                d, off = _about(_matrix(a["x"]), _texts(a["c"]), _matrix(b["x"]), _texts(b["c"]), weight)
+                gap = np.sqrt(np.maximum(d - off[:, None], 0.0)) - (a["radius"].to_numpy()[:, None] + b["radius"].to_numpy()[None, :]) * (1 + 1e-9)
+                theta = a["theta"].to_numpy()[:, None]
+                i, j = np.nonzero((theta >= 0) & (gap <= theta * (1 + 1e-9) + 1e-12))
+                keep = ~((a["node"].to_numpy()[i] == b["node"].to_numpy()[j]) & a["leaf"].to_numpy(bool)[i])
+                out.append(pd.DataFrame({"a": a["node"].to_numpy()[i[keep]], "b": b["node"].to_numpy()[j[keep]]}))
+            yield pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=str)
+
+    def _fields(kid):
+        return kid.items() if isinstance(kid, dict) else kid.asDict().items()
+
+    pairs = nodes.filter("parent is null and not leaf").select(F.col("node").alias("a"), F.col("node").alias("b"))
+    spark = nodes.sparkSession
+    for _ in range(depth):
+        both = pairs.join(kids.select(F.col("parent").alias("a"), F.col("kids").alias("ka")), "a").join(kids.select(F.col("parent").alias("b"), F.col("kids").alias("kb")), "b")
+        with _few_rows(spark):
+            pairs = stage(both.select("ka", "kb").mapInPandas(meet, "a string, b string"))
+    return pairs
+
+
+def _visits(tree: _Tree, nodes: DataFrame, pairs: DataFrame, weight: float, m: int, block_rows: int) -> DataFrame:
+    """Candidates that asked spots find in other blocks."""
+    spark = tree.blocks.sparkSession
+    ball = nodes.select(F.col("node").alias("b"), "x", "c", "radius")
+    # A row holds the partners of a block, at most ``PARTNERS`` of them on average.
+    share = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("shares"))
+    named = pairs.join(share, "a").withColumn("share", F.pmod(F.xxhash64("b"), "shares")).join(ball, "b")
+    partners = named.groupBy("a", "share").agg(F.collect_list(F.struct("b", "x", "c", "radius")).alias("with"))
+    partners = partners.join(nodes.select(F.col("node").alias("a"), "reach"), "a")
+    spots = tree.blocks.select(F.col("node").alias("a"), "sid", "x", "c", "off", "ids", "asked", "theta")
+
+    def go(batches):
+        for pdf in batches:
+            out = []
+            for _, row in pdf.iterrows():
+                pts, ask = _Points.packed(row), np.flatnonzero(np.asarray(row["asked"], bool))
+                theta = np.asarray(row["theta"], float)
+                theta = np.where(np.isfinite(theta), theta, np.inf if pd.isna(row["reach"]) else row["reach"])
+                some = [r if isinstance(r, dict) else r.asDict() for r in row["with"]]
+                others = pd.DataFrame(some)
+                d, off = _about(pts.x[ask], pts.c[ask], _matrix(others["x"]), _texts(others["c"]), weight)
+                gap = np.sqrt(np.maximum(d - off[:, None], 0.0)) - others["radius"].to_numpy()[None, :] * (1 + 1e-9)
+                near = gap <= theta[:, None] * (1 + 1e-9) + 1e-12
+                for j in np.flatnonzero(near.any(axis=0)):
+                    q = np.flatnonzero(near[:, j])
+                    out.append((row["a"], others["b"].iloc[j], pts.sid[ask[q]], pts.x[ask[q]].ravel(), pts.c[ask[q]].ravel(), theta[q]))
+            yield pd.DataFrame(out, columns=["a", "node", "qsid", "qx", "qc", "theta"])
+
+    kind = "a string, node string, qsid array<bigint>, qx array<double>, qc array<string>, theta array<double>"
+    with _few_rows(spark):
+        trips = stage(spots.join(partners, "a").mapInPandas(go, kind))
+    copies = trips.groupBy("node").agg(F.ceil(F.sum(F.size("qsid")) / (8 * block_rows)).cast("int").alias("copies"))
+    salted = trips.join(copies, "node").withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int")).drop("copies", "a")
+    hosts = tree.blocks.select("node", "sid", "x", "c", "off", "ids").join(copies, "node")
+    hosts = hosts.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+
+    def visit(visitors: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(visitors) and len(residents):
+            pts = _Points.packed(residents.iloc[0])
+            for _, row in visitors.iterrows():
+                sid, theta = np.asarray(row["qsid"], np.int64), np.asarray(row["theta"], float)
+                qx, qc = np.asarray(row["qx"], float).reshape(len(sid), -1), np.asarray(row["qc"], object).reshape(len(sid), -1)
+                r, d, i = _nearest(qx, qc, pts, weight, m)
+                ok = d <= theta[r] ** 2 * (1 + 1e-9) + 1e-12
+                out.append(pd.DataFrame({"sid": sid[r[ok]], "d2": d[ok], "id": i[ok]}))
+        return pd.concat(out) if out else pd.DataFrame({"sid": [], "d2": [], "id": []})
+
+    return salted.groupBy("node", "copy").cogroup(hosts.groupBy("node", "copy")).applyInPandas(visit, _CANDIDATE)
+
+
+def _scan_tree(spots: DataFrame, m: int, weight: float, block_rows: int, fanout: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidates, the nodes of the tree, and the pairs of blocks that were visited."""
+    tree = _grow(spots, weight, m, max(block_rows, 2 * m), fanout)
+    found = tree.blocks.select(F.explode(F.arrays_zip("qsid", "d2", "id")).alias("_c")).select(F.col("_c.qsid").alias("sid"), "_c.d2", "_c.id")
+    if not tree.depth:
+        return found, tree.nodes, tree.blocks.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+    nodes = stage(_bounded_nodes(tree, weight, m))
+    pairs = _block_pairs(nodes, tree.depth, weight)
+    return found.unionByName(_visits(tree, nodes, pairs, weight, m, block_rows)), nodes, pairs
+
+
+def _prepared(df, ident, features, k, label, within_label, nominal, queries) -> tuple[DataFrame, DataFrame]:
+    """The rows in the columns of the plan, and their spots."""
+    if len(features) == 1 and df.schema[features[0]].dataType.typeName() == "array":
+        vector = F.col(features[0]).cast("array<double>")
+    else:
+        vector = F.array(*[F.col(f).cast("double") for f in features])
+    y = F.col(label).cast("string") if label else F.lit("")
+    base = df.select(
+        F.col(ident).cast("bigint").alias("id"),
+        y.alias("y"),
+        (F.coalesce(y, F.lit("")) if within_label else F.lit("")).alias("g"),
+        vector.alias("x"),
+        F.array(*[F.col(n).cast("string") for n in nominal]).cast("array<string>").alias("c"),
+        (queries if queries is not None else F.lit(True)).alias("asked"),
+    )
+    return base, stage(_spots(base, k + 1, queries is None))
 
 
 def nearest_neighbors(
@@ -368,68 +461,65 @@ def nearest_neighbors(
     nominal: list[str] | None = None,
     nominal_weight: float = 0.0,
     queries: Column | None = None,
+    rows: bool = True,
     broadcast_spots: int = BROADCAST_SPOTS,
     block_rows: int = BLOCK_ROWS,
-    max_pivots: int = MAX_PIVOTS,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """``(ident, x, c, neighbors)`` for every row, or for the rows of ``queries``.
 
     ``neighbors`` is an array of ``(d2, id, y, x, c)`` ordered by distance and id: at
-    most k rows other than the row itself, fewer only when its group has fewer.
+    most k rows other than the row itself, fewer only when its group has fewer. Without ``rows`` it
+    holds ``(d2, id)`` alone, which saves a join.
     ``x`` are the features as doubles, ``c`` the nominal ones. A single feature of
     array type is used as the vector itself. With ``within_label`` only rows of the
     same label are compared. Features are used unscaled and must not be null; the
     identifier must be a unique whole number.
     """
-    ship_package(df.sparkSession)
-    nominal = nominal or []
+    spark = df.sparkSession
+    ship_package(spark)
     m = k + 1
-    if len(features) == 1 and df.schema[features[0]].dataType.typeName() == "array":
-        vector = F.col(features[0]).cast("array<double>")
-    else:
-        vector = F.array(*[F.col(f).cast("double") for f in features])
-    y = F.col(label).cast("string") if label else F.lit("")
-    base = df.select(
-        F.col(ident).cast("bigint").alias("id"),
-        y.alias("y"),
-        (y if within_label else F.lit("")).alias("g"),
-        vector.alias("x"),
-        F.array(*[F.col(n).cast("string") for n in nominal]).cast("array<string>").alias("c"),
-        (queries if queries is not None else F.lit(True)).alias("asked"),
-    )
-    spots = stage(_spots(base, m, queries is None))
-    groups = (
-        spots.groupBy("g")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x") + F.size("c") + m).alias("width"))
-        .limit(MAX_GROUPS + 1)
-        .collect()
-    )
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: within_label needs a class column")
-    sizes = {r["g"]: r["n"] for r in groups}
-    values = sum(r["n"] * r["width"] for r in groups)
-    if sum(sizes.values()) <= broadcast_spots and values <= BROADCAST_VALUES:
-        found = _scan_broadcast(spots, m, nominal_weight)
+    base, spots = _prepared(df, ident, features, k, label, within_label, nominal or [], queries)
+    size = spots.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("x") + F.size("c") + F.size("ids")).alias("values")).first()
+    fields = ["d2", "id", "y", "x", "c"] if rows else ["d2", "id"]
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("sid").orderBy("d2", "id")
+        return found.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= m)
+
+    def answers(found: DataFrame) -> DataFrame:
+        return found.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("found"))
+
+    if size["n"] <= broadcast_spots and (size["values"] or 0) <= BROADCAST_VALUES:
+        answer = answers(best(_scan_broadcast(spots, m, nominal_weight)))
     else:
-        found = _scan_partitioned(spots, sizes, m, nominal_weight, block_rows, max_pivots)
-    best = Window.partitionBy("sid").orderBy("d2", "id")
-    answer = (
-        found.withColumn("_n", F.row_number().over(best))
-        .filter(F.col("_n") <= m)
-        .groupBy("sid")
-        .agg(F.sort_array(F.collect_list(F.struct("d2", "id", "y", "x", "c"))).alias("found"))
-    )
+        with scratch(spark) as last:
+            found = best(_scan_tree(spots, m, nominal_weight, block_rows, fanout)[0]).select("sid", "d2", "id")
+            answer = last(answers(found.join(base.select("id", "y", "x", "c"), "id") if rows else found))
     # A frequent vector makes this join skewed on the row side; adaptive execution
     # splits that side, and the answer side has one row per vector.
-    keyed = spots.filter("asked").select("g", F.col("x").alias("_x"), F.col("c").alias("_c"), "sid").join(answer, "sid")
+    keyed = spots.filter("asked").select(F.col("g").alias("_g"), F.col("x").alias("_x"), F.col("c").alias("_c"), "sid").join(answer, "sid")
     joined = base.filter("asked").join(
-        keyed.withColumnRenamed("g", "_g"),
-        (F.col("g") == F.col("_g")) & (F.col("x") == F.col("_x")) & (F.col("c") == F.col("_c")),
+        keyed, (F.col("g") == F.col("_g")) & (F.col("x") == F.col("_x")) & (F.col("c") == F.col("_c"))
     )
     others = F.slice(F.filter("found", lambda n: n["id"] != F.col("id")), 1, k)
     return joined.select(F.col("id").alias(ident), "x", "c", others.alias("neighbors"))
 
 
+def visited_share(
+    df: DataFrame, ident: str, features: list[str], k: int, block_rows: int = BLOCK_ROWS, fanout: int = FANOUT
+) -> DataFrame:
+    """How much the tree prunes: ``blocks``, ``pairs`` of different blocks that are visited, and their ``share`` of all."""
+    ship_package(df.sparkSession)
+    with scratch(df.sparkSession) as last:
+        _, spots = _prepared(df, ident, features, k, None, False, [], None)
+        _, nodes, pairs = _scan_tree(spots, k + 1, 0.0, block_rows, fanout)
+        blocks = nodes.filter("leaf").agg(F.count(F.lit(1)).alias("blocks"))
+        both = last(blocks.withColumn("pairs", pairs.agg(F.count(F.lit(1))).scalar()))
+    all_pairs = F.greatest(F.col("blocks") * (F.col("blocks") - 1), F.lit(1))
+    return both.withColumn("share", F.col("pairs") / all_pairs)
+
+
 def neighbor_rows(neighbors: DataFrame, ident: str) -> DataFrame:
     """One row per neighbour: ``(ident, rank, nn_id, distance)``."""
     return neighbors.select(ident, F.posexplode("neighbors").alias("_p", "_n")).select(

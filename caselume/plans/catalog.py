@@ -434,13 +434,20 @@ def knn_exact(spark, sf):
     rows = table(spark, sf, "embeddings")
     # The partitioned plan is asked for here, so that the checked plan is the one
     # that runs at scale.
-    near = knn.nearest_neighbors(rows, "vec_id", ["embedding"], 5, broadcast_spots=0, block_rows=256)
+    near = knn.nearest_neighbors(rows, "vec_id", ["embedding"], 5, rows=False, broadcast_spots=0, block_rows=256)
     return _round(knn.neighbor_rows(near, "vec_id"), 5)
 
 
+@query
+def knn_numeric(spark, sf):
+    """Neighbours on three numbers, where most pairs of blocks are ruled out."""
+    near = knn.nearest_neighbors(labelled(spark, sf), "doc_id", FEATURES, 5, rows=False, broadcast_spots=0, block_rows=32)
+    return _round(knn.neighbor_rows(near, "doc_id"))
+
+
 @query
 def knn_same_class(spark, sf):
-    near = knn.nearest_neighbors(labelled(spark, sf), "doc_id", FEATURES, 5, "quality", within_label=True)
+    near = knn.nearest_neighbors(labelled(spark, sf), "doc_id", FEATURES, 5, "quality", within_label=True, rows=False)
     return _round(knn.neighbor_rows(near, "doc_id"))
 
 
@@ -539,6 +546,12 @@ def mutual_information(spark, sf):
     return _round(leakage.mutual_information(rows, "quality", ["source", "lang"], ["n_chars", "n_spaces"], bins=8))
 
 
+@query
+def neighbor_information(spark, sf):
+    """Mutual information of continuous features by nearest neighbours."""
+    return _round(leakage.neighbor_information(labelled(spark, sf), "quality", FEATURES, bucket=64))
+
+
 @query
 def leakage_report(spark, sf):
     rows = labelled(spark, sf)

@@ -487,6 +487,11 @@ _add(
     f"""with {LABELLED}, {_near('nn', 'labelled', 5, True)}
 select doc_id, cast(r as int) as rank, nn_id, round(sqrt(d2), 6) as distance from nn""",
 )
+_add(
+    "knn_numeric",
+    f"""with {LABELLED}, {_near('nn', 'labelled', 5, False)}
+select doc_id, cast(r as int) as rank, nn_id, round(sqrt(d2), 6) as distance from nn""",
+)
 _TOMEK = f"""{_near('nn', 'labelled', 1, False)},
  links as (select p.doc_id as a, p.nn_id as b, p.quality as label_a, p.nn_quality as label_b
   from nn p join nn q on p.nn_id = q.doc_id and q.nn_id = p.doc_id where p.doc_id < p.nn_id and p.quality <> p.nn_quality)"""
@@ -635,6 +640,28 @@ _add(
   union all select 'n_spaces', {_bin('n_spaces')}, quality from labelled), {_mi('cells')}
 select feature, round(m, 6) as mutual_info, m > 0.7 as leaking from mi""",
 )
+
+
+def _digamma(x: str) -> str:
+    """Recurrence up to six, then the asymptotic series."""
+    y = f"({x} + 6)"
+    series = " + ".join(f"({c}) / pow({y}, {p})" for c, p in ((-1 / 12, 2), (1 / 120, 4), (-1 / 252, 6), (1 / 240, 8), (-1 / 132, 10), (691 / 32760, 12), (-1 / 12, 14)))
+    return f"(ln({y}) - 0.5 / {y} + {series} - ({' + '.join(f'1.0::double / ({x} + {i})' for i in range(6))}))"
+
+
+_add(
+    "neighbor_information",
+    f"""with {LABELLED}, cells as (select 'n_chars' as feature, doc_id, quality, n_chars as v from labelled
+  union all select 'n_spaces', doc_id, quality, n_spaces from labelled union all select 'n_lines', doc_id, quality, n_lines from labelled),
+ sized as (select *, count(*) over (partition by feature, quality) as rows from cells qualify rows > 1),
+ d as (select a.feature, a.doc_id, abs(a.v - b.v) as d, row_number() over (partition by a.feature, a.doc_id order by abs(a.v - b.v)) as place,
+  least(3, a.rows - 1) as k, a.rows from sized a join sized b on a.feature = b.feature and a.quality = b.quality and a.doc_id <> b.doc_id),
+ r as (select feature, doc_id, k, rows, d as r from d where place = k),
+ m as (select a.feature, a.doc_id, r.k, r.rows, cast(count(*) as double) as m from sized a join r using (feature, doc_id)
+  join sized b on b.feature = a.feature and (abs(a.v - b.v) < r.r or a.v = b.v) group by all)
+select feature as "column", round(greatest(0.0::double, max({_digamma('cast(n as double)')}) + avg({_digamma('cast(k as double)')} - {_digamma('cast(rows as double)')} - {_digamma('m')})), 6) as mutual_info
+from (select *, count(*) over (partition by feature) as n from m) group by feature""",
+)
 _add(
     "leakage_report",
     f"""with {LABELLED}, {_ENTROPY}, {_MASKED},

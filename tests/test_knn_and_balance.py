@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from caselume.operators import balance, knn
 
-SCALED = {"broadcast_spots": 0, "block_rows": 40, "max_pivots": 8}
+SCALED = {"broadcast_spots": 0, "block_rows": 40, "fanout": 5}
 
 
 def brute(x, ids, k, labels=None, cats=None, weight=0.0):
@@ -183,3 +183,35 @@ def test_comparison_tables(skewed):
     assert row["balanced"] and row["gain_pct"] == 79.2
     dist = {r["y"]: (r["before"], r["x"]) for r in balance.class_distribution(skewed, {"x": under.filter("y > 0")}, "y").collect()}
     assert dist == {0: (120, 0), 1: (25, 25), 2: (60, 25)}
+
+
+@pytest.fixture(scope="module")
+def clusters(spark):
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.normal(c, 0.4, (150, 3)) for c in rng.uniform(-40, 40, (14, 3))] + [rng.uniform(-400, 400, (60, 3))]).round(3)
+    rows = [(i, *map(float, v)) for i, v in enumerate(x)]
+    return x, spark.createDataFrame(rows, "id long, a double, b double, c double").repartition(5)
+
+
+@pytest.mark.parametrize("fanout", [3, 64], ids=["deep", "flat"])
+def test_tree_of_several_levels_equals_brute_force(clusters, fanout):
+    x, df = clusters
+    got = answers(knn.nearest_neighbors(df, "id", ["a", "b", "c"], 5, broadcast_spots=0, block_rows=50, fanout=fanout))
+    want = brute(x, list(range(len(x))), 5)
+    assert {i: [n for _, n in v] for i, v in got.items()} == {i: [n for _, n in v] for i, v in want.items()}
+
+
+def test_most_pairs_of_blocks_are_ruled_out(spark):
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(c, 1.0, (150, 3)) for c in rng.uniform(-60, 60, (40, 3))])
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double, c double")
+    row = knn.visited_share(df, "id", ["a", "b", "c"], 5, block_rows=50).first()
+    assert row["blocks"] > 120 and row["share"] < 0.2
+
+
+def test_distances_without_rows(cloud):
+    x, ids, _, _, df = cloud
+    want = brute(x, ids, 3)
+    for plan in ({}, SCALED):
+        near = knn.nearest_neighbors(df, "id", ["a", "b"], 3, rows=False, **plan)
+        assert answers(near) == want

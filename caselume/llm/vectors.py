@@ -12,9 +12,12 @@ on there in the next round, until no query goes on. Every link is checked by its
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -22,8 +25,10 @@ from .common import components, group_bounds, small_batches, stage, staged_map,
 
 #: Vectors that centres are fitted on at most; vectors in a shard on average, and at most before it is dealt out by hash.
 SAMPLE, SHARD, LARGE_SHARD = 20_000, 600, 3_000
-#: Centres at most; beyond, shards are larger and dealt out by hash.
+#: Centres of one level; where more are needed, large shards are dealt again by centres of their own.
 CENTRES = 2_000
+#: Vectors that one task deals to the centres of their shard, queries of one block, vectors of an audit's or an exact comparison's block.
+PIECE, BLOCK, COMPARED = 20_000, 4_096, 2_048
 #: Copies of a vector, and how much farther (in cosine) than the nearest a centre may be.
 COPIES, SLACK = 3, 0.15
 #: Neighbours kept, candidates looked at, how much nearer a kept one must be, width of the greedy search.
@@ -136,7 +141,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def _deal(spark: SparkSession, centres: np.ndarray, copies: int, slack: float):
-    sent = spark.sparkContext.broadcast(centres)  # CENTRES rows at most
+    sent = spark.sparkContext.broadcast(centres)  # of one level: CENTRES rows at most
 
     def run(batches):
         c = sent.value
@@ -149,7 +154,7 @@ def _deal(spark: SparkSession, centres: np.ndarray, copies: int, slack: float):
             q, k = np.nonzero(value >= value[:, :1] - slack)
             take = pa.array(q)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id").take(take), b.column("v").take(take), b.column("n").take(take), pa.array(order[q, k].astype(np.int32)), pa.array(k == 0)],
+                [b.column("id").take(take), b.column("v").take(take), b.column("n").take(take), pa.array(order[q, k].astype(np.int64)), pa.array(k == 0)],
                 names=["id", "v", "n", "shard", "home"],
             )
 
@@ -175,36 +180,33 @@ def _graphs(batches):
 
 
 def _search(least: float):
-    """Nodes and queries of a shard to counts, next shards and a forest of links."""
+    """Nodes and a block of queries of a shard to counts, next shards and a forest of links."""
 
     def run(batches):
-        nodes = None
         for t in whole_groups(batches, ["shard", "part", "block"], 1):
-            keys = [t.column(k).to_numpy() for k in ("shard", "part", "block")]
-            bounds = group_bounds(*keys)
+            bounds = group_bounds(*[t.column(k).to_numpy() for k in ("shard", "part", "block")])
             for a, z in zip(bounds[:-1], bounds[1:]):
-                g = t.slice(a, z - a)
-                key = (keys[0][a], keys[1][a])
-                if keys[2][a] < 0:  # the nodes come before all blocks of queries
-                    near = g.column("near").to_pylist()
-                    graph = np.full((len(near), max(1, max(map(len, near)))), -1, np.int64)
-                    for i, own in enumerate(near):
-                        graph[i, : len(own)] = own
-                    ids = g.column("id").to_numpy()
-                    nodes = (
-                        key, ids, unit(_matrix(g.column("v"))), graph, g.column("n").to_numpy(), np.array(g.column("home").to_pylist(), bool),
-                        int(np.flatnonzero(np.array(g.column("medoid").to_pylist(), bool))[0]), g.column("homes").to_pylist(),
-                    )
-                    continue
-                if nodes is None or nodes[0] != key:
+                group = t.slice(a, z - a).combine_chunks()
+                asked = group.column("asked").to_numpy(zero_copy_only=False)
+                split = int(np.searchsorted(asked, True))  # the nodes come first
+                g, queries = group.slice(0, split).combine_chunks(), group.slice(split).combine_chunks()
+                if not g.num_rows or not queries.num_rows:
                     continue
-                yield from _answer(nodes, g, least)
+                near = g.column("near").to_pylist()
+                graph = np.full((len(near), max(1, max(map(len, near)))), -1, np.int64)
+                for i, own in enumerate(near):
+                    graph[i, : len(own)] = own
+                nodes = (
+                    g.column("id").to_numpy(), unit(_matrix(g.column("v"))), graph, g.column("n").to_numpy(), np.array(g.column("home").to_pylist(), bool),
+                    int(np.flatnonzero(np.array(g.column("medoid").to_pylist(), bool))[0]), g.column("homes").to_pylist(),
+                )
+                yield from _answer(nodes, queries, least)
 
     return run
 
 
 def _answer(nodes, g, least: float):
-    key, ids, x, graph, weight, home, medoid, homes = nodes
+    ids, x, graph, weight, home, medoid, homes = nodes
     asked = g.column("id").to_numpy()
     queries = unit(_matrix(g.column("v")))
     for i in range(0, len(asked), QUERIES):
@@ -248,7 +250,7 @@ def _answer(nodes, g, least: float):
         )
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, audit: int = 200, goal: float = 0.97) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, audit: int = 20, goal: float = 0.99, attempts: int = 2) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for each row of ``vectors`` (``vec_id``, ``embedding``).
 
     ``n_links`` counts other rows at cosine ``least`` or more that the search found, copies included;
@@ -257,8 +259,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, audit: int = 200, goal:
     (``kept`` is then null); vectors of different length never link. Copies of a vector are searched for once. Repeated rows
     stay and count as copies. Other columns are not read.
 
-    After the search ``audit`` vectors (by a hash of their id) are compared with all others, in blocks; if less than
-    ``goal`` of their links were found, it is done again with more copies and a wider overlap, twice at most.
+    After the search the vectors whose id is divisible by ``audit`` are compared with all others, in blocks; if the mean share of
+    their links that were found is less than ``goal``, it is done again with more copies and a wider overlap, and after ``attempts``
+    all vectors are compared with each other in blocks, whose work grows with the square of their number, so
+    that no result of a lower recall is given.
     """
     spark = vectors.sparkSession
     ship_package(spark)
@@ -269,10 +273,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, audit: int = 200, goal:
     found = None
     for size in [r[0] for r in different.select(F.size("v")).distinct().collect()]:  # mostly one
         own = different.filter(F.size("v") == size)
-        for attempt in range(3):
+        for attempt in range(attempts):
             result = _search_all(own, least, COPIES * (1 + attempt), SLACK * (1 + attempt))
             if _recall(own, result, least, audit) >= goal:
                 break
+        else:
+            result = _compare_all(own, least)
         found = result if found is None else tuple(a.union(b) for a, b in zip(found, result))
     lone = rows.filter("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if found is None:
@@ -294,36 +300,46 @@ def _search_all(vectors: DataFrame, least: float, copies: int, slack: float) ->
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
     k = max(1, min(CENTRES, total // SHARD, sample.num_rows))
     centres = fit_centres(unit(_matrix(sample.column("v"))), k)
-    dealt = staged_map(vectors.select("id", "v", "n"), _deal(spark, centres, copies, slack), "id long, v array<double>, n long, shard int, home boolean", 2000)
-    sizes = dealt.groupBy("shard").agg(F.count("*").alias("size")).select("shard", F.ceil(F.col("size") / LARGE_SHARD).cast("int").alias("parts"))
-    placed = stage(dealt.join(F.broadcast(stage(sizes)), "shard").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))  # CENTRES rows
+    kind = "id long, v array<double>, n long, shard long, home boolean"
+    dealt = staged_map(vectors.select("id", "v", "n"), _deal(spark, centres, copies, slack), kind, 2000)
+    reach = CENTRES
+    while total // SHARD > reach:
+        dealt, reach = _deal_again(dealt, copies, slack), reach * CENTRES
+    # What is still large, such as a crowd of vectors that are almost the same, is dealt out by hash and searched in all its parts.
+    sizes = stage(dealt.groupBy("shard").agg(F.count("*").alias("size"))).select("shard", F.ceil(F.col("size") / LARGE_SHARD).cast("int").alias("parts"))
+    placed = stage(dealt.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
     with small_batches(spark, 1000):
         graphs = stage(
             placed.select("shard", "part", "id", "v", "n", "home").repartition("shard", "part").sortWithinPartitions("shard", "part", "id")
-            .mapInArrow(trimmed(_graphs), "shard int, part int, id long, v array<double>, n long, home boolean, near array<bigint>, medoid boolean")
+            .mapInArrow(trimmed(_graphs), "shard long, part int, id long, v array<double>, n long, home boolean, near array<bigint>, medoid boolean")
         )
     # The lists of a vector's copies, joined: from each copy the search may go on in every shard that has one.
     homes = graphs.groupBy("id").agg(F.collect_set("shard").alias("homes"))
-    graphs = stage(graphs.join(homes.select("id", F.expr("transform(homes, h -> cast(h as bigint))").alias("homes")), "id"))
-    parts = stage(placed.select("shard", "part", "parts").distinct())
-    asked = placed.filter("home").select("id", "v", "shard")
+    graphs = stage(graphs.join(homes, "id"))
+    parts = sizes.select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    # A query begins in every shard that has a copy of it.
+    asked = placed.select("id", "v", "shard")
     visits = asked.select("id", "shard")
     answers = None
     while True:
-        # A shard that was dealt out by hash is searched in all its parts.
-        queries = asked.join(F.broadcast(parts), "shard").select(
-            "shard", "part", "id", "v", F.pmod(F.xxhash64("id", F.lit(7)), 2 * F.col("parts")).cast("int").alias("block")
+        queries = asked.join(parts, "shard").select("shard", "part", "id", "v")
+        # The nodes of a part go to each block of its queries.
+        load = queries.groupBy("shard", "part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        queries = queries.join(load, ["shard", "part"]).select(
+            "shard", "part", "id", "v", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int").alias("block"), F.lit(True).alias("asked")
+        )
+        nodes = graphs.join(load, ["shard", "part"]).select(
+            "shard", "part", "id", "v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asked"), "n", "home", "near", "medoid", "homes"
         )
-        nodes = graphs.select("shard", "part", "id", "v", F.lit(-1).alias("block"), "n", "home", "near", "medoid", "homes")
         both = nodes.unionByName(queries, allowMissingColumns=True)
         with small_batches(spark, 1000):
             now = stage(
-                both.repartition("shard", "part").sortWithinPartitions("shard", "part", "block", "id")
-                .select("shard", "part", "block", "id", "v", "n", "home", "near", "medoid", "homes")
+                both.repartition("shard", "part", "block").sortWithinPartitions("shard", "part", "block", "asked", "id")
+                .select("shard", "part", "block", "asked", "id", "v", "n", "home", "near", "medoid", "homes")
                 .mapInArrow(trimmed(_search(least)), "id long, found long, further array<bigint>, root long")
             )
         answers = now if answers is None else answers.union(now)
-        next_ = now.filter("root is null").select("id", F.explode("further").alias("shard")).select("id", F.col("shard").cast("int")).distinct()
+        next_ = now.filter("root is null").select("id", F.explode("further").alias("shard")).distinct()
         next_ = stage(next_.join(visits, ["id", "shard"], "left_anti"))
         if next_.isEmpty():
             break
@@ -333,24 +349,129 @@ def _search_all(vectors: DataFrame, least: float, copies: int, slack: float) ->
     return stage(counts), stage(answers.filter("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
 
 
-def _recall(vectors: DataFrame, result: tuple[DataFrame, DataFrame], least: float, queries: int) -> float:
-    """Share of the true links of ``queries`` vectors that were counted; the stated queries meet all rows in blocks."""
+def _deal_again(dealt: DataFrame, copies: int, slack: float) -> DataFrame:
+    """Shards of more than ``LARGE_SHARD`` vectors dealt by centres of their own; others keep their vectors under a new number.
+
+    Centres are fitted in a task for each shard, on a quarter of ``SAMPLE`` vectors at most, those with the smallest hashes.
+    """
+    spark = dealt.sparkSession
+    sizes = stage(dealt.groupBy("shard").agg(F.count("*").alias("size"))).filter(F.col("size") > LARGE_SHARD)
+    first = Window.partitionBy("shard").orderBy(F.xxhash64("id", F.lit(5)), "id")
+    pieces = F.ceil(F.col("size") / PIECE).cast("int")
+    large = dealt.join(sizes, "shard").withColumn("piece", F.pmod(F.xxhash64("id"), pieces).cast("int"))
+    drawn = large.filter("home").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= SAMPLE // 4)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit(np.array(pdf["v"].tolist(), float))
+        k = max(1, min(CENTRES, int(pdf["size"].iloc[0]) // SHARD, len(x)))
+        return pd.DataFrame({"of": [pdf["shard"].iloc[0]], "centres": [fit_centres(x, k).ravel()], "pieces": [-(-int(pdf["size"].iloc[0]) // PIECE)]})
+
+    fitted = stage(drawn.select("shard", "size", "v").groupBy("shard").applyInPandas(fit, "of long, centres array<double>, pieces int"))
+    fitted = fitted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+
+    def deal(rows: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or around.empty:
+            return pd.DataFrame(columns=["id", "v", "n", "shard", "home"])
+        x = unit(np.array(rows["v"].tolist(), float))
+        near = x @ np.asarray(around["centres"].iloc[0], float).reshape(-1, x.shape[1]).T
+        order = np.argsort(-near, axis=1, kind="stable")[:, :copies]
+        value = np.take_along_axis(near, order, axis=1)
+        q, k = np.nonzero(value >= value[:, :1] - slack)
+        out = rows.iloc[q][["id", "v", "n", "shard", "home"]]
+        return out.assign(shard=out["shard"] * CENTRES + order[q, k], home=out["home"].to_numpy(bool) & (k == 0))
+
+    kind = "id long, v array<double>, n long, shard long, home boolean"
+    again = large.select("id", "v", "n", "shard", "home", "piece").groupBy("shard", "piece").cogroup(fitted.groupBy("of", "part")).applyInPandas(deal, kind)
+    rest = dealt.join(sizes, "shard", "left_anti").select("id", "v", "n", (F.col("shard") * CENTRES).alias("shard"), "home")
+    # A vector has one home, and one copy in a shard, though its copies may have been dealt to neighbours of each other.
+    return stage(again.unionByName(rest).groupBy("id", "shard").agg(F.first("v").alias("v"), F.first("n").alias("n"), F.max("home").alias("home")).select("id", "v", "n", "shard", "home"))
+
+
+def _compare_all(vectors: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Exact counts and links as a forest: every vector with every other, in pairs of blocks of about ``COMPARED``."""
     spark = vectors.sparkSession
-    asked = vectors.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(queries).select("id", "v").toArrow()
-    if not asked.num_rows:
-        return 1.0
-    sent = spark.sparkContext.broadcast((asked.column("id").to_numpy(), unit(_matrix(asked.column("v")))))
+    blocks = max(1, -(-vectors.count() // COMPARED))
+    own = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(blocks)).cast("int")
+    met = vectors.select("id", "v", "n", own.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("with"))
+    met = met.select(F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "id", "v", "n")
 
     def run(batches):
-        ids, q = sent.value
-        total = np.zeros(len(ids), np.int64)
-        for b in batches:
-            if b.num_rows:
-                x, own = unit(_matrix(b.column("v"))), b.column("id").to_numpy()
-                hit = (q @ x.T >= least) & (ids[:, None] != own[None, :])
-                total += hit @ b.column("n").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "true"])
-
-    true = staged_map(vectors.select("id", "v", "n"), run, "id long, true long", 2000).groupBy("id").agg(F.sum("true").alias("true"))
-    got = true.join(result[0], "id", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("found", F.lit(0)))).alias("f")).first()
-    return got["f"] / got["t"] if got["t"] else 1.0
+        for t in whole_groups(batches, ["i", "j"], 1):
+            bounds = group_bounds(*[t.column(k).to_numpy() for k in ("i", "j")])
+            for a, z in zip(bounds[:-1], bounds[1:]):
+                g = t.slice(a, z - a).combine_chunks()
+                ids, n, side = (g.column(c).to_numpy() for c in ("id", "n", "own"))
+                x = unit(_matrix(g.column("v")))
+                low = side == side.min()
+                left, right = (np.flatnonzero(low), np.flatnonzero(~low)) if (~low).any() else (np.arange(len(ids)),) * 2
+                if not (~low).any() and g.column("i")[0].as_py() != g.column("j")[0].as_py():
+                    continue  # the other block is empty
+                hit = x[left] @ x[right].T >= least
+                hit &= ids[left][:, None] != ids[right][None, :]
+                found = np.zeros(len(ids), np.int64)
+                found[left] += hit @ n[right]
+                if (~low).any():
+                    found[right] += hit.T @ n[left]
+                # Of a row's links one to each part suffices: a star for every row, joined to what it meets first.
+                r, c = np.nonzero(hit)
+                edges = _forest(ids[left][r], ids[right][c])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([ids, edges[:, 0]])), pa.array(np.concatenate([found, np.zeros(len(edges), np.int64)])), pa.array([*[None] * len(ids), *edges[:, 1].tolist()], pa.int64())],
+                    names=["id", "found", "root"],
+                )
+
+    with small_batches(spark, 1000):
+        done = stage(met.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(trimmed(run), "id long, found long, root long"))
+    counts = done.filter("root is null").groupBy("id").agg(F.sum("found").alias("found"))
+    return stage(counts), stage(done.filter("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Links (a, b) reduced to (node, smallest node of its part)."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root, a, b = np.arange(len(names)), at[: len(a)], at[len(a) :]
+    while True:
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        root = root[root]
+        if (root == before).all():
+            break
+    keep = root != np.arange(len(names))
+    return np.stack([names[keep], names[root[keep]]], axis=1)
+
+
+def _recall(vectors: DataFrame, result: tuple[DataFrame, DataFrame], least: float, audit: int) -> float:
+    """Mean share of the true links that were counted, over the vectors whose id is divisible by ``audit`` and that have links.
+
+    They meet all rows, a block of them at a time. 1 if none of them has a link.
+    """
+    spark = vectors.sparkSession
+    asked = vectors.filter(F.col("id") % audit == 0).select("id", "v")
+    blocks, true = -(-asked.count() // (8 * COMPARED)), []
+    for block in range(blocks):
+        some = asked.filter(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(blocks)) == block).toArrow()  # 8 * COMPARED rows on average
+        if not some.num_rows:
+            continue
+        sent = spark.sparkContext.broadcast((some.column("id").to_numpy(), unit(_matrix(some.column("v")))))
+
+        def run(batches, sent=sent):
+            ids, q = sent.value
+            total = np.zeros(len(ids), np.int64)
+            for b in batches:
+                if b.num_rows:
+                    x, own = unit(_matrix(b.column("v"))), b.column("id").to_numpy()
+                    for i in range(0, len(ids), COMPARED):
+                        hit = (q[i : i + COMPARED] @ x.T >= least) & (ids[i : i + COMPARED, None] != own[None, :])
+                        total[i : i + COMPARED] += hit @ b.column("n").to_numpy()
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "true"])
+
+        true.append(staged_map(vectors.select("id", "v", "n"), run, "id long, true long", 2000))
+    if not true:
+        return 1.0
+    sums = reduce(DataFrame.union, true).groupBy("id").agg(F.sum("true").alias("true"))
+    share = F.least("true", F.coalesce("found", F.lit(0))) / F.col("true")
+    got = sums.join(result[0], "id", "left").agg(F.avg(share).alias("mean")).first()
+    return 1.0 if got["mean"] is None else got["mean"]

@@ -144,18 +144,28 @@ def slow_links(rows, least=0.9):
     return sorted(((n, links[i], find(n) if n is not None else None) for i, (n, _) in enumerate(rows)), key=repr)
 
 
-@pytest.mark.parametrize("sizes", [(600, 3000), (40, 30)])
-def test_vectors_against_brute_force(spark, monkeypatch, sizes):
-    monkeypatch.setattr(vectors, "SHARD", sizes[0])
-    monkeypatch.setattr(vectors, "LARGE_SHARD", sizes[1])
+def vector_rows():
     draw = np.random.default_rng(9)
     rows = [(i, draw.normal(size=16).astype(np.float32).tolist()) for i in range(400)]
     for g in range(8):
         centre = draw.normal(size=16)
         rows += [(1000 + 50 * g + j, (centre + draw.normal(size=16) * 0.12).astype(np.float32).tolist()) for j in range(g * 5 + 2)]
     rows += [(5000 + j, rows[0][1]) for j in range(60)]  # copies
-    rows += [(6000, None), (6001, []), (6002, [0.0] * 16), (6003, [None] + [1.0] * 15), (6004, [float("nan")] + [1.0] * 15), (6005, [1.0, 2.0]), (6006, [2.0, 4.0]), (None, rows[1][1]), (6007, rows[2][1]), (6007, rows[2][1])]
+    return rows + [(6000, None), (6001, []), (6002, [0.0] * 16), (6003, [None] + [1.0] * 15), (6004, [float("nan")] + [1.0] * 15), (6005, [1.0, 2.0]), (6006, [2.0, 4.0]), (None, rows[1][1]), (6007, rows[2][1]), (6007, rows[2][1])]
+
+
+def as_vectors(spark, rows):
+    """With columns whose names the operator uses itself."""
     df = spark.createDataFrame([(n, v, 0) for n, v in rows], "vec_id long, embedding array<float>, label int").repartition(4)
+    return df.withColumn("id", F.lit("clash")).withColumn("v", F.lit(1)).withColumn("n", F.lit(None)).withColumn("shard", F.lit("s"))
+
+
+@pytest.mark.parametrize("sizes", [(600, 3000, 2000), (40, 30, 4)])
+def test_vectors_against_brute_force(spark, monkeypatch, sizes):
+    for name, value in zip(("SHARD", "LARGE_SHARD", "CENTRES"), sizes):
+        monkeypatch.setattr(vectors, name, value)
+    rows = vector_rows()
+    df = as_vectors(spark, rows)
     got = sorted(((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()), key=repr)
     want = slow_links(rows)
     found, true = sum(g[1] for g in got), sum(w[1] for w in want)
@@ -164,6 +174,21 @@ def test_vectors_against_brute_force(spark, monkeypatch, sizes):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_a_missed_goal_ends_in_an_exact_comparison(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "COMPARED", 60)
+    draw = np.random.default_rng(3)
+    rows = vector_rows()
+    for i in range(40):  # lone pairs just above the bound
+        x = vectors.unit(draw.normal(size=(1, 16)))[0]
+        y = draw.normal(size=16)
+        y = vectors.unit((y - (y @ x) * x)[None, :])[0]
+        c = 0.9005 + 0.0004 * i
+        rows += [(8000 + 2 * i, x.tolist()), (8001 + 2 * i, (c * x + (1 - c * c) ** 0.5 * y).tolist())]
+    df = as_vectors(spark, rows)
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df, goal=1.1, attempts=1).collect()), key=repr)
+    assert got == slow_links([(n, v if v is None else [None if x is None else float(np.float32(x)) for x in v]) for n, v in rows])
+
+
 def test_pruning_keeps_what_no_neighbour_leads_to():
     x = vectors.unit(np.array([[1, 0.0], [1, 0.1], [1, 0.12], [0, 1.0], [1, -0.3]]))
     near = np.array([1, 2, 4, 3])

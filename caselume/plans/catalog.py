@@ -609,6 +609,30 @@ def mean_roc_curve(spark, sf):
 # --- models ----------------------------------------------------------------------
 
 
+@query
+def boosted_nodes(spark, sf):
+    """The trees of the first round: splits and values as a table."""
+    from ..operators import boost
+
+    how = boost.Boosting(rounds=1, depth=2, bins=16)
+    nodes = boost.fit_boosted(labelled(spark, sf), FEATURES, "quality", [0, 1], how).nodes
+    return nodes.select("class_no", "node", "feature", "threshold", F.round("value", 6).alias("value"))
+
+
+@query
+def boosted_alerts(spark, sf):
+    """Orders whose severity a model table predicts at 4 or more."""
+    from ..operators import boost
+
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    severity = (6 - F.substring("o_orderpriority", 1, 1).cast("int")).alias("severity")
+    rows = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_totalprice", "c_acctbal", severity)
+    how = boost.Boosting(rounds=1, depth=2, bins=16)
+    model = boost.fit_boosted(rows, ["o_totalprice", "c_acctbal"], "severity", _CLASSES, how)
+    scored = model.predict(rows).filter(F.col("prediction") >= 4)
+    return scored.select("o_orderkey", "severity", "prediction", F.round("confidence", 6).alias("confidence"))
+
+
 @query
 def model_scores(spark, sf):
     from . import training

@@ -794,3 +794,46 @@ _add(
     "case_items",
     f"""with {REPORTS} select primaryid, row_number() over (partition by primaryid order by p_brand, drugname) as position, drugname as item from reports""",
 )
+
+
+def _boost(source: str, ident: str, label: str, features: list[str], classes: list[int], bins: int, depth: int) -> str:
+    """Common tables of one round of boosted trees: splits ``b0`` .. , rows in their leaves ``l<depth>``, ``leaves``."""
+    p = 1 / len(classes)
+    long = " union all ".join(f"select {ident} as id, {label} as y, {i} as fi, cast({f} as double) as x from {source}" for i, f in enumerate(features))
+    parts = [
+        f"fx as ({long})",
+        "pv as (select fi, x, count(*) as m from fx group by all)",
+        "cv as (select fi, x, m, sum(m) over (partition by fi order by x) as cum, sum(m) over (partition by fi) as n from pv)",
+        f"ed as (select fi, (cum - m) * {bins} // n as s, max(x) as edge from cv group by all)",
+        "ee as (select fi, list_sort(list(edge)) as es from ed group by fi)",
+        "bn as (select id, fi, es, len(list_filter(es, lambda t: t < x)) as bin from fx join ee using (fi))",
+        f"l0 as (select {ident} as id, k, 1 as node, {p!r}::double - case when {label} = k then 1 else 0 end as g, {2 * p * (1 - p)!r}::double as h from {source}, (select unnest({classes}) as k))",
+    ]
+    for d in range(depth):
+        parts += [
+            f"h{d} as (select k, node, fi, bin, es, sum(g) as g, sum(h) as h from l{d} join bn using (id) where node >= {1 << d} group by all)",
+            f"""c{d} as (select *, sum(g) over u as gl, sum(h) over u as hl, sum(g) over w as gt, sum(h) over w as ht from h{d}
+  window u as (partition by k, node, fi order by bin), w as (partition by k, node, fi))""",
+            f"""b{d} as (select k, node, fi, bin, es[bin + 1] as edge from (select *, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) as gain from c{d})
+  where hl >= 1 and ht - hl >= 1 and gain > 1e-6 qualify row_number() over (partition by k, node order by round(gain, 9) desc, fi, bin) = 1)""",
+            f"""l{d + 1} as (select l.id, l.k, case when b.node is null then l.node when n.bin <= b.bin then 2 * l.node else 2 * l.node + 1 end as node, l.g, l.h
+  from l{d} l left join b{d} b on b.k = l.k and b.node = l.node left join bn n on n.id = l.id and n.fi = b.fi)""",
+        ]
+    parts.append(f"leaves as (select k, node, -0.3::double * sum(g) / (sum(h) + 1) as value from l{depth} group by all)")
+    return ",\n ".join(parts)
+
+
+_add(
+    "boosted_nodes",
+    f"""with {LABELLED}, {_boost('labelled', 'doc_id', 'quality', ['n_chars', 'n_spaces', 'n_lines'], [0, 1], 16, 2)}
+select k as class_no, node, fi as feature, edge as threshold, null as value from b0 union all select k, node, fi, edge, null from b1
+union all select k, node, null, null, round(value, 6) from leaves""",
+)
+_add(
+    "boosted_alerts",
+    f"""with src as (select o_orderkey, o_totalprice, c_acctbal, 6 - cast(substr(o_orderpriority, 1, 1) as int) as severity from orders join customer on o_custkey = c_custkey),
+ {_boost('src', 'o_orderkey', 'severity', ['o_totalprice', 'c_acctbal'], [1, 2, 3, 4, 5], 16, 2)},
+ scored as (select id, k, exp(value) as e, sum(exp(value)) over (partition by id) as z from l2 join leaves using (k, node)),
+ best as (select id, k, e / z as confidence from scored qualify row_number() over (partition by id order by e / z desc, k) = 1)
+select o_orderkey, severity, cast(k as integer) as prediction, round(confidence, 6) as confidence from best join src on id = o_orderkey where k >= 4""",
+)

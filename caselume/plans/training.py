@@ -8,12 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +18,7 @@ from .. import rules
 from ..functions.scale import stage
 from ..functions.text import to_number, upper_strip
 from ..operators import balance, encode, leakage, metrics, split
+from ..operators.boost import BoostedTrees, Boosting, fit_boosted
 from ..operators.clean import severity_label, sex_value
 from ..operators.signals import attach_signals
 
@@ -87,15 +83,13 @@ class CaseEncoder:
 
 
 def classifiers(trees: int = 100, depth: int = 16, rounds: int = 20, seed: int = rules.SEED) -> dict:
-    """The compared models. Boosting is one-against-rest, as Spark boosts two classes."""
+    """The compared models."""
     return {
         "logistic_regression": LogisticRegression(maxIter=1000, family="multinomial", labelCol="_y"),
         "random_forest": RandomForestClassifier(
             numTrees=trees, maxDepth=depth, seed=seed, labelCol="_y", weightCol="_weight"
         ),
-        "boosted_trees": OneVsRest(
-            classifier=GBTClassifier(maxIter=rounds, seed=seed, labelCol="_y"), labelCol="_y"
-        ),
+        "boosted_trees": Boosting(rounds=rounds, depth=min(depth, 6)),
     }
 
 
@@ -103,45 +97,50 @@ def classifiers(trees: int = 100, depth: int = 16, rounds: int = 20, seed: int =
 class FittedModel:
     """A model with the feature order and the classes it was trained on."""
 
-    model: Model
+    model: Model | BoostedTrees
     features: list[str]
     classes: list
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``prediction`` (in original classes), ``scores`` and ``confidence``."""
+        if isinstance(self.model, BoostedTrees):
+            return self.model.predict(df)
         vectors = VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep").transform(df)
         self.model.setPredictionCol("_predicted")
         self.model.setFeaturesCol("_features")
         out = self.model.transform(vectors)
-        if "probability" in out.columns:
-            scores = vector_to_array("probability")
-        else:
-            # Margins of the one-against-rest models, as logistic shares that sum to 1.
-            odds = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
-            total = F.aggregate(odds, F.lit(0.0), lambda acc, v: acc + v)
-            scores = F.transform(odds, lambda v: v / total)
+        scores = vector_to_array("probability")
         named = F.get(F.array(*[F.lit(c) for c in self.classes]), F.col("_predicted").cast("int"))
         return out.select(*df.columns, named.alias("prediction"), scores.alias("scores")).withColumn(
             "confidence", F.array_max("scores")
         )
 
     def save(self, path: str, spark: SparkSession) -> None:
-        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        if isinstance(self.model, BoostedTrees):
+            self.model.save(f"{path}/nodes")
+        else:
+            PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        kind = "nodes" if isinstance(self.model, BoostedTrees) else "model"
         spark.createDataFrame(
-            [(self.features, [str(c) for c in self.classes])], "features array<string>, classes array<string>"
+            [(kind, self.features, [str(c) for c in self.classes])], "kind string, features array<string>, classes array<string>"
         ).write.mode("overwrite").parquet(f"{path}/signature")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FittedModel:
         row = spark.read.parquet(f"{path}/signature").first()
         classes = [int(c) if c.lstrip("-").isdigit() else c for c in row["classes"]]
-        return FittedModel(PipelineModel.load(f"{path}/model").stages[0], list(row["features"]), classes)
+        features = list(row["features"])
+        if row["kind"] == "nodes":
+            return FittedModel(BoostedTrees.load(spark, f"{path}/nodes", features, classes), features, classes)
+        return FittedModel(PipelineModel.load(f"{path}/model").stages[0], features, classes)
 
 
 def fit(estimator, train: DataFrame, features: list[str], label: str) -> FittedModel:
     """Fit on rows as given; classes are numbered from 0 and weighted inversely to size."""
     sizes = balance.class_sizes(train, label)
     classes = list(sizes)
+    if isinstance(estimator, Boosting):
+        return FittedModel(fit_boosted(train, features, label, classes, estimator), features, classes)
     total = float(sum(sizes.values()))
     code, weight = F.lit(None).cast("double"), F.lit(1.0)
     for i, c in enumerate(classes):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import clean_key
-from ..operators import assemble, balance, clean, encode, leakage, profile, quality, signals
+from ..operators import assemble, balance, clean, encode, leakage, metrics, profile, quality, signals
 from ..sources import files
 from . import training
 
@@ -59,14 +59,16 @@ def clean_job(
     A line with too many fields ends the job, or with ``tolerant`` is left out and counted in the audit.
     """
     audits = []
-    for t, df in read_raw(spark, raw, tables, tolerant).items():
+    for t in tables:
+        lost: list = []
+        df = files.read_delimited(spark, raw_path(raw, t), tolerant=tolerant, lost=lost)
         done = clean.RECIPES[t](clean.key_named(df))
         files.write_parquet(done.clean, f"{out}/{t}")
         written = files.read_parquet(spark, f"{out}/{t}")
         audits.append(clean.Cleaned(t, done.raw, written, done.measures).audit())
         if tolerant:
-            lost = files.bad_lines(spark, raw_path(raw, t)).agg(F.count(F.lit(1)).alias("value"))
-            audits.append(lost.select(F.lit(t).alias("table"), F.lit("bad_lines").alias("measure"), "value"))
+            counted = sum(seen.get["n"] for seen in lost)
+            audits.append(spark.range(1).select(F.lit(t).alias("table"), F.lit("bad_lines").alias("measure"), F.lit(counted).cast("bigint").alias("value")))
     files.write_json(_union(audits), f"{out}/_audit")
 
 
@@ -130,6 +132,44 @@ def balance_job(spark: SparkSession, source: str, out: str, technique: str, iden
     files.write_parquet(run[technique](), out)
 
 
+def feature_information(coded: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Mutual information of all four features before and after masking of terms; age and sex count as continuous."""
+    def audit(term: str) -> DataFrame:
+        rows = coded.select(label, "age", "sex_encoded", "drug_encoded", F.col(term).alias("pt_encoded"))
+        return leakage.mutual_information(rows, label, ["drug_encoded", "pt_encoded"], ["age", "sex_encoded"])
+
+    return audit("pt"), audit("pt_masked")
+
+
+def evaluate_job(spark: SparkSession, scored: DataFrame, out: str, label: str = "severity_level") -> None:
+    """Report by class, confusion matrix, areas and mean curve of predicted rows (``prediction``, ``scores``), as JSON."""
+    classes = list(balance.class_sizes(scored, label))
+    rows = training.stage(scored.select(label, "prediction", "scores"))
+    files.write_json(metrics.classification_report(rows, label, "prediction", classes), f"{out}/report")
+    files.write_json(metrics.confusion_matrix(rows, label, "prediction", classes), f"{out}/confusion")
+    long = training.stage(metrics.one_vs_rest(rows, label, "scores", classes))
+    files.write_json(metrics.roc_auc(long), f"{out}/auc")
+    files.write_json(metrics.mean_roc_curve(long), f"{out}/roc")
+
+
+def sample_job(spark: SparkSession, raw: str, out: str, cases: int, tables: tuple[str, ...] = rules.TABLES) -> None:
+    """All rows of ``cases`` cases that every table has, as delimited files with the tables' names."""
+    loaded = {t: clean.key_named(df) for t, df in read_raw(spark, raw, tables).items()}
+    keys = training.stage(assemble.sample_keys(assemble.common_keys(loaded), cases))
+    for t, df in loaded.items():
+        files.write_delimited(assemble.restrict(df, keys), f"{out}/{t.upper()}.txt")
+
+
+def balance_report_job(
+    spark: SparkSession, source: str, out: str, techniques: dict[str, str], label: str
+) -> None:
+    """Compares balanced tables (technique: folder) with their source: sizes, ratios and classes, as CSV."""
+    original = files.read_parquet(spark, source)
+    results = {name: files.read_parquet(spark, folder) for name, folder in techniques.items()}
+    files.write_csv(balance.compare_techniques(original, results, label), f"{out}/comparison")
+    files.write_csv(balance.class_distribution(original, results, label), f"{out}/classes")
+
+
 def train_job(
     spark: SparkSession, consolidated: str, out: str, estimators: dict | None = None, folds: int = 5, label: str = "severity_level"
 ) -> training.Comparison:
@@ -146,14 +186,13 @@ def train_job(
     encoder = training.CaseEncoder.fit(train, label)
     coded = training.stage(encoder.transform(parts).select("row_id", "is_test", "pt", "pt_masked", *training.CASE_FEATURES, label))
     seen = coded.filter(~F.col("is_test"))
-    before = leakage.mutual_information(seen.select(label, F.col("pt").alias("term")), label, ["term"])
-    after = leakage.mutual_information(seen.select(label, F.col("pt_masked").alias("term")), label, ["term"])
-    files.write_json(leakage.leakage_report(before, after), f"{out}/leakage")
+    files.write_json(leakage.leakage_report(*feature_information(seen, label)), f"{out}/leakage")
     files.write_json(leakage.masking_summary(seen, encoder.leaking, "pt"), f"{out}/masked")
     run = training.compare(
         estimators or training.classifiers(), coded, "row_id", training.CASE_FEATURES, label, folds, split_column="is_test"
     )
     files.write_json(run.table, f"{out}/comparison")
+    evaluate_job(spark, run.best().predict(coded.filter("is_test")), f"{out}/evaluation", label)
     encoder.save(f"{out}/encoder")
     run.best().save(f"{out}/best", spark)
     return run

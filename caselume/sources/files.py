@@ -2,33 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import rules
 
 _BAD = "_bad_line"
+#: A character that no text holds.
+_NO_SEPARATOR = "\u0001"
+
+
+def _column_names(line: str, sep: str) -> tuple[str, ...]:
+    """Names of a header line, stripped and lower-cased; an empty or repeated one takes its place as a name or suffix."""
+    names = [n.strip().lower() or f"_c{i}" for i, n in enumerate(line.split(sep))]
+    return tuple(f"{n}{i}" if names.count(n) > 1 else n for i, n in enumerate(names))
 
 
-def header_of(spark: SparkSession, path: str, sep: str = rules.SEPARATOR, encoding: str = rules.ENCODING) -> list[str]:
-    """Column names of a delimited file, stripped and lower-cased. Reads one line."""
-    raw = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("quote", "").csv(path)
-    return [c.strip().lower() for c in raw.columns]
+def _first_row(batches):
+    for rows in batches:
+        if len(rows):
+            yield rows.iloc[:1]
+            return  # the rest of the partition is not read
 
 
 def headers_of(spark: SparkSession, path: str, sep: str = rules.SEPARATOR, encoding: str = rules.ENCODING) -> dict[tuple[str, ...], list[str]]:
-    """The files of a path or glob by their header, in order of the file names. Reads one line of each file."""
+    """The files of a path or glob by their header, in order of the file names; a file without a line has none.
+
+    One job, however many files there are: every file begins a partition of its own, and one line of it is read.
+    """
+    size = "spark.sql.files.maxPartitionBytes"
+    settings = {"spark.sql.files.openCostInBytes": spark.conf.get(size), size: spark.conf.get(size), "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        reader = spark.read.option("encoding", encoding).option("quote", "").option("sep", _NO_SEPARATOR)
+        lines = reader.schema("line string").csv(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "line")
+        firsts = lines.mapInPandas(_first_row, "file string, start long, line string").filter("start = 0").collect()  # a row for each file
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        out.setdefault(tuple(header_of(spark, file, sep, encoding)), []).append(file)
+    for file, _, line in sorted(firsts):
+        out.setdefault(_column_names(line, sep), []).append(file)
     return out
 
 
 def _fields(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> DataFrame:
     """Lines as ``line`` and ``f``, their fields. Whole lines come first (no text holds
     the separator used for that), so that a line can be judged by its number of fields."""
-    reader = spark.read.option("header", True).option("encoding", encoding).option("quote", "").option("sep", "\u0001")
+    reader = spark.read.option("header", True).option("encoding", encoding).option("quote", "").option("sep", _NO_SEPARATOR)
     return reader.schema("line string").csv(paths).withColumn("f", F.split("line", f"[{sep}]"))
 
 
@@ -41,18 +67,23 @@ def read_delimited(
     sep: str = rules.SEPARATOR,
     encoding: str = rules.ENCODING,
     tolerant: bool = False,
+    lost: list[Observation] | None = None,
 ) -> DataFrame:
     """A delimited table as text columns with normalised names.
 
     Every file is read by its own header, and columns meet by name: one that a file lacks is
     null there. Nothing is inferred, and an empty field is null; short lines are filled with nulls. A
-    line with too many fields is an error, or with ``tolerant`` left out; ``bad_lines`` lists those.
+    line with too many fields is an error, or with ``tolerant`` left out; ``bad_lines`` lists those, and observations
+    added to ``lost`` count them (``n``) in the scan of the first action on the result.
     ``limit`` with ``order_by`` takes the first rows in key order.
     """
     df = None
     for names, paths in headers_of(spark, path, sep, encoding).items():
         lines = _fields(spark, paths, sep, encoding)
         if tolerant:
+            if lost is not None:
+                lost.append(Observation(f"bad_lines_{uuid.uuid4().hex}"))
+                lines = lines.observe(lost[-1], F.count(F.when(F.size("f") > len(names), 1)).alias("n"))
             lines = lines.filter(F.size("f") <= len(names))
         else:
             told = F.concat(F.lit("line with too many fields: "), F.col("line"))

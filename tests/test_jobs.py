@@ -63,6 +63,13 @@ def test_from_raw_files_to_alerts(spark, raw, tmp_path):
     run = jobs.train_job(spark, at("joined"), at("model"), quick, folds=2)
     assert run.table.first()["test_macro_f1"] > 0.8
     assert spark.read.json(at("model/masked")).first()["terms_masked"] >= 1
+    audited = {r["feature"]: (r["before"], r["after"]) for r in spark.read.json(at("model/leakage")).collect()}
+    assert set(audited) == {"age", "sex_encoded", "drug_encoded", "pt_encoded"}
+    assert audited["age"][0] == audited["age"][1] and audited["pt_encoded"][0] >= audited["pt_encoded"][1]
+    report = {r["class"]: r for r in spark.read.json(at("model/evaluation/report")).collect()}
+    assert {"1", "5", "macro", "weighted", "accuracy"} == set(report) and report["macro"]["f1"] > 0.8
+    assert spark.read.json(at("model/evaluation/confusion")).count() == 4
+    assert spark.read.json(at("model/evaluation/auc")).count() == 2 and spark.read.json(at("model/evaluation/roc")).count() > 10
 
     jobs.score_job(spark, at("joined"), at("model"), at("alerts"))
     alerts = spark.read.json(at("alerts"))
@@ -75,3 +82,26 @@ def test_balance_job(spark, tmp_path):
     jobs.balance_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), "smote", "id", ["v"], "y")
     counts = {r["y"]: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("y").count().collect()}
     assert counts == {0: 51, 1: 51}
+
+
+def test_sample_and_tolerant_cleaning(spark, raw, tmp_path):
+    jobs.sample_job(spark, raw, str(tmp_path / "small"), 7)
+    loaded = jobs.read_raw(spark, str(tmp_path / "small"))
+    keys = [{r["primaryid"] for r in df.select("primaryid").distinct().collect()} for df in loaded.values()]
+    assert all(k == keys[0] for k in keys) and len(keys[0]) == 7
+    assert loaded["drug"].count() == 14 and loaded["demo"].columns == jobs.read_raw(spark, raw, ("demo",))["demo"].columns
+    (tmp_path / "RPSR1.txt").write_text("primaryid$rpsr_cod\n1$HP\n2$HP$x$y\n")
+    (tmp_path / "RPSR2.txt").write_text("rpsr_cod$primaryid\nCSM$3\n$$$\nHP$4$\n")
+    jobs.clean_job(spark, str(tmp_path), str(tmp_path / "clean"), ("rpsr",), tolerant=True)
+    audit = {(r["table"], r["measure"]): r["value"] for r in spark.read.json(str(tmp_path / "clean/_audit")).collect()}
+    assert audit["rpsr", "bad_lines"] == 3 and audit["rpsr", "rows_out"] == 2
+
+
+def test_balance_report(spark, tmp_path):
+    df = spark.createDataFrame([(i, int(i > 50)) for i in range(60)], "id long, y int")
+    df.write.parquet(str(tmp_path / "all"))
+    df.filter("id > 41").write.parquet(str(tmp_path / "less"))
+    jobs.balance_report_job(spark, str(tmp_path / "all"), str(tmp_path / "out"), {"random_undersampling": str(tmp_path / "less")}, "y")
+    row = spark.read.option("header", True).csv(str(tmp_path / "out/comparison")).first()
+    assert (row["rows_before"], row["rows_after"], row["ratio_after"]) == ("60", "18", "1.0")
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/classes")).count() == 2

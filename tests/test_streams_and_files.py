@@ -158,6 +158,26 @@ def test_each_file_is_read_by_its_own_header(spark, tmp_path):
         files.read_delimited(spark, path).collect()
 
 
+def test_headers_take_one_job_however_many_files(spark, tmp_path):
+    def jobs_of(n):
+        folder = tmp_path / f"n{n}"
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"F{i:02d}.txt").write_text(f"{' A' if i % 3 else 'B'} $v\n" + f"{i}$x\n" * 3000)
+        (folder / "G.txt").write_text("")
+        spark.sparkContext.setJobGroup(f"headers{n}", "")
+        found = files.headers_of(spark, str(folder / "*.txt"))
+        assert sorted(map(len, found.values())) == sorted([len(range(0, n, 3)), n - len(range(0, n, 3))]) and set(found) == {("a", "v"), ("b", "v")}
+        assert files.read_delimited(spark, str(folder / "*.txt")).count() == 3000 * n
+        return len([j for j in spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers{n}")])
+
+    few, many = jobs_of(4), jobs_of(24)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert few == many
+    (tmp_path / "X.txt").write_text("a$$a\n1$2$3\n")
+    assert list(files.headers_of(spark, str(tmp_path / "X.txt"))) == [("a0", "_c1", "a2")]
+
+
 def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
     from types import SimpleNamespace
 

@@ -750,6 +750,26 @@ def stream_window_alerts(spark, sf):
     return _round(written.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 
+@query
+def stream_severity_alerts(spark, sf):
+    """Severity alerts on a stream of events, from a model that was fitted on the table before."""
+    from ..operators import boost
+    from ..streaming import alerts
+
+    def cases(events):
+        kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
+        number = F.get_json_object("props", "$.k").cast("double").alias("number")
+        return events.select(F.col("event_id").alias("primaryid"), "value", number, F.array_position(kinds, F.col("event_type")).cast("int").alias("severity"))
+
+    out, events = _folder(spark), table(spark, sf, "events")
+    how = boost.Boosting(rounds=1, depth=2, bins=16)
+    model = boost.fit_boosted(cases(events), ["value", "number"], "severity", _CLASSES, how)
+    stream = cases(spark.readStream.schema(events.schema).parquet(f"{sf}/events*.parquet"))
+    alerts.start_table_alerts(stream, model, f"{out}/alerts", f"{out}/state").awaitTermination()
+    schema = "primaryid bigint, predicted_severity int, severity_label string, confidence_score double, batch int"
+    return spark.read.schema(schema).json(f"{out}/alerts").drop("batch")
+
+
 @query
 def stream_alert_counts(spark, sf):
     """Running counters kept in streaming state."""

@@ -837,3 +837,13 @@ _add(
  best as (select id, k, e / z as confidence from scored qualify row_number() over (partition by id order by e / z desc, k) = 1)
 select o_orderkey, severity, cast(k as integer) as prediction, round(confidence, 6) as confidence from best join src on id = o_orderkey where k >= 4""",
 )
+_add(
+    "stream_severity_alerts",
+    f"""with src as (select event_id, value, cast(props ->> '$.k' as double) as number,
+  list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) as severity from events),
+ {_boost('src', 'event_id', 'severity', ['value', 'number'], [1, 2, 3, 4, 5], 16, 2)},
+ scored as (select id, k, exp(value) as e, sum(exp(value)) over (partition by id) as z from l2 join leaves using (k, node)),
+ best as (select id, k, e / z as confidence from scored qualify row_number() over (partition by id order by e / z desc, k) = 1)
+select id as primaryid, cast(k as integer) as predicted_severity, ['Leve','Moderado','Importante','Grave','Muy Grave'][k] as severity_label,
+ round(confidence, 6) as confidence_score from best where k >= 4""",
+)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from .. import rules
 from ..functions.association import chi2_p_value
 from ..functions.text import strip
+from ..operators.boost import BoostedTrees
 from ..operators.clean import severity_label
 from ..plans.training import CaseEncoder, FittedModel
 
@@ -51,6 +52,17 @@ def severity_alerts(
     )
 
 
+def table_alerts(cases: DataFrame, model: BoostedTrees, ident: str = "primaryid", least: int = rules.ALERT_MIN_SEVERITY) -> DataFrame:
+    """Cases that a table of nodes scores at ``least`` or above: the key, the level, its label and the share of its class."""
+    scored = model.predict(cases).filter(F.col("prediction") >= least)
+    return scored.select(
+        ident,
+        F.col("prediction").alias("predicted_severity"),
+        severity_label("prediction").alias("severity_label"),
+        F.round("confidence", 6).alias("confidence_score"),
+    )
+
+
 def exploded_pairs(cases: DataFrame, *keep: str) -> DataFrame:
     """Distinct drug and reaction pairs of every case, names normalised."""
     one = cases.select(*keep, F.explode(F.array_distinct("drugs")).alias("drugname"), "reactions").select(
@@ -158,6 +170,15 @@ def start_level_counts(
     return writer.trigger(**(trigger or ONCE)).start()
 
 
+def start_table_alerts(
+    stream: DataFrame, model: BoostedTrees, path: str, checkpoint: str, ident: str = "primaryid",
+    least: int = rules.ALERT_MIN_SEVERITY, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Severity alerts of each batch, scored from a table of nodes; a replayed batch overwrites its own alerts."""
+    writer = write_per_batch(stream, path, checkpoint, lambda b: table_alerts(b, model, ident, least))
+    return writer.trigger(**(trigger or ONCE)).start()
+
+
 def start_severity_alerts(
     stream: DataFrame, encoder: CaseEncoder, model: FittedModel, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -53,6 +53,17 @@ def test_quality_on_held_out_rows(labelled):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
 
 
+def test_equal_texts_have_equal_scores_labelled_or_not(labelled):
+    docs, labels, _ = labelled
+    more = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000))
+    seen = {}
+    for r in toxicity.score(more, labels, trees=5).collect():
+        seen.setdefault(r.text, set()).add((r.score, r.predicted))
+    assert len(seen) > 100 and all(len(v) == 1 for v in seen.values())
+    kept = toxicity.without_toxic(more, labels)
+    assert {r.n for r in kept.groupBy("text").agg(F.count_distinct("doc_id").alias("n")).collect()} <= {r.n for r in more.groupBy("text").agg(F.count_distinct("doc_id").alias("n")).collect()}
+
+
 @pytest.mark.parametrize("score", [toxicity.score, quality.score])
 def test_scores_of_odd_rows(spark, make_docs, odd_rows, labelled, score):
     docs, labels, _ = labelled

@@ -2,8 +2,8 @@
 
 Values are brought to bins, and rows with the same bins and class are folded into one weighted cell: all rounds
 read cells. The trees of a round, one for each class, grow together: the sums of a level come from one
-aggregation by (class, node, feature, bin), splits are chosen among their running sums, and only the best split of each
-node reaches the driver. A model is a table of nodes; rows are scored from it by built-in functions.
+aggregation by (class, node, feature, bin), and only these sums reach the driver, where splits are chosen: their number is
+bounded by the settings, not by the data. A model is a table of nodes; rows are scored from it by built-in functions.
 
 The objective and the gain follow Chen and Guestrin, "XGBoost: A Scalable Tree Boosting System" (KDD 2016).
 """
@@ -12,12 +12,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scale import running_totals, scratch, stage, unpivot
 
 NODES = "tree int, class_no int, node int, feature int, threshold double, value double"
+#: Rounds whose values are added to the cells again in every job before they are written.
+STAGED = 4
 #: A split must gain more than this beside ``gamma``: what is below is noise of sums.
 LEAST_GAIN = 1e-6
 
@@ -77,43 +80,41 @@ class _Trees:
         return out
 
 
-def _best_splits(sums: DataFrame, how: Boosting) -> DataFrame:
-    """Of ``(k, node, f, bin, g, h)``: a row for each (class, node) with its sums and the best split, null if none gains enough."""
-    line = Window.partitionBy("k", "node", "f")
-    upto = line.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    cum = sums.select(
-        "k", "node", "f", "bin", F.sum("g").over(upto).alias("gl"), F.sum("h").over(upto).alias("hl"), F.sum("g").over(line).alias("gt"), F.sum("h").over(line).alias("ht")
-    )
-
-    def part(g: Column, h: Column) -> Column:
-        return g * g / (h + how.ridge)
-
-    right_g, right_h = F.col("gt") - F.col("gl"), F.col("ht") - F.col("hl")
-    gain = part(F.col("gl"), F.col("hl")) + part(right_g, right_h) - part(F.col("gt"), F.col("ht"))
-    fits = (F.col("hl") >= how.least_weight) & (right_h >= how.least_weight) & (gain > how.gamma + LEAST_GAIN)
-    # Of equal gains the first feature's first bin; sums of another order differ in their last digits.
-    split = F.struct(F.round(gain, 9).alias("gain"), (-F.col("f")).alias("nf"), (-F.col("bin")).alias("nbin"), "gl", "hl")
-    return cum.groupBy("k", "node").agg(
-        F.max(F.when(F.col("f") == 0, F.struct("gt", "ht"))).alias("total"), F.max(F.when(fits, split)).alias("split")
-    )
+def _best_split(f: np.ndarray, bins: np.ndarray, g: np.ndarray, h: np.ndarray, how: Boosting) -> tuple | None:
+    """(feature, bin, sums left of it) of a node's best split, from its sums sorted by feature and bin; none if nothing gains enough."""
+    best = None
+    for feature in np.unique(f):
+        own = f == feature
+        gl, hl = np.cumsum(g[own]), np.cumsum(h[own])
+        gt, ht = gl[-1], hl[-1]
+        gain = gl**2 / (hl + how.ridge) + (gt - gl) ** 2 / (ht - hl + how.ridge) - gt**2 / (ht + how.ridge)
+        # Of equal gains the first bin of the first feature; sums of another order differ in their last digits.
+        gain = np.where((hl >= how.least_weight) & (ht - hl >= how.least_weight) & (gain > how.gamma + LEAST_GAIN), gain.round(9), -np.inf)
+        i = int(gain.argmax())
+        if np.isfinite(gain[i]) and (best is None or gain[i] > best[0]):
+            best = (gain[i], int(feature), int(bins[own][i]), float(gl[i]), float(hl[i]))
+    return best and best[1:]
 
 
 def _grow(rows: DataFrame, classes: int, features: int, how: Boosting) -> _Trees:
-    """The trees of one round from ``(bins, k, g, h)``."""
+    """The trees of one round from ``(bins, k, g, h)``. The sums of a level, one aggregation, have classes x nodes x features x bins rows at most."""
     trees = _Trees(classes, how.depth)
     cells = F.inline(F.array(*[F.struct(F.lit(i).alias("f"), F.get("bins", F.lit(i)).alias("bin")) for i in range(features)]))
     for level in range(how.depth):
         at = rows.withColumn("node", F.expr(trees.node("k"))).filter(F.col("node") >= 1 << level)
         sums = at.select("k", "node", "g", "h", cells).groupBy("k", "node", "f", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        found = sums.toPandas().sort_values(["k", "node", "f", "bin"], kind="stable")
         grown = False
-        for r in _best_splits(sums, how).collect():  # classes x nodes of the level
-            k, node, total, split = r["k"], r["node"], r["total"], r["split"]
-            trees.sums[k, node] = total["gt"], total["ht"]
+        for (k, node), own in found.groupby(["k", "node"]):
+            f, bins, g, h = (own[c].to_numpy() for c in ("f", "bin", "g", "h"))
+            gt, ht = float(g[f == 0].sum()), float(h[f == 0].sum())
+            trees.sums[k, node] = gt, ht
+            split = _best_split(f, bins, g, h, how)
             if split is not None:
                 grown = True
-                trees.feats[k * trees.size + node], trees.cuts[k * trees.size + node] = -split["nf"], -split["nbin"]
-                trees.sums[k, 2 * node] = split["gl"], split["hl"]
-                trees.sums[k, 2 * node + 1] = total["gt"] - split["gl"], total["ht"] - split["hl"]
+                trees.feats[k * trees.size + node], trees.cuts[k * trees.size + node] = split[:2]
+                trees.sums[k, 2 * node] = split[2:]
+                trees.sums[k, 2 * node + 1] = gt - split[2], ht - split[3]
         if not grown:
             break
     return trees
@@ -193,9 +194,10 @@ def fit_boosted(df: DataFrame, features: list[str], label: str, classes: list, h
             values = trees.values(how.rate, how.ridge)
             step = f"transform(m, (x, i) -> x + get({_array(values, 'double')}, i * {trees.size} + {trees.node('i')}))"
             if round_ + 1 < how.rounds:
-                cells = stage(cells.withColumn("m", F.expr(step)))
-            for (k, node) in sorted(trees.sums):
+                cells = cells.withColumn("m", F.expr(step))
+                cells = stage(cells) if round_ % STAGED == STAGED - 1 else cells
+            for k, node in sorted(trees.sums):
                 f, cut = trees.feats[k * trees.size + node], trees.cuts[k * trees.size + node]
                 inner = f >= 0
-                nodes.append((round_ * len(classes) + k, k, node, f if inner else None, edges[f][cut] if inner else None, None if inner else values[k * trees.size + node]))
+                nodes.append((int(round_ * len(classes) + k), int(k), int(node), f if inner else None, edges[f][cut] if inner else None, None if inner else values[k * trees.size + node]))
         return BoostedTrees(last(spark.createDataFrame(nodes, NODES)), features, classes)

@@ -82,14 +82,14 @@ class CaseEncoder:
         return cls(read(f"{path}/drug_codes"), read(f"{path}/term_codes"), read(f"{path}/leaking_terms"), drug, term)
 
 
-def classifiers(trees: int = 100, depth: int = 16, rounds: int = 20, seed: int = rules.SEED) -> dict:
+def classifiers(trees: int = 100, depth: int = 16, rounds: int = 10, seed: int = rules.SEED) -> dict:
     """The compared models."""
     return {
         "logistic_regression": LogisticRegression(maxIter=1000, family="multinomial", labelCol="_y"),
         "random_forest": RandomForestClassifier(
             numTrees=trees, maxDepth=depth, seed=seed, labelCol="_y", weightCol="_weight"
         ),
-        "boosted_trees": Boosting(rounds=rounds, depth=min(depth, 6)),
+        "boosted_trees": Boosting(rounds=rounds, depth=min(depth, 4)),
     }
 
 

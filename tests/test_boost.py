@@ -86,3 +86,15 @@ def test_weights_nulls_and_one_class(spark, rows):
     assert {(r["v"], r["prediction"]) for r in model.predict(odd).collect()} == {(None, 1), (1.0, 1), (2.0, 2), (5.0, 2)}
     alone = boost.fit_boosted(odd, ["v"], "y", [2], how).predict(odd)
     assert {r["prediction"] for r in alone.collect()} == {2}
+
+
+def test_scores_are_computed_once_for_rows_that_are_filtered_by_them(spark):
+    rows = spark.range(60_000).selectExpr("id", "double(id % 97) as a", "double(id % 89) as b", "int(1 + (id % 97) div 20) as y")
+    model = boost.fit_boosted(rows, ["a", "b"], "y", [1, 2, 3, 4, 5], boost.Boosting(rounds=1, depth=2, bins=16))
+    found = model.predict(rows).filter("prediction >= 4")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Substituted into the filter, the sums of the trees stood in the plan hundreds of times.
+    assert plan.count("shares(") == 1 and "lambdafunction" not in plan
+    odd = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (float("-inf"), None), (96.0, 1.0)], "a double, b double")
+    got = [r["prediction"] for r in model.predict(odd).collect()]
+    assert got[0] == got[2] == 1 and got[1] == got[3] == 5

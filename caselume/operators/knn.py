@@ -15,9 +15,10 @@ Ties are broken by neighbour id, so the answer is unique. The plan:
 5. Pairs of cells are followed down the tree, two levels at a time, and dropped as soon as the balls
    around them are farther apart than the bound of the first. What is left are the
    pairs of blocks that can matter; no row has moved so far.
-6. The spots of a block visit another one if its ball reaches into their own bound. A
-   block with very many visitors is copied. Candidates are (spot, distance, id); labels and vectors of
-   the answers are joined once at the end.
+6. Blocks that lie together form a team of about ``TEAM_ROWS`` spots. A block that has to visit blocks of a team sends its
+   spots there once, and the task keeps the best rows of each spot, whose bound shrinks on the way: there
+   are ``k + 1`` candidates at most for each spot and team. A team with many visitors is copied. Candidates are
+   (spot, distance, id); labels and vectors of the answers are joined once at the end.
 
 Pivot cells follow Lu et al., "Efficient Processing of k Nearest Neighbor Joins
 using MapReduce" (VLDB 2012); pairs of cells are pruned as in dual-tree searches (Gray and Moore, 2001).
@@ -31,6 +32,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,11 +43,16 @@ from ..session import ship_package
 #: Spots and values that are broadcast at most; beyond, the tree is used.
 BROADCAST_SPOTS = 8192
 BROADCAST_VALUES = 1_000_000
-#: Spots of a block, pivots of a cell, spots that one task deals to the pivots of their cell, partners of a block in one row.
+#: Spots of a block, pivots of a cell, spots that one task deals to the pivots of their cell.
 BLOCK_ROWS = 2048
 FANOUT = 64
 DEALT_ROWS = 16_384
-PARTNERS = 512
+#: Spots of the small cells that a call of Python takes together, spots of a team, spots of a team compared at once.
+GROUP_ROWS = 4096
+TEAM_ROWS = 16_384
+SLAB_ROWS = 1024
+#: Pairs of cells whose balls are compared at once.
+MET = 1 << 19
 _CHUNK = 512
 #: Relative error of a sum of products of doubles, for each dimension, with room to spare.
 _EPS = 1e-15
@@ -129,21 +137,28 @@ def _first_of_each(r: np.ndarray, m: int) -> np.ndarray:
     return (np.arange(len(r)) - begin) < m
 
 
-def _nearest(qx, qc, pts: _Points, weight: float, m: int):
+def _nearest(qx, qc, pts: _Points, weight: float, m: int, theta: np.ndarray | None = None, apart: tuple | None = None):
     """The m nearest rows of each query: (query, squared distance, id), sorted by these.
 
     What can be among them is found with distances from a product of matrices and their error bound; only
-    for these pairs distances are summed feature by feature, so ties are ties.
+    for these pairs distances are summed feature by feature, so ties are ties. Rows farther than ``theta`` of a query may
+    be left out. ``apart`` numbers queries and rows; those of the same number are not compared.
     """
     rows, dists, ids = [], [], []
     for lo in range(0, len(qx), _CHUNK):
         q, c = qx[lo : lo + _CHUNK], qc[lo : lo + _CHUNK]
         d, off = _about(q, c, pts.x, pts.c, weight)
-        if d.shape[1] > m:
+        near = np.ones_like(d, dtype=bool)
+        if theta is not None:
+            near = d <= (theta[lo : lo + _CHUNK] ** 2 * (1 + 1e-9) + 1e-12 + 2.0 * off)[:, None]
+        if apart is not None:
+            other = apart[0][lo : lo + _CHUNK, None] != apart[1][None, :]
+            near &= other
+            d = np.where(other, d, np.inf)
+        if d.shape[1] > m and (theta is None or np.count_nonzero(near) > 4 * m * len(q)):
             edge = np.partition(d, m - 1, axis=1)[:, m - 1] + 2.0 * off
-            r, s = np.nonzero(d <= edge[:, None])
-        else:
-            r, s = np.nonzero(np.ones_like(d, dtype=bool))
+            near &= d <= edge[:, None]
+        r, s = np.nonzero(near)
         v = _exact(q[r], c[r], pts.x[s], pts.c[s], weight)
         n = pts.off[s + 1] - pts.off[s]
         place = np.repeat(pts.off[s], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
@@ -205,8 +220,8 @@ def _scan_broadcast(spots: DataFrame, m: int, weight: float) -> DataFrame:
 
 
 @contextmanager
-def _few_rows(spark: SparkSession, rows: int = 64) -> Iterator[None]:
-    """Arrow batches of few rows: a row holds the arrays of a whole block."""
+def _few_rows(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Arrow batches of few rows: a row holds the arrays of two cells."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, str(rows))
@@ -223,7 +238,7 @@ def _name(level: int, cell: str = "cell") -> Column:
 
 @dataclass
 class _Tree:
-    """``blocks``: a row per block with the arrays of its spots, their own answers and bounds. ``nodes``: ``node``, ``parent``, ``x``, ``c``,
+    """``blocks``: a row per block with its ``team``, the arrays of its spots, and of those asked with their answers and bounds. ``nodes``: ``node``, ``parent``, ``x``, ``c``,
     ``radius``, ``rows``, ``leaf``."""
 
     blocks: DataFrame
@@ -231,16 +246,21 @@ class _Tree:
     depth: int
 
 
-def _grow(spots: DataFrame, weight: float, m: int, block_rows: int, fanout: int) -> _Tree:
+def _spread(spark: SparkSession, spots: int) -> int:
+    """Partitions for the rows of Python tasks, which take long for their bytes."""
+    return max(2 * spark.sparkContext.defaultParallelism, spots // (16 * GROUP_ROWS))
+
+
+def _grow(spots: DataFrame, count: int, weight: float, m: int, block_rows: int, fanout: int) -> _Tree:
     """Cells of at most ``block_rows`` spots, the tree above them, and what each block answers by itself."""
-    fields = "sid bigint, x array<double>, c array<string>, ids array<bigint>, asked boolean, parent string, cell string, far double"
+    fields = "sid bigint, x array<double>, c array<string>, ids array<bigint>, asked boolean, team string, parent string, cell string, far double"
     names = [f.split()[0] for f in fields.split(", ")]
-    now = spots.select("sid", "x", "c", "ids", "asked", F.lit(None).cast("string").alias("parent"), F.col("g").alias("cell"), F.lit(0.0).alias("far"))
+    none = F.lit(None).cast("string")
+    now = spots.select("sid", "x", "c", "ids", "asked", none.alias("team"), none.alias("parent"), F.col("g").alias("cell"), F.lit(0.0).alias("far"))
     leaves, nodes, level = [], [], 0
+    parts, buckets, team_rows = _spread(spots.sparkSession, count), F.lit(max(1, count // GROUP_ROWS)), max(TEAM_ROWS, block_rows)
 
-    def deal(spots_of: pd.DataFrame, pivots_of: pd.DataFrame) -> pd.DataFrame:
-        if spots_of.empty:
-            return pd.DataFrame(columns=names)
+    def deal_share(spots_of: pd.DataFrame, pivots_of: pd.DataFrame) -> pd.DataFrame:
         px, pc = _matrix(pivots_of["px"]), _texts(pivots_of["pc"])
         x, c = _matrix(spots_of["x"]), _texts(spots_of["c"])
         near = np.concatenate([_about(x[i : i + _CHUNK], c[i : i + _CHUNK], px, pc, weight)[0].argmin(axis=1) for i in range(0, len(x), _CHUNK)])
@@ -250,53 +270,69 @@ def _grow(spots: DataFrame, weight: float, m: int, block_rows: int, fanout: int)
         far = np.sqrt(_exact(x, c, px[near], pc[near], weight))
         return spots_of.assign(cell=pivots_of["pivot"].astype(str).to_numpy()[near], far=far)[names]
 
+    def deal(spots_of: pd.DataFrame, pivots_of: pd.DataFrame) -> pd.DataFrame:
+        pivots = dict(list(pivots_of.groupby(["of", "part"])))
+        out = [deal_share(own, pivots[unit]) for unit, own in spots_of.groupby(["parent", "share"])]
+        return pd.concat(out) if out else pd.DataFrame(columns=names)
+
     while True:
         centre = F.when(F.col("sid").cast("string") == F.col("cell"), F.struct("x", "c")) if level else F.lit(None).cast("struct<x:array<double>,c:array<string>>")
         cells = now.groupBy("cell").agg(
             F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"), F.sum(F.size("ids")).alias("rows"), F.max("parent").alias("parent"), F.max(centre).alias("centre")
         )
         open_ = (F.col("n") > block_rows) & ((F.col("radius") > 0) | F.lit(not level))
+        # Cells that are no larger than a team are put together with those beside them, ``fanout`` at most.
+        fits = F.col("n") <= team_rows
+        beside = Window.partitionBy("parent").orderBy("centre.x", "cell").rowsBetween(Window.unboundedPreceding, -1)
+        number = F.floor(F.coalesce(F.sum(F.when(fits, F.col("n"))).over(beside), F.lit(0)) / team_rows)
+        here = F.concat_ws(":", F.lit(level), "parent", number) if level else _name(0)
+        cells = stage(cells.withColumn("here", F.when(fits, here)))
         nodes.append(cells.select(
             _name(level).alias("node"), F.concat(F.lit(f"{level - 1}:"), "parent").alias("parent"), "centre.x", "centre.c", "radius", "rows", (~open_).alias("leaf")
         ))
-        large = cells.filter(open_).select("cell", "n")
+        team = F.coalesce("team", "here").alias("team")
+        large = cells.filter(open_).select("cell", "n", "here")
         some = not large.isEmpty()
-        small = now.join(cells.filter(~open_).select("cell"), "cell") if some else now
-        leaves.append(small.select("sid", "x", "c", "ids", "asked", _name(level).alias("node")))
+        small = now.join(cells.filter(~open_).select("cell", "here"), "cell").withColumn("node", _name(level))
+        leaves.append(small.select("sid", "x", "c", "ids", "asked", "node", F.coalesce(team, "node").alias("team")))
         if not some:
             break
-        inside = now.join(large, "cell").select(F.col("cell").alias("parent"), "n", "sid", "x", "c", "ids", "asked")
+        inside = now.join(large, "cell").select(F.col("cell").alias("parent"), "n", "sid", "x", "c", "ids", "asked", team)
         order = Window.partitionBy("parent").orderBy(F.xxhash64("sid", F.lit(level)), "sid")
         wanted = F.least(F.lit(fanout), F.ceil(2 * F.col("n") / block_rows))
         drawn = inside.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= fanout).filter(F.col("_n") <= wanted)
-        # A cell that holds a large share of all spots is dealt by many tasks.
+        # A cell that holds a large share of all spots is dealt by many tasks, and many small cells by one.
         shares = F.ceil(F.col("n") / DEALT_ROWS).cast("int")
-        dealt = inside.withColumn("share", F.pmod(F.xxhash64("sid"), shares).cast("int"))
+        dealt = inside.withColumn("share", F.pmod(F.xxhash64("sid"), shares).cast("int")).withColumn("bucket", F.pmod(F.xxhash64("parent", "share"), buckets))
         pivots = drawn.select(
             F.col("parent").alias("of"), F.col("sid").alias("pivot"), F.col("x").alias("px"), F.col("c").alias("pc"),
             F.explode(F.sequence(F.lit(0), shares - 1)).alias("part"),
-        )
-        now = stage(dealt.groupBy("parent", "share").cogroup(pivots.groupBy("of", "part")).applyInPandas(deal, fields))
+        ).withColumn("bucket", F.pmod(F.xxhash64("of", "part"), buckets))
+        dealt, pivots = dealt.repartition(parts, "bucket"), pivots.repartition(parts, "bucket")
+        now = stage(dealt.groupBy("bucket").cogroup(pivots.groupBy("bucket")).applyInPandas(deal, fields))
         level += 1
 
-    def pack(key, pdf):
-        pts, asked = _Points.of(pdf), pdf["asked"].to_numpy(bool)
-        ask = np.flatnonzero(asked)
-        r, d, i = _nearest(pts.x[ask], pts.c[ask], pts, weight, m)
-        worst = np.zeros(len(ask))
-        np.maximum.at(worst, r, d)
-        theta = np.where(np.bincount(r, minlength=len(ask)) >= m, np.sqrt(worst), np.inf)
-        row = [key[0], pts.sid, pts.x.ravel(), pts.c.ravel(), pts.off, pts.ids, asked, theta, pts.sid[ask][r], d, i]
-        return pd.DataFrame([row], columns=["node", "sid", "x", "c", "off", "ids", "asked", "theta", "qsid", "d2", "id"])
+    def pack(pdf):
+        out = []
+        for node, own in pdf.groupby("node"):
+            pts, ask = _Points.of(own), np.flatnonzero(own["asked"].to_numpy(bool))
+            r, d, i = _nearest(pts.x[ask], pts.c[ask], pts, weight, m)
+            worst = np.zeros(len(ask))
+            np.maximum.at(worst, r, d)
+            theta = np.where(np.bincount(r, minlength=len(ask)) >= m, np.sqrt(worst), np.inf)
+            asks = pts.sid[ask]
+            out.append((node, own["team"].iloc[0], pts.sid, pts.x.ravel(), pts.c.ravel(), pts.off, pts.ids, asks, pts.x[ask].ravel(), pts.c[ask].ravel(), theta, asks[r], d, i))
+        return pd.DataFrame(out, columns=["node", "team", "sid", "x", "c", "off", "ids", "asks", "qx", "qc", "theta", "qsid", "d2", "id"])
 
     rows, table = leaves[0], nodes[0]
     for more, other in zip(leaves[1:], nodes[1:]):
         rows, table = rows.unionByName(more), table.unionByName(other)
     kind = (
-        "node string, sid array<bigint>, x array<double>, c array<string>, off array<bigint>, ids array<bigint>, asked array<boolean>, "
-        "theta array<double>, qsid array<bigint>, d2 array<double>, id array<bigint>"
+        "node string, team string, sid array<bigint>, x array<double>, c array<string>, off array<bigint>, ids array<bigint>, asks array<bigint>, "
+        "qx array<double>, qc array<string>, theta array<double>, qsid array<bigint>, d2 array<double>, id array<bigint>"
     )
-    return _Tree(stage(rows.groupBy("node").applyInPandas(pack, kind)), table, level)
+    packed = rows.withColumn("bucket", F.pmod(F.xxhash64("node"), buckets)).repartition(parts, "bucket").groupBy("bucket")
+    return _Tree(stage(packed.applyInPandas(pack, kind)), table, level)
 
 
 def _bounded_nodes(tree: _Tree, weight: float, m: int) -> DataFrame:
@@ -338,99 +374,137 @@ def _bounded_nodes(tree: _Tree, weight: float, m: int) -> DataFrame:
     return done
 
 
-def _block_pairs(nodes: DataFrame, depth: int, weight: float) -> DataFrame:
+def _block_pairs(nodes: DataFrame, depth: int, parts: int, weight: float) -> DataFrame:
     """Pairs of different blocks ``(a, b)`` such that a row of b can be an answer for a spot of a."""
     fields = F.struct("node", "leaf", "x", "c", "radius", F.coalesce("theta", F.lit(-1.0)).alias("theta"))
     below = nodes.filter("parent is not null").groupBy("parent").agg(F.collect_list(fields).alias("kids"))  # ``fanout`` at most
     same = nodes.filter("leaf").select(F.col("node").alias("parent"), F.array(fields).alias("kids"))
-    kids = below.unionByName(same)
+    kids = below.unionByName(same).select(
+        "parent", "kids.node", "kids.leaf", F.flatten("kids.x").alias("x"), F.flatten("kids.c").alias("c"), "kids.radius", "kids.theta"
+    )
     kids = stage(kids) if depth > 1 else kids
 
+    def side(name: str) -> DataFrame:
+        return kids.select(*[F.col(c).alias(name if c == "parent" else f"{name}_{c}") for c in kids.columns])
+
+    def arrays(batch: pa.RecordBatch, name: str) -> tuple:
+        """How many cells each row has, their names, coordinates and categories one by one, radii, bounds, and which are leaves."""
+        n = pc.list_value_length(batch.column(f"{name}_node")).to_numpy()
+        node, x, c, radius, theta, leaf = (batch.column(f"{name}_{k}").flatten() for k in ("node", "x", "c", "radius", "theta", "leaf"))
+        x, c, radius, theta, leaf = (k.to_numpy(zero_copy_only=False) for k in (x, c, radius, theta, leaf))
+        return n, node, x.reshape(len(node), -1).T.copy(), c.reshape(len(node), -1).T, radius, theta, leaf.astype(bool)
+
     def meet(batches):
-        for pdf in batches:
-            out = []
-            for ka, kb in zip(pdf["ka"], pdf["kb"]):
-                a, b = pd.DataFrame(list(map(dict, map(_fields, ka)))), pd.DataFrame(list(map(dict, map(_fields, kb))))
-                d, off = _about(_matrix(a["x"]), _texts(a["c"]), _matrix(b["x"]), _texts(b["c"]), weight)
-                gap = np.sqrt(np.maximum(d - off[:, None], 0.0)) - (a["radius"].to_numpy()[:, None] + b["radius"].to_numpy()[None, :]) * (1 + 1e-9)
-                theta = a["theta"].to_numpy()[:, None]
-                i, j = np.nonzero((theta >= 0) & (gap <= theta * (1 + 1e-9) + 1e-12))
-                keep = ~((a["node"].to_numpy()[i] == b["node"].to_numpy()[j]) & a["leaf"].to_numpy(bool)[i])
-                out.append(pd.DataFrame({"a": a["node"].to_numpy()[i[keep]], "b": b["node"].to_numpy()[j[keep]]}))
-            yield pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=str)
-
-    def _fields(kid):
-        return kid.items() if isinstance(kid, dict) else kid.asDict().items()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            na, a, ax, ac, ar, theta, leaf = arrays(batch, "a")
+            nb, b, bx, bc, br, _, _ = arrays(batch, "b")
+            sizes, a0, b0 = na.astype(np.int64) * nb, np.cumsum(na) - na, np.cumsum(nb) - nb
+            block = np.cumsum(sizes) // MET
+            for at in np.unique(block):
+                row = np.flatnonzero(block == at)
+                n = sizes[row]
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                row = np.repeat(row, n)
+                i, j = a0[row] + place // nb[row], b0[row] + place % nb[row]
+                asked = theta[i] >= 0
+                i, j = i[asked], j[asked]
+                d = np.zeros(len(i))
+                for p, q in zip(ax, bx):
+                    gap = p[i] - q[j]
+                    d += gap * gap
+                for p, q in zip(ac, bc):
+                    d += weight * (p[i] != q[j])
+                near = np.sqrt(d) - (ar[i] + br[j]) * (1 + 1e-9) <= theta[i] * (1 + 1e-9) + 1e-12
+                i, j = i[near], j[near]
+                found = pa.RecordBatch.from_arrays([a.take(pa.array(i)), b.take(pa.array(j))], names=["a", "b"])
+                yield found.filter(pc.invert(pc.and_(pc.equal(found.column(0), found.column(1)), pa.array(leaf[i], pa.bool_()))))
 
     pairs = nodes.filter("parent is null and not leaf").select(F.col("node").alias("a"), F.col("node").alias("b"))
-    spark = nodes.sparkSession
     for _ in range(depth):
-        both = pairs.join(kids.select(F.col("parent").alias("a"), F.col("kids").alias("ka")), "a").join(kids.select(F.col("parent").alias("b"), F.col("kids").alias("kb")), "b")
-        with _few_rows(spark):
-            pairs = stage(both.select("ka", "kb").mapInPandas(meet, "a string, b string"))
+        both = pairs.repartition(parts, "a", "b").join(side("a"), "a").join(side("b"), "b").drop("a", "b")
+        with _few_rows(nodes.sparkSession):
+            pairs = stage(both.mapInArrow(meet, "a string, b string"))
     return pairs
 
 
-def _visits(tree: _Tree, nodes: DataFrame, pairs: DataFrame, weight: float, m: int, block_rows: int) -> DataFrame:
-    """Candidates that asked spots find in other blocks."""
+def _visits(tree: _Tree, nodes: DataFrame, pairs: DataFrame, count: int, weight: float, m: int) -> DataFrame:
+    """Candidates that asked spots find in other blocks, for each team of blocks they visit the m best."""
     spark = tree.blocks.sparkSession
-    ball = nodes.select(F.col("node").alias("b"), "x", "c", "radius")
-    # A row holds the partners of a block, at most ``PARTNERS`` of them on average.
-    share = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("shares"))
-    named = pairs.join(share, "a").withColumn("share", F.pmod(F.xxhash64("b"), "shares")).join(ball, "b")
-    partners = named.groupBy("a", "share").agg(F.collect_list(F.struct("b", "x", "c", "radius")).alias("with"))
-    partners = partners.join(nodes.select(F.col("node").alias("a"), "reach"), "a")
-    spots = tree.blocks.select(F.col("node").alias("a"), "sid", "x", "c", "off", "ids", "asked", "theta")
-
-    def go(batches):
-        for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                pts, ask = _Points.packed(row), np.flatnonzero(np.asarray(row["asked"], bool))
-                theta = np.asarray(row["theta"], float)
-                theta = np.where(np.isfinite(theta), theta, np.inf if pd.isna(row["reach"]) else row["reach"])
-                some = [r if isinstance(r, dict) else r.asDict() for r in row["with"]]
-                others = pd.DataFrame(some)
-                d, off = _about(pts.x[ask], pts.c[ask], _matrix(others["x"]), _texts(others["c"]), weight)
-                gap = np.sqrt(np.maximum(d - off[:, None], 0.0)) - others["radius"].to_numpy()[None, :] * (1 + 1e-9)
-                near = gap <= theta[:, None] * (1 + 1e-9) + 1e-12
-                for j in np.flatnonzero(near.any(axis=0)):
-                    q = np.flatnonzero(near[:, j])
-                    out.append((row["a"], others["b"].iloc[j], pts.sid[ask[q]], pts.x[ask[q]].ravel(), pts.c[ask[q]].ravel(), theta[q]))
-            yield pd.DataFrame(out, columns=["a", "node", "qsid", "qx", "qc", "theta"])
-
-    kind = "a string, node string, qsid array<bigint>, qx array<double>, qc array<string>, theta array<double>"
-    with _few_rows(spark):
-        trips = stage(spots.join(partners, "a").mapInPandas(go, kind))
-    copies = trips.groupBy("node").agg(F.ceil(F.sum(F.size("qsid")) / (8 * block_rows)).cast("int").alias("copies"))
-    salted = trips.join(copies, "node").withColumn("copy", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int")).drop("copies", "a")
-    hosts = tree.blocks.select("node", "sid", "x", "c", "off", "ids").join(copies, "node")
+    parts = _spread(spark, count)
+    calls = stage(pairs.join(tree.blocks.select(F.col("node").alias("b"), "team"), "b").select(F.col("a").alias("node"), "team").distinct())
+    visits = min(TEAM_ROWS, max(2048, count // (2 * spark.sparkContext.defaultParallelism)))
+    copies = calls.join(tree.blocks.select("node", F.size("asks").alias("n")), "node").groupBy("team").agg(F.ceil(F.sum("n") / visits).cast("int").alias("copies"))
+    asks = tree.blocks.select("node", "asks", "qx", "qc", "theta").join(nodes.select("node", "reach"), "node")
+    visitors = calls.join(copies, "team").withColumn("copy", F.pmod(F.xxhash64("node"), F.col("copies")).cast("int")).drop("copies").join(asks, "node")
+    balls = nodes.select("node", F.col("x").alias("bx"), F.col("c").alias("bc"), "radius")
+    hosts = tree.blocks.select("node", "team", "sid", "x", "c", "off", "ids").join(balls, "node").join(copies, "team")
     hosts = hosts.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
 
-    def visit(visitors: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(visitors) and len(residents):
-            pts = _Points.packed(residents.iloc[0])
-            for _, row in visitors.iterrows():
-                sid, theta = np.asarray(row["qsid"], np.int64), np.asarray(row["theta"], float)
-                qx, qc = np.asarray(row["qx"], float).reshape(len(sid), -1), np.asarray(row["qc"], object).reshape(len(sid), -1)
-                r, d, i = _nearest(qx, qc, pts, weight, m)
-                ok = d <= theta[r] ** 2 * (1 + 1e-9) + 1e-12
-                out.append(pd.DataFrame({"sid": sid[r[ok]], "d2": d[ok], "id": i[ok]}))
-        return pd.concat(out) if out else pd.DataFrame({"sid": [], "d2": [], "id": []})
-
-    return salted.groupBy("node", "copy").cogroup(hosts.groupBy("node", "copy")).applyInPandas(visit, _CANDIDATE)
-
-
-def _scan_tree(spots: DataFrame, m: int, weight: float, block_rows: int, fanout: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def visit(come: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        if come.empty or there.empty:
+            return pd.DataFrame({"sid": [], "d2": [], "id": []})
+        there = there.iloc[sorted(range(len(there)), key=lambda i: tuple(there["bx"].iloc[i]))]
+        blocks = [_Points.packed(row) for _, row in there.iterrows()]
+        ends, home = np.cumsum([len(p.sid) for p in blocks]), {node: i for i, node in enumerate(there["node"])}
+        x, c, ids = np.concatenate([p.x for p in blocks]), np.concatenate([p.c for p in blocks]), np.concatenate([p.ids for p in blocks])
+        sid, off = np.concatenate([p.sid for p in blocks]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.off) for p in blocks]))])
+        block = np.repeat(np.arange(len(blocks)), np.diff(ends, prepend=0))
+        bx, bc, radius = _matrix(there["bx"]), _texts(there["bc"]), there["radius"].to_numpy(float)
+        sizes = [len(s) for s in come["asks"]]
+        asks = np.concatenate(list(come["asks"])).astype(np.int64)
+        qx, qc = np.concatenate(list(come["qx"])).reshape(len(asks), -1), np.concatenate(list(come["qc"])).reshape(len(asks), -1)
+        theta, reach = np.concatenate(list(come["theta"])).astype(float), np.repeat(come["reach"].fillna(np.inf).to_numpy(float), sizes)
+        theta = np.where(np.isfinite(theta), theta, reach)
+        own = np.repeat([home.get(node, -1) for node in come["node"]], sizes)
+        r, v, i = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        lo = 0
+        while lo < len(blocks):
+            begin = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, begin + SLAB_ROWS, "right")))
+            go = np.flatnonzero(_reached(qx, qc, theta, own - lo, bx[lo:hi], bc[lo:hi], radius[lo:hi], weight))
+            if len(go):
+                at = slice(begin, ends[hi - 1])
+                slab = _Points(sid[at], x[at], c[at], off[begin : ends[hi - 1] + 1], ids)
+                fr, fv, fi = _nearest(qx[go], qc[go], slab, weight, m, theta[go], (own[go], block[at]))
+                r, v, i = np.concatenate([r, go[fr]]), np.concatenate([v, fv]), np.concatenate([i, fi])
+                order = np.lexsort((i, v, r))
+                r, v, i = r[order], v[order], i[order]
+                top = _first_of_each(r, m)
+                r, v, i = r[top], v[top], i[top]
+                n = np.bincount(r, minlength=len(asks))
+                full = n >= m
+                theta[full] = np.minimum(theta[full], np.sqrt(v[np.cumsum(n)[full] - 1]))
+            lo = hi
+        return pd.DataFrame({"sid": asks[r], "d2": v, "id": i})
+
+    visitors, hosts = visitors.repartition(parts, "team", "copy"), hosts.repartition(parts, "team", "copy")
+    return visitors.groupBy("team", "copy").cogroup(hosts.groupBy("team", "copy")).applyInPandas(visit, _CANDIDATE)
+
+
+def _reached(qx, qc, theta, own, bx, bc, radius, weight: float) -> np.ndarray:
+    """Whether a query's bound reaches into one of the balls; ``own`` is the number of the one it comes from."""
+    out = []
+    for lo in range(0, len(qx), 8 * _CHUNK):
+        at = slice(lo, lo + 8 * _CHUNK)
+        d, off = _about(qx[at], qc[at], bx, bc, weight)
+        gap = np.sqrt(np.maximum(d - off[:, None], 0.0)) - radius[None, :] * (1 + 1e-9)
+        home = np.flatnonzero((own[at] >= 0) & (own[at] < len(bx)))
+        gap[home, own[at][home]] = np.inf
+        out.append(((gap <= theta[at, None] * (1 + 1e-9) + 1e-12) & (gap < np.inf)).any(axis=1))
+    return np.concatenate(out)
+
+
+def _scan_tree(spots: DataFrame, count: int, m: int, weight: float, block_rows: int, fanout: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidates, the nodes of the tree, and the pairs of blocks that were visited."""
-    tree = _grow(spots, weight, m, max(block_rows, 2 * m), fanout)
+    tree = _grow(spots, count, weight, m, max(block_rows, 2 * m), fanout)
     found = tree.blocks.select(F.explode(F.arrays_zip("qsid", "d2", "id")).alias("_c")).select(F.col("_c.qsid").alias("sid"), "_c.d2", "_c.id")
     if not tree.depth:
         return found, tree.nodes, tree.blocks.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
     nodes = stage(_bounded_nodes(tree, weight, m))
-    pairs = _block_pairs(nodes, tree.depth, weight)
-    return found.unionByName(_visits(tree, nodes, pairs, weight, m, block_rows)), nodes, pairs
+    pairs = _block_pairs(nodes, tree.depth, _spread(spots.sparkSession, count), weight)
+    return found.unionByName(_visits(tree, nodes, pairs, count, weight, m)), nodes, pairs
 
 
 def _prepared(df, ident, features, k, label, within_label, nominal, queries) -> tuple[DataFrame, DataFrame]:
@@ -494,7 +568,7 @@ def nearest_neighbors(
         answer = answers(best(_scan_broadcast(spots, m, nominal_weight)))
     else:
         with scratch(spark) as last:
-            found = best(_scan_tree(spots, m, nominal_weight, block_rows, fanout)[0]).select("sid", "d2", "id")
+            found = best(_scan_tree(spots, size["n"], m, nominal_weight, block_rows, fanout)[0]).select("sid", "d2", "id")
             answer = last(answers(found.join(base.select("id", "y", "x", "c"), "id") if rows else found))
     # A frequent vector makes this join skewed on the row side; adaptive execution
     # splits that side, and the answer side has one row per vector.
@@ -513,7 +587,7 @@ def visited_share(
     ship_package(df.sparkSession)
     with scratch(df.sparkSession) as last:
         _, spots = _prepared(df, ident, features, k, None, False, [], None)
-        _, nodes, pairs = _scan_tree(spots, k + 1, 0.0, block_rows, fanout)
+        _, nodes, pairs = _scan_tree(spots, spots.count(), k + 1, 0.0, block_rows, fanout)
         blocks = nodes.filter("leaf").agg(F.count(F.lit(1)).alias("blocks"))
         both = last(blocks.withColumn("pairs", pairs.agg(F.count(F.lit(1))).scalar()))
     all_pairs = F.greatest(F.col("blocks") * (F.col("blocks") - 1), F.lit(1))

@@ -21,7 +21,7 @@ from ..session import ship_package
 from .common import stage, staged_map
 from .toxicity import is_held_out, training_rows
 
-SAMPLE_ROWS, PAIRS, CUTS = 20_000, 60_000, 10
+PAIRS, PARTNERS, CUTS = 60_000, 2, 10
 FEATURES = (
     "log_words", "log_chars", "word_length", "long_words", "distinct_words", "top_word", "distinct_pairs", "capital_letters", "capital_words", "digits", "marks", "exclamations",
     "bars", "symbols", "ends", "lines", "short_lines", "repeated_lines", "compressed", "marked_words", "small_words", "brackets",
@@ -54,12 +54,12 @@ def features(text: str) -> list[float]:
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, parts: int = 5, held_out: int = 0, rows: int = SAMPLE_ROWS, pairs: int = PAIRS
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, parts: int = 5, held_out: int = 0, rows: int | None = None, pairs: int = PAIRS
 ) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on) for each row of ``docs``.
 
-    Learned from the labels whose crc32(``doc_id``) mod ``parts`` is not ``held_out``: ``rows`` of each class at most and about
-    ``pairs`` pairs (documented bounds; hashes choose). Every whole text is scored from its text alone. A null text
+    Learned from the labels whose crc32(``doc_id``) mod ``parts`` is not ``held_out``, from all of them unless ``rows`` names
+    a bound for each class. A hash deals rows to pairs: ``pairs`` of them or, if that is more, about ``PARTNERS`` for each row of the larger class. Every whole text is scored from its text alone. A null text
     counts as empty and has the score of a text without words. Without rows of both classes every score is the share of good
     labels, or 0. Repeated rows stay; other columns are not read.
     """
@@ -77,7 +77,7 @@ def score(
 
     seen = staged_map(rows_in, run, "doc_id long, x array<double>")
     picked = training_rows(labels, "quality", lambda d: ~is_held_out(d, parts, held_out), rows)
-    train = stage(seen.join(F.broadcast(picked), "doc_id"))  # at most 2 * rows
+    train = stage(seen.join(picked, "doc_id"))
     out = seen.select("doc_id", is_held_out(F.col("doc_id"), parts, held_out).alias("held_out"), "x")
     sizes = {r["label"]: (r["n"], r["w"]) for r in train.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
     good, bad = sizes.get(1.0, (0, 0.0)), sizes.get(0.0, (0, 0.0))
@@ -98,7 +98,7 @@ def score(
         cells.append((F.col("x")[i] - float(told[f"m{i}"])) / float(told[f"s{i}"] or 1.0))
         cells += [(F.col("x")[i] > float(q)).cast("double") for q in sorted(set(told[f"q{i}"]))]
     wide = stage(train.select("doc_id", "label", "weight", F.array(*cells).alias("z")))
-    buckets = max(1, good[0] * bad[0] // pairs)
+    buckets = max(1, min(good[0] * bad[0] // pairs, min(good[0], bad[0]) // PARTNERS))
     side = wide.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(buckets)))
     winners = side.filter("label = 1").select("bucket", F.col("doc_id").alias("a"), F.col("z").alias("za"))
     losers = side.filter("label = 0").select("bucket", F.col("doc_id").alias("b"), F.col("z").alias("zb"))

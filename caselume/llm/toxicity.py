@@ -115,13 +115,15 @@ def is_held_out(doc_id, parts: int, part: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def training_rows(labels: DataFrame, label: str, trained, rows: int) -> DataFrame:
-    """``doc_id``, ``label``, ``weight``: at most ``rows`` of each class, by a hash of their id.
+def training_rows(labels: DataFrame, label: str, trained, rows: int | None) -> DataFrame:
+    """``doc_id``, ``label``, ``weight``: all rows, or at most ``rows`` of each class, by a hash of their id.
 
     A class that is cut has greater weights instead. An id with several labels has the greatest.
     """
     clean = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & trained(F.col("doc_id")))
     clean = stage(clean.groupBy("doc_id").agg(F.max(label).cast("double").alias("label")))
+    if rows is None:
+        return clean.withColumn("weight", F.lit(1.0))
     picked = None
     for y in (0.0, 1.0):
         own = clean.filter(F.col("label") == y)

@@ -268,3 +268,17 @@ def test_share_backs_off_along_prefixes(spark):
     assert {got[f"http://h.com/shop/b/{c}"].verdict for c in "abcde"} == {"block"}
     assert got["http://h.com/other"].verdict == got["http://new.org/shop/b/a"].verdict == "allow"
     assert got["http://h.com/shop/b/a"].purity == got["http://h.com/shop/b/e"].purity
+
+
+def test_quality_learns_from_all_labelled_rows(spark, monkeypatch):
+    """More rows of a class than any bound there was; the quantiles and pairs are made from all of them."""
+    from caselume.llm.toxicity import is_held_out, training_rows
+
+    labels = spark.range(60_000).selectExpr("id as doc_id", "int(id % 10 = 0) as quality", "0 as toxic")
+    asked = []
+    monkeypatch.setattr(quality, "training_rows", lambda *a: asked.append(a) or training_rows(*a))
+    docs = labels.filter("doc_id < 200").selectExpr("doc_id", "if(quality = 1, 'a fine and whole sentence, read by all.', 'x x x $$ ##') as text")
+    assert quality.score(docs, labels).count() == 200
+    got = training_rows(*asked[0])
+    want = labels.filter(~is_held_out(labels.doc_id, 5, 0))
+    assert got.count() == want.count() > 45_000 and got.filter("weight <> 1").isEmpty()

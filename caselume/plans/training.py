@@ -23,6 +23,10 @@ from ..operators.clean import severity_label, sex_value
 from ..operators.signals import attach_signals
 
 CASE_FEATURES = ["age", "sex_encoded", "drug_encoded", "pt_encoded"]
+#: Visits (rows x trees x levels) of one task from which a forest's rows are dealt to more tasks.
+FOREST_VISITS = 4_000_000
+#: Folds that are grown and fitted at once, beside the fit on all training rows.
+FOLDS_AT_ONCE = 3
 
 
 @dataclass
@@ -87,7 +91,7 @@ def classifiers(trees: int = 100, depth: int = 16, rounds: int = 10, seed: int =
     return {
         "logistic_regression": LogisticRegression(maxIter=1000, family="multinomial", labelCol="_y"),
         "random_forest": RandomForestClassifier(
-            numTrees=trees, maxDepth=depth, seed=seed, labelCol="_y", weightCol="_weight"
+            numTrees=trees, maxDepth=depth, seed=seed, labelCol="_y", weightCol="_weight", cacheNodeIds=True
         ),
         "boosted_trees": Boosting(rounds=rounds, depth=min(depth, 4)),
     }
@@ -135,6 +139,16 @@ class FittedModel:
         return FittedModel(PipelineModel.load(f"{path}/model").stages[0], features, classes)
 
 
+def _dealt(vectors: DataFrame, rows: int, forest: RandomForestClassifier) -> DataFrame:
+    """A forest reads its rows once a level: they are dealt to all cores where few files would keep most of them idle.
+
+    Every task sends the sums of all nodes of a level, so no more tasks are made than there are cores.
+    """
+    wanted = -(-rows * forest.getNumTrees() * forest.getMaxDepth() // FOREST_VISITS)
+    wanted = min(wanted, vectors.sparkSession.sparkContext.defaultParallelism)
+    return vectors.repartition(wanted) if wanted > 1 and wanted > vectors.rdd.getNumPartitions() else vectors
+
+
 def fit(estimator, train: DataFrame, features: list[str], label: str) -> FittedModel:
     """Fit on rows as given; classes are numbered from 0 and weighted inversely to size."""
     sizes = balance.class_sizes(train, label)
@@ -150,7 +164,10 @@ def fit(estimator, train: DataFrame, features: list[str], label: str) -> FittedM
     vectors = VectorAssembler(inputCols=features, outputCol="_features").transform(rows)
     est = estimator.copy()
     est.setFeaturesCol("_features")
-    return FittedModel(est.fit(vectors.select("_features", "_y", "_weight")), features, classes)
+    vectors = vectors.select("_features", "_y", "_weight")
+    if isinstance(est, RandomForestClassifier):
+        vectors = _dealt(vectors, int(total), est)
+    return FittedModel(est.fit(vectors), features, classes)
 
 
 def balanced_rows(train: DataFrame, ident: str, features: list[str], label: str, seed: int = rules.SEED) -> DataFrame:
@@ -163,8 +180,8 @@ def fit_balanced(estimator, train: DataFrame, ident: str, features: list[str], l
     return fit(estimator, balanced_rows(train, ident, features, label, seed), features, label)
 
 
-def _side_by_side(work: Callable, names: list[str], spark: SparkSession, parallelism: int) -> dict:
-    """Submit the jobs of several models at once, so that small stages fill the cluster."""
+def _side_by_side(work: Callable, names: list, spark: SparkSession, parallelism: int) -> dict:
+    """Submit the jobs of several models or folds at once, so that small stages fill the cluster."""
     with ThreadPool(min(parallelism, len(names))) as pool:
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(work), names)))
 
@@ -185,8 +202,8 @@ def cross_validate(
     """
     parts = stage(split.stratified_folds(train, label, ident, folds, seed))
     classes = list(balance.class_sizes(train, label))
-    scores: dict[str, list[float]] = {name: [] for name in estimators}
-    for f in range(folds):
+
+    def of_fold(f: int) -> dict[str, float]:
         grown = balanced_rows(parts.filter(F.col("fold") != f), ident, features, label, seed)
         held = parts.filter(F.col("fold") == f)
 
@@ -194,9 +211,10 @@ def cross_validate(
             guess = fit(estimators[name], grown, features, label).predict(held)
             return metrics.macro_f1(guess, label, "prediction", classes).first()["macro_f1"]
 
-        for name, value in _side_by_side(score, list(estimators), train.sparkSession, parallelism).items():
-            scores[name].append(value)
-    return scores
+        return _side_by_side(score, list(estimators), train.sparkSession, parallelism)
+
+    done = _side_by_side(of_fold, list(range(folds)), train.sparkSession, min(parallelism, FOLDS_AT_ONCE))
+    return {name: [done[f][name] for f in range(folds)] for name in estimators}
 
 
 def with_row_number(rows: DataFrame, name: str = "row_id") -> DataFrame:
@@ -240,14 +258,21 @@ def compare(
         parts = held_out(rows.select(ident, *features, label), ident, label, seed=seed)
     train, test = parts.filter(~F.col("is_test")).drop("is_test"), parts.filter("is_test").drop("is_test")
     classes = list(balance.class_sizes(rows, label))
-    cv_scores = cross_validate(estimators, train, ident, features, label, folds, seed, parallelism)
-    grown = balanced_rows(train, ident, features, label, seed)
 
-    def final(name: str):
-        model = fit(estimators[name], grown, features, label)
-        return model, metrics.macro_f1(model.predict(test), label, "prediction", classes).first()
+    def folds_scored() -> dict[str, list[float]]:
+        return cross_validate(estimators, train, ident, features, label, folds, seed, parallelism)
+
+    def fitted() -> dict:
+        grown = balanced_rows(train, ident, features, label, seed)
+
+        def final(name: str):
+            model = fit(estimators[name], grown, features, label)
+            return model, metrics.macro_f1(model.predict(test), label, "prediction", classes).first()
+
+        return _side_by_side(final, list(estimators), rows.sparkSession, parallelism)
 
-    done = _side_by_side(final, list(estimators), rows.sparkSession, parallelism)
+    found = _side_by_side(lambda work: work(), [folds_scored, fitted], rows.sparkSession, parallelism)
+    cv_scores, done = found[folds_scored], found[fitted]
     models, lines = {n: m for n, (m, _) in done.items()}, []
     for name, (_, tested) in done.items():
         cv = cv_scores[name]

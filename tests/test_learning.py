@@ -1,4 +1,5 @@
 import math
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,48 @@ def test_comparison_selects_by_cross_validation(cases):
     assert rows["random_forest"]["test_accuracy"] > 0.9
     best = max(rows.values(), key=lambda r: (r["cv_macro_f1"], r["model"] < "p"))
     assert run.best() is run.models[best["model"]]
+
+
+def test_forest_rows_are_dealt_to_the_cores(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    seen = []
+
+    class Watched(RandomForestClassifier):
+        def _fit(self, dataset):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super()._fit(dataset)
+
+    rows = spark.range(0, 9000, 1, 1).select((F.col("id") % 97).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    for how, wanted in ({"numTrees": 100, "maxDepth": 16}, 4), ({"numTrees": 10, "maxDepth": 6}, 1):
+        forest = Watched(labelCol="_y", weightCol="_weight", cacheNodeIds=True, **how)
+        assert training._dealt(rows, 9000, forest).rdd.getNumPartitions() == wanted
+    training.fit(Watched(labelCol="_y", weightCol="_weight", numTrees=500, maxDepth=2), rows, ["x"], "y")
+    assert seen == [3]
+    assert training.classifiers()["random_forest"].getCacheNodeIds()
+
+
+def test_folds_are_fitted_at_once_and_keep_their_scores(spark, monkeypatch):
+    met = threading.Barrier(3, timeout=120)
+    lonely = []
+
+    def grown(train, *_):
+        try:
+            met.wait()
+        except threading.BrokenBarrierError:
+            lonely.append(1)
+        return train
+
+    class Always:
+        def __init__(self, value):
+            self.value = value
+
+        def predict(self, df):
+            return df.withColumn("prediction", F.lit(self.value))
+
+    monkeypatch.setattr(training, "balanced_rows", grown)
+    monkeypatch.setattr(training, "fit", lambda estimator, *_: Always(estimator))
+    rows = spark.range(30).select("id", F.when(F.col("id") < 6, 1).otherwise(0).alias("y"))
+    found = training.cross_validate({"zero": 0, "one": 1}, rows, "id", ["id"], "y", folds=3)
+    assert not lonely
+    assert found["zero"] == pytest.approx([4 / 9] * 3) and found["one"] == pytest.approx([1 / 6] * 3)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caselume.operators import encode, leakage, metrics, split
-from caselume.plans import training
+from caselume.plans import catalog, training
 
 
 def test_entropy_and_masking(spark):
@@ -168,3 +168,29 @@ def test_folds_are_fitted_at_once_and_keep_their_scores(spark, monkeypatch):
     found = training.cross_validate({"zero": 0, "one": 1}, rows, "id", ["id"], "y", folds=3)
     assert not lonely
     assert found["zero"] == pytest.approx([4 / 9] * 3) and found["one"] == pytest.approx([1 / 6] * 3)
+
+
+def test_severity_training_rows_are_joined_once(spark, monkeypatch):
+    written = []
+
+    def noted(df):
+        written.append(set(df.columns))
+        return training.stage(df)
+
+    def codes_only(cls, train, label):
+        # What the encoder reads must be files, not the joins and ranks behind them.
+        plan = train._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
+        raise StopIteration
+
+    people = [(i, i % 5, f"{i % 5 + 1}-X") for i in range(40)]
+    rows = spark.createDataFrame(people, "primaryid long, age int, p string").select(
+        "primaryid", F.col("age").cast("string").alias("age"), F.lit("M").alias("sex"),
+        F.substring("p", 1, 1).cast("int").alias("severity_level"), F.lit("D").alias("drugname"), F.lit("T").alias("pt"),
+    )
+    monkeypatch.setattr(catalog, "stage", noted)
+    monkeypatch.setattr(catalog, "_severity_rows", lambda *_: rows)
+    monkeypatch.setattr(training.CaseEncoder, "fit", classmethod(codes_only))
+    with pytest.raises(StopIteration):
+        catalog._severity_model(spark, "")
+    assert {"primaryid"} in written

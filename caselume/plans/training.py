@@ -87,11 +87,11 @@ class CaseEncoder:
 
 
 def classifiers(trees: int = 100, depth: int = 16, rounds: int = 10, seed: int = rules.SEED) -> dict:
-    """The compared models."""
+    """The compared models. Deep trees keep the node of each row, so that no level walks down from the root again."""
     return {
         "logistic_regression": LogisticRegression(maxIter=1000, family="multinomial", labelCol="_y"),
         "random_forest": RandomForestClassifier(
-            numTrees=trees, maxDepth=depth, seed=seed, labelCol="_y", weightCol="_weight", cacheNodeIds=True
+            numTrees=trees, maxDepth=depth, seed=seed, labelCol="_y", weightCol="_weight", cacheNodeIds=depth > 10
         ),
         "boosted_trees": Boosting(rounds=rounds, depth=min(depth, 4)),
     }
@@ -140,13 +140,13 @@ class FittedModel:
 
 
 def _dealt(vectors: DataFrame, rows: int, forest: RandomForestClassifier) -> DataFrame:
-    """A forest reads its rows once a level: they are dealt to all cores where few files would keep most of them idle.
+    """A forest reads its rows once a level: they are dealt to all cores where few files would keep half of them idle.
 
     Every task sends the sums of all nodes of a level, so no more tasks are made than there are cores.
     """
     wanted = -(-rows * forest.getNumTrees() * forest.getMaxDepth() // FOREST_VISITS)
     wanted = min(wanted, vectors.sparkSession.sparkContext.defaultParallelism)
-    return vectors.repartition(wanted) if wanted > 1 and wanted > vectors.rdd.getNumPartitions() else vectors
+    return vectors.repartition(wanted) if wanted > 1 and wanted >= 2 * vectors.rdd.getNumPartitions() else vectors
 
 
 def fit(estimator, train: DataFrame, features: list[str], label: str) -> FittedModel:
